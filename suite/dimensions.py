@@ -354,9 +354,9 @@ CHECKS = {
     ),
     "axis_labels": Check(
         axis_labels,
-        """SELECT user_id, string_agg(printf('%02d:%02d', floor(at / 60)::int,
-        floor(at - floor(at / 60) * 60)::int), ' ' ORDER BY i) AS labels
-        FROM (SELECT user_id, i, low + i * ((high - low) / n) AS at FROM
+        """SELECT user_id, string_agg(printf('%02d:%02d', floor(moment / 60)::int,
+        floor(moment - floor(moment / 60) * 60)::int), ' ' ORDER BY i) AS labels
+        FROM (SELECT user_id, i, low + i * ((high - low) / n) AS moment FROM
               (SELECT user_id, min(value) AS low, max(value) * 10 AS high, count(DISTINCT event_type) AS n
                FROM events GROUP BY user_id), range(6) r(i) WHERE i <= n)
         GROUP BY user_id""",

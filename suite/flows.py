@@ -168,20 +168,20 @@ CHECKS = {
     "flow_series": Check(
         flow_series,
         sql(
-            f"""SELECT network_id, modality, at AS statistics_timestamp, n::bigint AS files_count,
+            f"""SELECT network_id, modality, moment AS statistics_timestamp, n::bigint AS files_count,
             b / {MB} AS files_size_mb, n - lag(n) OVER w AS files_count_diff,
             b - lag(b) OVER w AS size_bytes_diff, (b - lag(b) OVER w) / {MB} AS files_size_mb_diff,
-            at::date AS day, upper(modality) AS label, strftime(at, '%b %d') AS day_label,
-            CASE WHEN isodow(at) = 6 THEN at - interval 12 hour END AS band_start,
-            CASE WHEN isodow(at) = 6 THEN at + interval 36 hour END AS band_end,
-            CASE WHEN isodow(at) = 6 THEN at + interval 12 hour END AS band_label_at
-            FROM (SELECT coalesce(network_id, 'AllNetworks') AS network_id, modality, statistics_timestamp AS at,
+            moment::date AS day, upper(modality) AS label, strftime(moment, '%b %d') AS day_label,
+            CASE WHEN isodow(moment) = 6 THEN moment - interval 12 hour END AS band_start,
+            CASE WHEN isodow(moment) = 6 THEN moment + interval 36 hour END AS band_end,
+            CASE WHEN isodow(moment) = 6 THEN moment + interval 12 hour END AS band_label_at
+            FROM (SELECT coalesce(network_id, 'AllNetworks') AS network_id, modality, statistics_timestamp AS moment,
                   sum(files_count)::bigint AS n, sum(size_bytes)::bigint AS b
                   FROM daily_stats JOIN adp_study USING (study_id)
                   WHERE statistics_timestamp >= (SELECT max(ts)::date FROM events) - interval 14 day
                   GROUP BY GROUPING SETS ((network_id, modality, statistics_timestamp),
                                           (modality, statistics_timestamp)))
-            WINDOW w AS (PARTITION BY network_id, modality ORDER BY at)""",
+            WINDOW w AS (PARTITION BY network_id, modality ORDER BY moment)""",
             "daily_stats",
             "adp_study",
         ),

@@ -114,12 +114,12 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "daily_stats": (
         (),
-        """SELECT study_id, modality, true AS is_protected, true AS is_raw, at AS statistics_timestamp,
+        """SELECT study_id, modality, true AS is_protected, true AS is_raw, moment AS statistics_timestamp,
         count(*)::bigint AS files_count, sum(cents)::bigint AS size_bytes
         FROM (SELECT n_name AS study_id, event_type AS modality, ts, cast(round(value * 100) AS bigint) AS cents
               FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey)
-        JOIN (SELECT unnest(generate_series(min(ts)::date::timestamp, max(ts)::date::timestamp, interval 1 day)) AS at
-              FROM events) ON ts::date <= at
+        JOIN (SELECT unnest(generate_series(min(ts)::date::timestamp, max(ts)::date::timestamp, interval 1 day)) AS moment
+              FROM events) ON ts::date <= moment
         GROUP BY ALL""",
     ),
     "totals": (
@@ -193,7 +193,10 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         CASE WHEN n_nationkey % 2 = 0 THEN concat('{"Segment":"', segment, '"}')
              WHEN c_custkey % 3 = 0 THEN concat('{"Note, long":"', segment, '"}')
              ELSE concat('{"Age":"', (c_custkey % 90)::varchar, '","Note, long":"', segment, '"}') END AS optional_notes
-        FROM typed WHERE NOT is_dropped AND NOT is_bad""",
+        FROM typed WHERE NOT is_dropped AND NOT is_bad
+        UNION ALL SELECT study_id, subject_id, false, date '2020-01-01',
+        CASE WHEN n_nationkey % 2 = 0 THEN '{"Segment":"old"}' ELSE '{"Age":"1","Note, long":"old, too"}' END
+        FROM typed WHERE (is_dropped OR is_bad) AND segment <> 'FURNITURE'""",
     ),
 }
 

@@ -74,7 +74,7 @@ def _write_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def study_files(f: Frames) -> str:
-    """Study metadata files; each subject has an outdated line before its final one.
+    """Study metadata files; most subjects have an outdated line before their final one.
 
     Studies with an odd number have other columns, one of them with a comma in its name.
     A study file is a folder of CSV parts, so that no task has to write a whole study.
@@ -93,9 +93,9 @@ def study_files(f: Frames) -> str:
             f"concat('{root}/PROTECTED/', dir, '/', dir, '_metadata.csv') AS folder",
             """CASE WHEN plain THEN 'Subject ID,Active,Consent,Study,Segment'
             ELSE 'Subject ID,"Note, long",Age,Active,Consent,Study' END AS header""",
-            f"""concat(CASE WHEN plain THEN concat_ws(',', `Subject ID`, 0, '2020-01-01', study_id, 'old')
-                ELSE concat_ws(',', `Subject ID`, '"old, too"', 1, '0', '2020-01-01', study_id) END,
-                '\\n',
+            f"""concat(CASE WHEN c_mktsegment = 'FURNITURE' THEN ''
+                WHEN plain THEN concat_ws(',', `Subject ID`, 0, '2020-01-01', study_id, 'old\\n')
+                ELSE concat_ws(',', `Subject ID`, '"old, too"', 1, '0', '2020-01-01', concat(study_id, '\\n')) END,
                 CASE WHEN plain THEN concat_ws(',', `Subject ID`, Active, Consent, Study, c_mktsegment)
                 ELSE concat_ws(',', `Subject ID`, c_mktsegment, {age}, Active, Consent, Study) END) AS line""",
         )
