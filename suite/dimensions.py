@@ -32,19 +32,6 @@ def typed(f: Frames) -> DataFrame:
     )
 
 
-def catalog_of_orders(f: Frames) -> DataFrame:
-    """Subjects with a finished urgent order, as a catalogue that lacks some subjects."""
-    orders = f.table("orders").where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'")
-    return orders.join(f.customers().hint("merge"), F.expr("o_custkey = c_custkey")).selectExpr(
-        "n_name AS study_id", "concat('S', cast(c_custkey AS string)) AS subject_id"
-    )
-
-
-_ORDERS_SQL = """SELECT n_name AS study_id, concat('S', c_custkey::varchar) AS subject_id
-    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-    WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'"""
-
-
 def resolve_roots(f: Frames) -> DataFrame:
     """Study directories under two roots, as far as suppliers and customers put them there."""
     roots = tree.split_roots(f.spark, "/data/a,/data/b")
@@ -265,23 +252,24 @@ CHECKS = {
         ),
     ),
     "subjects_with_data": Check(
-        lambda f: quality.subjects_with_data(f.subjects(), catalog_of_orders(f)).select(
-            "study_id", "subject_id", "is_active"
-        ),
+        lambda f: quality.subjects_with_data(f.subjects(), f.files_base()).drop("note"),
         sql(
-            f"""SELECT study_id, subject_id, is_active FROM adp_subjects
-            SEMI JOIN ({_ORDERS_SQL}) USING (study_id, subject_id)""",
+            """SELECT study_id, subject_id, is_active, consent_date, is_protected, is_raw
+            FROM adp_subjects JOIN (SELECT DISTINCT study_id, subject_id, is_protected, is_raw FROM files_base)
+            USING (study_id, subject_id)""",
             "adp_subjects",
+            "files_base",
         ),
     ),
     "subjects_without_data": Check(
-        lambda f: quality.subjects_without_data(f.subjects(), catalog_of_orders(f)).select(
-            "study_id", "subject_id", "is_active"
-        ),
+        lambda f: quality.subjects_without_data(f.subjects(), f.files_base()).drop("note"),
         sql(
-            f"""SELECT study_id, subject_id, is_active FROM adp_subjects
-            ANTI JOIN ({_ORDERS_SQL}) USING (study_id, subject_id)""",
+            """SELECT study_id, subject_id, is_active, consent_date, is_protected, is_raw
+            FROM (SELECT * FROM adp_subjects, (VALUES (true, true), (true, false), (false, true), (false, false))
+              t(is_protected, is_raw))
+            ANTI JOIN files_base USING (study_id, subject_id, is_protected, is_raw)""",
             "adp_subjects",
+            "files_base",
         ),
     ),
     "fk_orphans": Check(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from suite.check import Check
-from suite.frames import Frames
+from suite.frames import EVENT_CENTS, Frames
 from suite.sql import sql
 from tidegauge.functions import paths, values
 from tidegauge.operators import lookups, quality, statistics
@@ -66,6 +66,15 @@ def volume_statistics(f: Frames) -> DataFrame:
     return statistics.volume_statistics(f.files(), f.tags())
 
 
+def union_scopes(f: Frames) -> DataFrame:
+    """Files and events as one stream of sized items."""
+    files = f.files_base().select(F.lit("files").alias("origin"), "modality", "size_bytes")
+    events = f.table("events").selectExpr(
+        "'events' AS origin", f"{EVENT_CENTS} AS size_bytes", "event_type AS modality"
+    )
+    return statistics.union_results(files, events)
+
+
 def pk_duplicates(f: Frames) -> DataFrame:
     """The short key of files repeats; the path does not."""
     short = quality.pk_duplicates(f.table("lineitem"), ["l_orderkey", "l_linenumber"])
@@ -167,10 +176,12 @@ CHECKS = {
         sql("SELECT file_path, modality FROM cat WHERE is_protected AND NOT is_raw", "cat"),
     ),
     "union_scopes": Check(
-        lambda f: statistics.union_scopes(
-            f.files_base().select("study_id", "modality", "is_protected", "is_raw", "size_bytes")
+        union_scopes,
+        sql(
+            """SELECT 'files' AS origin, modality, size_bytes FROM files_base
+            UNION ALL SELECT 'events', event_type, cast(round(value * 100) AS bigint) FROM events""",
+            "files_base",
         ),
-        sql("SELECT study_id, modality, is_protected, is_raw, size_bytes FROM files_base", "files_base"),
     ),
     "pk_duplicates": Check(
         pk_duplicates,

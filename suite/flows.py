@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from suite.frames import NETWORKS, Frames
 from suite.sql import MB, SCOPE, binary_size, sql
 from tidegauge.operators import delta, flow, lookups, scope, snapshots
 from tidegauge.plans.reports import snapshot_pair
+from tidegauge.sinks import tables
 
 TS = snapshots.TS
 
@@ -71,7 +74,11 @@ def report(f: Frames) -> DataFrame:
 
 
 def report_lines(f: Frames) -> DataFrame:
-    return delta.report_lines(report(f), *snapshot_pair(f.snapshots()))
+    """The message, made from the written comparison as the daily job does."""
+    path = f.scratch(f"delta-{uuid4().hex[:12]}")
+    tables.publish(report(f), path)
+    stored = tables.read_table(f.spark, path)
+    return delta.report_lines(stored, *snapshot_pair(f.snapshots()), networks=NETWORKS)
 
 
 _LINE = f"""concat(name, ' - ', format('{{:,}}', delta_files), ' files (', {binary_size("delta_bytes")}, ') ', qualifier)"""

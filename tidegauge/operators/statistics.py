@@ -24,9 +24,12 @@ def flag_filter(files: DataFrame, is_protected: bool, is_raw: bool) -> DataFrame
     )
 
 
-def union_scopes(files: DataFrame) -> DataFrame:
-    """The four flag combinations one after the other, as a bag union."""
-    parts = [flag_filter(files, p, r) for p in (True, False) for r in (True, False)]
+def union_results(*parts: DataFrame) -> DataFrame:
+    """Results of separate sources one after the other, duplicates kept, matched by column name.
+
+    Flag combinations of one table need no union: grouping or filtering by the
+    flags covers them in a single scan.
+    """
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -135,11 +138,9 @@ def relative_mean(rows: DataFrame, group: str, entity: str, value: str) -> DataF
 
 def run_counts(**tables: DataFrame) -> DataFrame:
     """One (name, count) row per table, for the job log."""
-    parts = [
-        table.agg(F.count(F.lit(1)).alias("found")).select(F.lit(name).alias("what"), "found")
-        for name, table in tables.items()
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return union_results(
+        *[
+            table.agg(F.count(F.lit(1)).alias("found")).select(F.lit(name).alias("what"), "found")
+            for name, table in tables.items()
+        ]
+    )

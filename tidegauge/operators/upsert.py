@@ -27,9 +27,13 @@ def upsert(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
 
 
 def insert_conflicts(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """New keys that cannot be inserted: taken already, or given more than once."""
+    """New keys that cannot be inserted: taken already, or given more than once.
+
+    The new keys are counted first, so a key given very often is one row in the
+    join; `existing` is unique on the key.
+    """
     offered = new.groupBy(*key).agg(F.count(F.lit(1)).alias("offered"))
-    taken = existing.select(*key).distinct().withColumn("_taken", F.lit(True))
+    taken = existing.select(*key, F.lit(True).alias("_taken"))
     return (
         offered.join(taken, key, "left")
         .withColumn("exists", F.coalesce("_taken", F.lit(False)))

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Recording the Python call site of every column takes longer than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
