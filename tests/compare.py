@@ -10,7 +10,7 @@ from collections import Counter
 import duckdb
 
 _KIND = {
-    "bigint": "int", "int": "int", "smallint": "int", "integer": "int", "double": "double",
+    "bigint": "bigint", "int": "int", "integer": "int", "double": "double",
     "string": "text", "varchar": "text", "boolean": "boolean", "date": "date",
     "timestamp_ntz": "timestamp", "timestamp": "timestamp",
 }
