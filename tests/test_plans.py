@@ -54,6 +54,17 @@ def test_comparison_reads_two_snapshots_only(frames):
     assert 1 <= read <= 2
 
 
+def test_finding_snapshots_skips_older_days(frames):
+    stats = frames.snapshots()
+    rows = snapshots.earlier_snapshots(stats, dt.datetime(2001, 12, 1), depth=2)
+    text = plan(rows)
+    scan = [line for line in text.splitlines() if "FileScan" in line and "[statistics_timestamp" in line][0]
+    assert "Subquery" in scan[scan.index("PartitionFilters") :] or "subquery" in scan[scan.index("PartitionFilters") :]
+    days = [line for line in text.splitlines() if "ReadSchema: struct<>" in line]
+    assert days
+    assert [r[1] for r in rows.collect()] == [dt.datetime(2001, 11, 1), dt.datetime(2001, 10, 1)]
+
+
 def test_series_prune_by_date_and_push_flags(frames):
     text = plan(flow.flow_series(frames.snapshots(), frames.study(), dt.date(2001, 12, 1), days=60))
     scan = [line for line in text.splitlines() if "FileScan" in line and "files_count" in line][0]

@@ -45,9 +45,10 @@ def _log(spark: SparkSession, base: str, job: str, run: datetime, text: str) ->
     tables.append_log(message, f"{base}/logs", job, run)
 
 
-def _show(rows: DataFrame) -> None:
+def _print(rows: DataFrame) -> None:
     """Reports and charts are short by construction: lines per network, points per day."""
-    rows.show(10_000, truncate=False)
+    for row in rows.toLocalIterator():
+        print(*row, sep="\t")
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -74,10 +75,10 @@ def main(arguments: list[str] | None = None) -> None:
     elif options.job == "statistics":
         imports.compute_statistics(spark, base, run)
     elif options.job == "report":
-        _show(reports.notification(spark, base, tuple(options.networks.split(","))).select("text"))
+        _print(reports.notification(spark, base, tuple(options.networks.split(","))).select("text"))
     elif options.job == "chart":
         as_of = options.as_of or run.date()
-        _show(
+        _print(
             reports.flow_chart(spark, base, as_of, options.days, options.modality, options.network)
         )
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TS = "statistics_timestamp"
+DAY = "snapshot_date"
 
 
 def ntz(value: datetime | Column) -> Column:
@@ -17,8 +19,35 @@ def ntz(value: datetime | Column) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def _on_days(stats: DataFrame, days: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Statistics from the first of some days on, chosen from the day partitions alone.
+
+    Finding the days reads no data columns, and the scan then skips older days.
+    """
+    if DAY not in stats.columns:
+        return stats
+    first = days(stats.select(DAY)).agg(F.min(DAY)).scalar()
+    return stats.where(F.col(DAY) >= first)
+
+
 def latest_snapshot(stats: DataFrame) -> DataFrame:
-    return stats.agg(F.max(TS).alias(TS))
+    newest = _on_days(stats, lambda days: days.agg(F.max(DAY).alias(DAY)))
+    return newest.agg(F.max(TS).alias(TS))
+
+
+def _before(stats: DataFrame, moment: Column, depth: int) -> DataFrame:
+    """Distinct snapshots before a moment; all of the `depth` newest, older ones only by chance.
+
+    Every day holds a snapshot, and at most the moment's own day holds none before
+    it, so `depth` + 1 days are enough.
+    """
+
+    def newest_days(days: DataFrame) -> DataFrame:
+        known = days.where(F.col(DAY) <= moment.cast("date")).distinct()
+        return known.orderBy(F.desc(DAY)).limit(depth + 1)
+
+    recent = _on_days(stats, newest_days)
+    return recent.select(TS).where(F.col(TS) < moment).distinct()
 
 
 def earlier_snapshots(stats: DataFrame, before: datetime | Column, depth: int = 1) -> DataFrame:
@@ -26,9 +55,7 @@ def earlier_snapshots(stats: DataFrame, before: datetime | Column, depth: int =
 
     A top-k on distinct timestamps, so no task sorts them all.
     """
-    newest = (
-        stats.select(TS).distinct().where(F.col(TS) < ntz(before)).orderBy(F.desc(TS)).limit(depth)
-    )
+    newest = _before(stats, ntz(before), depth).orderBy(F.desc(TS)).limit(depth)
     ordered = newest.agg(F.sort_array(F.collect_list(TS), asc=False).alias("found"))
     return ordered.select(F.posexplode("found").alias("steps_back", TS))
 
@@ -37,25 +64,19 @@ def nth_previous_snapshot(
     stats: DataFrame, before: datetime | Column, offset: int = 0
 ) -> DataFrame:
     """The snapshot `offset` steps before the newest one older than `before`; may be empty."""
-    return (
-        stats.select(TS)
-        .distinct()
-        .where(F.col(TS) < ntz(before))
-        .orderBy(F.desc(TS))
-        .offset(offset)
-        .limit(1)
-    )
+    earlier = _before(stats, ntz(before), offset + 1)
+    return earlier.orderBy(F.desc(TS)).offset(offset).limit(1)
 
 
 def at_snapshots(stats: DataFrame, *moments: Column) -> DataFrame:
     """Rows of the given snapshots: pruned by date where partitioned, exact on the timestamp."""
-    if "snapshot_date" in stats.columns:
-        stats = stats.where(F.col("snapshot_date").isin(*[m.cast("date") for m in moments]))
+    if DAY in stats.columns:
+        stats = stats.where(F.col(DAY).isin(*[m.cast("date") for m in moments]))
     return stats.where(F.col(TS).isin(*moments))
 
 
 def since(stats: DataFrame, first_day: Column) -> DataFrame:
     """Rows from midnight of a day on."""
-    if "snapshot_date" in stats.columns:
-        stats = stats.where(F.col("snapshot_date") >= first_day)
+    if DAY in stats.columns:
+        stats = stats.where(F.col(DAY) >= first_day)
     return stats.where(F.col(TS) >= first_day.cast("timestamp_ntz"))

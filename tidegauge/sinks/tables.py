@@ -129,12 +129,13 @@ def recreate_tables(spark: SparkSession, base: str) -> None:
 
 
 def append_log(messages: DataFrame, path: str, module: str, run_ts: datetime) -> None:
-    """Add `message` rows to the job log; ids depend only on content, so a retry repeats them."""
+    """Add `message` rows to the job log. Ids follow from the content, so a retry adds nothing."""
     stamped = messages.select(
         F.lit(module).alias("log_module"),
         F.col("message").alias("log_message"),
         ntz(run_ts).alias("log_timestamp"),
     )
     text = F.concat_ws("\n", "log_module", "log_message", F.col("log_timestamp").cast("string"))
-    rows = stamped.withColumn("log_id", F.md5(text)).select(*schemas.LOGS.names)
-    write_table(rows, path, "append")
+    rows = stamped.withColumn("log_id", F.md5(text)).select(*schemas.LOGS.names).distinct()
+    known = read_table(messages.sparkSession, path, schemas.LOGS).select("log_id")
+    write_table(rows.join(known, "log_id", "left_anti"), path, "append")
