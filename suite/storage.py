@@ -219,7 +219,7 @@ def reload_catalog(f: Frames) -> DataFrame:
     catalog = f.catalog().withColumn("extracted_timestamp", F.lit(None).cast("timestamp_ntz"))
     catalog = catalog.select(*schemas.FILE_CATALOG.names)
     tables.publish(catalog.where(F.col("is_raw")), path)
-    tables.publish(catalog, path)
+    tables.publish(catalog, path, order_by=schemas.CATALOG_ORDER)
     return tables.read_table(f.spark, path, schemas.FILE_CATALOG).drop("extracted_timestamp")
 
 

@@ -1,6 +1,7 @@
 """Hand-traced cases of the scalar operators."""
 
 import datetime as dt
+import random
 import re
 from itertools import product
 from pathlib import PurePosixPath
@@ -116,6 +117,15 @@ def test_camel_tokens(values, word, tokens):
     assert found == reference == tokens
 
 
+def test_camel_tokens_on_random_words(values):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abXYZ1_é-", k=rng.randrange(1, 12))) for _ in range(2000)]
+    expected = [
+        [t.lower() for t in re.findall(text.CAMEL_PATTERN, w[0].upper() + w[1:])] for w in words
+    ]
+    assert values([(w,) for w in words], "w string", text.camel_tokens("w")) == expected
+
+
 @pytest.mark.parametrize(
     "size, expected",
     [
@@ -164,6 +174,23 @@ def test_parse_date(values):
     assert values(rows, "t string", times.parse_date("t")) == [day, day, None, None, None, None]
 
 
+def test_parse_date_equals_strptime(values):
+    years = ["2022", "2024", "1999", "22", "0000", "0001", "12022", ""]
+    months = [*map(str, range(14)), "01", "09", "012", "x"]
+    days = [*map(str, range(33)), "05", "029", "", "1 "]
+    texts = [f"{y}-{m}-{d}" for y in years for m in months for d in days]
+    texts += ["2022-01-05\n", "2022/01/05", "2022-01", "20220105", "-2022-01-05", "2022-01-05T00:00:00"]
+
+    def expected(t):
+        try:
+            return dt.datetime.strptime(t, "%Y-%m-%d").date()
+        except ValueError:
+            return None
+
+    found = values([(t,) for t in texts], "t string", times.parse_date("t"))
+    assert [(t, f) for t, f in zip(texts, found)] == [(t, expected(t)) for t in texts]
+
+
 def test_times_do_not_depend_on_the_session_zone(spark, values):
     zone = spark.conf.get("spark.sql.session.timeZone")
     moment = dt.datetime(2024, 3, 31, 1, 2, 3, 500000)

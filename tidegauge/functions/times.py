@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions import as_col
 
 # --- fixed values: date formats ---------------------------------------------
-ISO_DATE_TEXT = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+ISO_DATE_TEXT = "^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 LONG_DATE = "MMMM dd, yyyy"
 SHORT_DATE = "MMM dd"
 TOKEN_TEXT = "{date_short} {time}"

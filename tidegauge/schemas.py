@@ -105,6 +105,9 @@ PRIMARY_KEYS = {
     ],
 }
 
+# Order of the stored catalogue: lookups go by subject and modality.
+CATALOG_ORDER = ["study_id", "subject_id", "modality", "file_path"]
+
 # child table -> [(columns, parent table)]
 FOREIGN_KEYS = {
     "study": [(["network_id"], "networks")],

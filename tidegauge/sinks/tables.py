@@ -54,10 +54,22 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(_folder(path, found[-1]))
 
 
-def publish(rows: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    """Replace the whole table by a new version; returns its number."""
+def publish(
+    rows: DataFrame,
+    path: str,
+    partition_by: list[str] | None = None,
+    order_by: list[str] | None = None,
+) -> int:
+    """Replace the whole table by a new version; returns its number.
+
+    With `order_by` the files hold consecutive ranges, so that a lookup on leading
+    columns skips most of them. End the list with a unique column: a range is then
+    never stuck on one frequent value.
+    """
     spark = rows.sparkSession
     version = max(_versions(spark, path, committed=False), default=0) + 1
+    if order_by:
+        rows = rows.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     rows.write.partitionBy(*(partition_by or [])).parquet(_folder(path, version))
     return version
 
@@ -75,10 +87,17 @@ def write_table(rows: DataFrame, path: str, if_exists: str = "replace") -> None:
         publish(rows, path)
 
 
-def upsert_table(new: DataFrame, path: str, key: list[str], schema: T.StructType) -> int:
+def upsert_table(
+    new: DataFrame,
+    path: str,
+    key: list[str],
+    schema: T.StructType,
+    order_by: list[str] | None = None,
+) -> int:
     """Publish existing rows and new ones, the new replacing equal keys."""
     existing = read_table(new.sparkSession, path, schema)
-    return publish(upsert(existing, new.select(*schema.names), key), path)
+    merged = upsert(existing, new.select(*schema.names), key)
+    return publish(merged, path, order_by=order_by)
 
 
 def insert_table(new: DataFrame, path: str, key: list[str], schema: T.StructType) -> None:
