@@ -65,3 +65,35 @@ def test_upsert_import_keeps_files_that_are_gone(spark, tmp_path):
     assert sorted((r["file_name"], r["size_bytes"]) for r in rows) == [("1", 10), ("2", 20)]
     imports.import_catalog(spark, str(root), base, f"{tmp_path}/w3", run)
     assert tables.read_table(spark, f"{base}/file_catalog").count() == 1
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tidegauge.__main__ import main
+
+    root, base = tmp_path / "root", f"{tmp_path}/tables"
+    sites = [{"id": "AB", "name": "Ab", "country": "X", "country_code": "XX", "network": "PRESCIENT"}]
+    (tmp_path / "sites.json").write_text(json.dumps(sites))
+    home = root / "PROTECTED/PrescientAB"
+    put(home / "raw/S1/eeg/e.eeg.lock", 1024)
+    lines = "Subject ID,Active,Consent,Study\nS1,1,2022-01-05,AB\nS2,1,soon,AB\n"
+    (home / "PrescientAB_metadata.csv").write_text(lines)
+    main(["--base", base, "init"])
+    main(["--base", base, "sites", "--sites", f"{tmp_path}/sites.json"])
+    main(["--base", base, "subjects", "--roots", str(root)])
+    for day in ("2024-01-01T06:00:00", "2024-01-02T06:00:00"):
+        main(["--base", base, "files", "--roots", str(root), "--run", day, "--hash", "md5"])
+        main(["--base", base, "statistics", "--run", day])
+    main(["--base", base, "report"])
+    main(["--base", base, "chart", "eeg", "--network", "prescient", "--as-of", "2024-01-02"])
+    shown = capsys.readouterr().out
+    assert "eeg - 0 files (0 Bytes) " in shown and "Potential Data-Flow issue" in shown
+    assert "2024-01-02" in shown
+    log = tables.read_table(spark, f"{base}/logs", schemas.LOGS)
+    messages = sorted((r["log_module"], r["log_message"]) for r in log.collect())
+    assert messages == [
+        ("files", "Found 1 files, 0 could not be read"),
+        ("files", "Found 1 files, 0 could not be read"),
+        ("subjects", "1 rows in quarantine, 0 studies without a file"),
+    ]
+    hashed = tables.read_table(spark, f"{base}/file_catalog").first()
+    assert len(hashed["md5"]) == 32 and hashed["file_type"] == ".eeg"
