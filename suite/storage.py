@@ -35,7 +35,7 @@ def fresh(f: Frames, name: str) -> str:
 
 def mounted(folder: str) -> str:
     """Path of a shared folder as tasks see it in the file system."""
-    return folder.removeprefix("file://").removeprefix("file:")
+    return tree.check_mounted(folder.removeprefix("file://").removeprefix("file:"))
 
 
 # --- trees and study files made from the tables -----------------------------

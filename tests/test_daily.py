@@ -91,8 +91,8 @@ def test_command_line(spark, tmp_path, capsys):
     log = tables.read_table(spark, f"{base}/logs", schemas.LOGS)
     messages = sorted((r["log_module"], r["log_message"]) for r in log.collect())
     assert messages == [
-        ("files", "Found 1 files, 0 could not be read"),
-        ("files", "Found 1 files, 0 could not be read"),
+        ("files", "Found 1 files, 0 problems"),
+        ("files", "Found 1 files, 0 problems"),
         ("subjects", "1 rows in quarantine, 0 studies without a file"),
     ]
     hashed = tables.read_table(spark, f"{base}/file_catalog").first()

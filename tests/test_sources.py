@@ -100,6 +100,7 @@ def test_crawl_finds_what_a_walk_finds(spark, study, subjects, roots, tmp_path,
 def test_catalog_rows(spark, study, subjects, roots, tmp_path):
     found = tree.crawl(subjects, study, roots, f"{tmp_path}/work", hash_algorithm="md5")
     run = dt.datetime(2024, 1, 2, 3, 4, 5)
+    assert [r["study_id"] for r in found.where("problem IS NOT NULL").collect()] == ["EF"]
     rows = {r["file_name"]: r for r in imports.catalog_rows(found, run).collect()}
     sensor = rows["u_sensor_1.json"]
     assert sensor["metadata"] == '{"mindlamp_type":"sensor"}'
@@ -112,9 +113,19 @@ def test_catalog_rows(spark, study, subjects, roots, tmp_path):
     assert rows["pct%20é.txt"]["file_type"] == ".txt"
 
 
-def test_crawl_without_any_subject_directory(spark, study, subjects, tmp_path):
-    found = tree.crawl(subjects, study, str(tmp_path / "nothing"), f"{tmp_path}/work")
-    assert found.count() == 0
+def test_crawl_without_any_study_directory(spark, study, subjects, tmp_path):
+    found = tree.crawl(subjects, study, str(tmp_path / "nothing"), f"{tmp_path}/work").collect()
+    assert {(r["study_id"], r["problem"]) for r in found} == {
+        (s, "no study directory") for s in ("AB", "CD", "EF")
+    }
+    assert imports.catalog_rows(spark.createDataFrame(found, tree.FOUND), dt.datetime(2024, 1, 1)).count() == 0
+
+
+def test_object_stores_are_refused(spark, study):
+    with pytest.raises(ValueError):
+        tree.split_roots(spark, "/data/a,s3a://bucket/b")
+    with pytest.raises(ValueError):
+        study_csv.candidate_files(study, "s3a://bucket/b")
 
 
 def test_vanished_files_are_reported(spark, study, subjects, roots, tmp_path):

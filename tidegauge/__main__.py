@@ -70,7 +70,7 @@ def main(arguments: list[str] | None = None) -> None:
             spark, options.roots, base, work, run, not options.keep, options.hash_algorithm
         )
         found = tables.read_table(spark, f"{base}/file_catalog").count()
-        text = f"Found {found} files, {problems.count()} could not be read"
+        text = f"Found {found} files, {problems.count()} problems"
         _log(spark, base, options.job, run, text)
     elif options.job == "statistics":
         imports.compute_statistics(spark, base, run)

@@ -17,6 +17,7 @@ from tidegauge.functions.paths import metadata_file, study_dir
 from tidegauge.functions.times import parse_date
 from tidegauge.functions.values import missing_to_null, nonzero_flag, pack_json
 from tidegauge.operators.quality import required_fields
+from tidegauge.sources.tree import check_mounted
 
 _FILE_SCHEMA = "study_id string, study_dir string, pos int, path string, header array<string>"
 # In-file position of a row: start of its split, then its number within the scan.
@@ -27,7 +28,7 @@ def candidate_files(study: DataFrame, roots: str) -> DataFrame:
     """Where the metadata file of each study would be, under each comma-separated root."""
     priority = [
         F.struct(F.lit(pos).alias("pos"), F.lit(root).alias("root"))
-        for pos, root in enumerate(roots.split(","))
+        for pos, root in enumerate(check_mounted(roots).split(","))
     ]
     path = F.concat_ws(
         "/",
