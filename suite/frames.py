@@ -238,7 +238,7 @@ class Frames:
         """The monthly recounts as the stored, partitioned statistics table."""
         path = self.scratch("snapshots")
         if not tables.exists(self.spark, path):
-            tables.append_snapshots(self.monthly_statistics(), path)
+            tables.append_snapshots(self.monthly_statistics(), path, many_runs=True)
         return tables.read_table(self.spark, path, schemas.VOLUME_STATISTICS)
 
     # --- daily series -------------------------------------------------------

@@ -112,9 +112,9 @@ def test_network_texts(values):
 )
 def test_camel_tokens(values, word, tokens):
     capital = word[0].upper() + word[1:]
-    reference = [t.lower() for t in re.findall(text.CAMEL_PATTERN, capital)]
+    matches = [t.lower() for t in re.findall(text.CAMEL_PATTERN, capital)]
     found = values([(word,)], "w string", text.camel_tokens("w"))[0]
-    assert found == reference == tokens
+    assert found == matches == tokens
 
 
 def test_camel_tokens_on_random_words(values):

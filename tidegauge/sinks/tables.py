@@ -120,20 +120,22 @@ def with_run(stats: DataFrame, run_ts: datetime) -> DataFrame:
     )
 
 
-def append_snapshots(stats: DataFrame, path: str) -> None:
+def append_snapshots(stats: DataFrame, path: str, many_runs: bool = False) -> None:
     """Add stamped snapshots; one that is there already is replaced, all others stay.
 
     The partition is the day and the run, so a repeated run is idempotent and two
-    runs of a day are two snapshots.
+    runs of a day are two snapshots. One run is written as it comes out of its
+    aggregation; `many_runs` are first gathered by run, which needs a shuffle.
     """
     spark = stats.sparkSession
     found = _versions(spark, path)
     if not found:
         publish(stats.limit(0), path, SNAPSHOT_PARTITIONS)
         found = _versions(spark, path)
+    if many_runs:
+        stats = stats.hint("rebalance", *SNAPSHOT_PARTITIONS)
     (
-        stats.hint("rebalance", *SNAPSHOT_PARTITIONS)
-        .write.mode("overwrite")
+        stats.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*SNAPSHOT_PARTITIONS)
         .parquet(_folder(path, found[-1]))
