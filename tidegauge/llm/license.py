@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import plain_words, stored
@@ -77,6 +77,14 @@ def _places(phrases: dict[str, str]) -> Column:
     return F.concat(*(found(phrase.split(" "), label) for phrase, label in phrases.items()))
 
 
+def _table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    def value(x) -> Column:
+        return F.array(*map(F.lit, x)) if isinstance(x, list) else F.lit(x)
+
+    structs = [F.struct(*(value(x).alias(n) for n, x in zip(names, row, strict=True))) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def scan(
     docs: DataFrame,
     text: str = "text",
@@ -148,8 +156,9 @@ def scan(
         o = needed[label]
         wholes.append((label, own, o))
         prefixes += [(w, label, i, len(own), o) for i, w in enumerate(own[: len(own) - o + 1])]
-    index = spark.createDataFrame(prefixes, "word string, label string, t_at int, t_size int, need int")
-    sets_ = spark.createDataFrame(wholes, "label string, own array<string>, needed int")
+    # Both hold the templates' words and nothing of the documents, so they go to every task.
+    index = F.broadcast(_table(spark, ["word", "label", "t_at", "t_size", "need"], prefixes))
+    sets_ = F.broadcast(_table(spark, ["label", "own", "needed"], wholes))
     ordered = F.array(*(F.lit(w) for w in order))
     blocks = rows.select("row_id", F.explode("blocks").alias("b")).select(
         "row_id", F.col("b.block").alias("block"), F.array_intersect(ordered, "b.held").alias("held")
