@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.llm.common import all_pieces, stored, texts
-from tidegauge.llm.vocabulary import Vocabulary, mixed, rolled
+from tidegauge.llm.vocabulary import mixed, rolled, split_all, within, word_hashes
 
 BUCKETS = 10_000
 # Labelled documents that the target model is fitted on, at most.
@@ -21,20 +21,24 @@ SEED = 17
 _HISTOGRAM = 1024
 
 
-def _features(text: bytes, vocabulary: Vocabulary, buckets: int) -> np.ndarray:
-    """Buckets of a text's words and word pairs, A-Z as a-z."""
-    first, _ = vocabulary.hashes(text.lower().split())
-    return (np.r_[mixed(first), rolled(first, 2)] % np.uint64(buckets)).astype(np.int64)
+def _features(values: list[bytes], buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of the words and of the word pairs of all texts, A-Z as a-z, each with its text."""
+    words, ends = split_all([value.lower() for value in values])
+    owner = np.repeat(np.arange(len(values)), np.diff(ends))
+    first = word_hashes(words)
+    pairs = within(ends, 2)
+    found = ((mixed(first), owner), (rolled(first, 2)[pairs], owner[pairs]))
+    return [((x % np.uint64(buckets)).astype(np.int64), of) for x, of in found]
 
 
 def counts(docs: DataFrame, text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """`bucket, n`: n-grams of all documents by bucket. A task sends `buckets` rows at most."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, total = Vocabulary(), np.zeros(buckets, np.int64)
+        total = np.zeros(buckets, np.int64)
         for piece in all_pieces(batches, "text"):
-            for value in texts(piece.column("text")):
-                total += np.bincount(_features(value, vocabulary, buckets), minlength=buckets)
+            for bucket, _ in _features(texts(piece.column("text")), buckets):
+                total += np.bincount(bucket, minlength=buckets)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], ["bucket", "n"]
@@ -72,15 +76,15 @@ def weights(docs: DataFrame, ratio: np.ndarray, keep: list[str], text: str = "te
     rows = docs.select(F.struct(*(docs[c] for c in keep)).alias("row"), docs[text].alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary()
         for piece in all_pieces(batches, "text"):
-            n, total = [], []
-            for value in texts(piece.column("text")):
-                found = _features(value, vocabulary, len(ratio))
-                n.append(len(found))
-                total.append(float(ratio[found].sum()))
+            values = texts(piece.column("text"))
+            n, total = np.zeros(len(values), np.int64), np.zeros(len(values))
+            # A text's own n-grams are added in their order: no sum depends on its neighbours.
+            for bucket, owner in _features(values, len(ratio)):
+                n += np.bincount(owner, minlength=len(values))
+                total += np.bincount(owner, ratio[bucket], len(values))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("row"), pa.array(n, pa.int64()), pa.array(total, pa.float64())],
+                [piece.column("row"), pa.array(n), pa.array(total)],
                 ["row", "n_grams", "log_weight"],
             )
 
