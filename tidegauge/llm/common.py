@@ -26,7 +26,7 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     """
     spark = table.sparkSession
     path = f"{shared_folder(spark, 'llm')}/{uuid.uuid4().hex}/{name}"
-    table.write.parquet(path)
+    table.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(table.schema).parquet(path)
 
 
@@ -83,18 +83,3 @@ def all_pieces(
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield from pieces(batch, column, most)
-
-
-class Hashes(dict):
-    """Hash of a word, remembered; forgets everything beyond a million words."""
-
-    def __init__(self, hash_of, most: int = 1_000_000):
-        super().__init__()
-        self.hash_of = hash_of
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = self.hash_of(word)
-        return value

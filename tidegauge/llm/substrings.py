@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import all_pieces, stored, texts, with_row_id
-from tidegauge.llm.vocabulary import Vocabulary, rolled
+from tidegauge.llm.vocabulary import rolled, split_all, within, word_hashes
 
 WINDOW = 20
 ANCHOR = 8
@@ -20,38 +20,37 @@ _WORD_BITS = 28
 _RANGES = 64
 
 
-def _anchors(first: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor hashes of a text and, for each window, the number of the anchor it selects.
+def _anchors(
+    first: np.ndarray, ends: np.ndarray, window: int, anchor: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts laid end to end: hashes of all runs of `anchor` words, the windows that stay in one
+    text, and for each of these the run it selects.
 
-    A window selects the smallest hash among its runs of `anchor` words, the leftmost of equals: equal
-    windows select the same run, so every repeated window has a repeated anchor.
+    A window selects the smallest hash among its runs, the leftmost of equals: equal windows
+    select the same run, so every repeated window has a repeated anchor.
     """
     runs = rolled(first, anchor)
-    if len(first) < window:
-        return runs, np.zeros(0, np.int64)
+    starts = within(ends, window)
+    if not len(starts):
+        return runs, starts, starts
     view = np.lib.stride_tricks.sliding_window_view(runs, window - anchor + 1)
-    return runs, np.arange(len(view)) + view.argmin(axis=1)
+    return runs, starts, starts + view.argmin(axis=1)[starts]
 
 
 def anchors(rows: DataFrame, window: int, anchor: int) -> DataFrame:
     """`hash, row_id, at`: the selected anchors of all texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary()
         for piece in all_pieces(batches, "text"):
-            ids = piece.column("row_id").to_numpy()
-            hashes, owners, places = [], [], []
-            for i, text in enumerate(texts(piece.column("text"))):
-                runs, chosen = _anchors(vocabulary.hashes(text.split())[0], window, anchor)
-                at = np.unique(chosen)
-                hashes.append(runs[at])
-                owners.append(np.full(len(at), ids[i]))
-                places.append(at)
+            words, ends = split_all(texts(piece.column("text")))
+            runs, _, chosen = _anchors(word_hashes(words), ends, window, anchor)
+            at = np.unique(chosen)
+            owner = np.searchsorted(ends, at, "right") - 1
             yield pa.RecordBatch.from_pydict(
                 {
-                    "hash": pa.array(np.concatenate(hashes).view(np.int64)),
-                    "row_id": pa.array(np.concatenate(owners), pa.int64()),
-                    "at": pa.array(np.concatenate(places), pa.int32()),
+                    "hash": pa.array(runs[at].view(np.int64)),
+                    "row_id": pa.array(piece.column("row_id").to_numpy()[owner], pa.int64()),
+                    "at": pa.array(at - ends[owner], pa.int32()),
                 }
             )
 
@@ -89,38 +88,42 @@ def _extend(window: int, anchor: int):
     """From the repeated anchors of a text to the windows that select them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary()
         for piece in all_pieces(batches, "text"):
-            repeated = piece.column("repeated").to_pylist()
-            out: dict[str, list] = {n: [] for n in ("n_words", "sha", "left", "starts", "one", "two")}
-            for text, at in zip(texts(piece.column("text")), repeated, strict=True):
-                words = text.split()
-                starts = np.zeros(0, np.int64)
-                if at:
-                    first, second = vocabulary.hashes(words)
-                    _, chosen = _anchors(first, window, anchor)
-                    starts = np.flatnonzero(np.isin(chosen, np.array(at)))
-                out["n_words"].append(len(words))
-                out["sha"].append(None if len(starts) else _sha(words))
-                out["left"].append(text if len(starts) else None)
-                out["starts"].append(starts)
-                for name, hashes, step in (("one", 0, 0), ("two", 1, 1)):
-                    if not len(starts):
-                        out[name].append(starts)
-                        continue
-                    whole = rolled((first, second)[hashes], window, step)
-                    out[name].append(whole[starts].view(np.int64))
+            values = texts(piece.column("text"))
+            words, ends = split_all(values)
+            repeated = [
+                np.array(at or [], np.int64) + start
+                for at, start in zip(piece.column("repeated").to_pylist(), ends[:-1], strict=True)
+            ]
+            first = word_hashes(words)
+            _, starts, chosen = _anchors(first, ends, window, anchor)
+            marked = np.zeros(len(words) + 1, bool)
+            marked[np.concatenate(repeated)] = True
+            starts = starts[marked[chosen]]
+            one = rolled(first, window, 0)[starts].view(np.int64)
+            two = rolled(word_hashes(words, 1), window, 1)[starts].view(np.int64)
+            cuts = np.searchsorted(starts, ends)
+            some = np.diff(cuts) > 0
+            owner = np.searchsorted(ends, starts, "right") - 1
+            offsets = pa.array(cuts, pa.int32())
+            lists = [
+                pa.ListArray.from_arrays(offsets, pa.array(x))
+                for x in ((starts - ends[owner]).astype(np.int32), one, two)
+            ]
+            shas = [
+                None if held else _sha(words[a:b])
+                for held, a, b in zip(some.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+            ]
+            left = [value if held else None for value, held in zip(values, some.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("doc_id"),
                     piece.column("row_id"),
                     piece.column("rank"),
-                    pa.array(out["n_words"], pa.int64()),
-                    pa.array(out["sha"], pa.string()),
-                    pa.array(out["left"], pa.binary()).cast(pa.string()),
-                    pa.array(out["starts"], pa.list_(pa.int32())),
-                    pa.array(out["one"], pa.list_(pa.int64())),
-                    pa.array(out["two"], pa.list_(pa.int64())),
+                    pa.array(np.diff(ends), pa.int64()),
+                    pa.array(shas, pa.string()),
+                    pa.array(left, pa.binary()).cast(pa.string()),
+                    *lists,
                 ],
                 ["doc_id", "row_id", "rank", "n_words", "sha", "text", "starts", "one", "two"],
             )
