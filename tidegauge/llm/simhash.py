@@ -300,4 +300,6 @@ def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
         .select("kept"),
         "kept",
     )
-    return numbered.join(kept, F.col("row_id") == F.col("kept"), "left_semi").select("doc.*")
+    # The numbers grow with the documents, so they are merged and not sent to every task.
+    same = F.col("row_id") == F.col("kept")
+    return numbered.join(kept.hint("merge"), same, "left_semi").select("doc.*")
