@@ -330,7 +330,11 @@ def register(spark: SparkSession) -> None:
 
 
 def read_warc(spark: SparkSession, path: str, columns: str = SCHEMA) -> DataFrame:
-    """Records of all archives below `path`. Leave `payload` out of `columns` and it is never read."""
+    """Records of all archives below `path`. Leave `payload` out of `columns` and it is never read.
+
+    Read anew for each filter: Spark 4.1 keeps the predicates that it has handed to a loaded
+    Python source, so a table that was filtered once stays filtered.
+    """
     register(spark)
     return spark.read.format("warc").schema(columns).load(path)
 
