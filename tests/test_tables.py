@@ -110,3 +110,22 @@ def test_a_repeated_log_entry_is_stored_once(spark, tmp_path):
     tables.append_log(message, path, "import", run)
     rows = tables.read_table(spark, path, schemas.LOGS).collect()
     assert [(r["log_message"], r["log_timestamp"]) for r in rows] == [("Found 3 files", run)]
+
+
+def test_equal_messages_of_a_run_are_all_stored(spark, tmp_path):
+    path, run = f"{tmp_path}/logs", dt.datetime(2024, 1, 1)
+    messages = spark.createDataFrame([("same",), ("same",), ("other",)], "message string")
+    for _ in range(2):
+        tables.append_log(messages, path, "import", run)
+    rows = tables.read_table(spark, path, schemas.LOGS)
+    assert sorted(r["log_message"] for r in rows.collect()) == ["other", "same", "same"]
+
+
+def test_run_times_are_utc(spark):
+    from tidegauge.__main__ import utc
+    from tidegauge.operators.snapshots import ntz
+
+    aware = dt.datetime.fromisoformat("2024-01-01T23:00:00-05:00")
+    assert utc(aware) == dt.datetime(2024, 1, 2, 4) and utc(dt.datetime(2024, 1, 1)) == dt.datetime(2024, 1, 1)
+    assert abs(utc() - dt.datetime.now(dt.UTC).replace(tzinfo=None)) < dt.timedelta(seconds=5)
+    assert spark.range(1).select(ntz(aware)).first()[0] == dt.datetime(2024, 1, 2, 4)

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import argparse
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge import rules
 from tidegauge.plans import imports, reports
-from tidegauge.session import shared_folder
+from tidegauge.session import SETTINGS, shared_folder
 from tidegauge.sinks import tables
 
 
@@ -40,6 +40,12 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def utc(value: datetime | None = None) -> datetime:
+    """A time without zone that means UTC: now, a time with a zone converted, any other as it is."""
+    value = value or datetime.now(UTC)
+    return value if value.tzinfo is None else value.astimezone(UTC).replace(tzinfo=None)
+
+
 def _log(spark: SparkSession, base: str, job: str, run: datetime, text: str) -> None:
     message = spark.createDataFrame([(text,)], "message string")
     tables.append_log(message, f"{base}/logs", job, run)
@@ -53,13 +59,18 @@ def _print(rows: DataFrame) -> None:
 
 def main(arguments: list[str] | None = None) -> None:
     options = _parser().parse_args(arguments)
-    spark = SparkSession.builder.appName(f"tidegauge-{options.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"tidegauge-{options.job}")
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     base = options.base.rstrip("/")
-    run = getattr(options, "run", None) or datetime.now()
+    run = utc(getattr(options, "run", None))
     if options.job == "init":
         tables.recreate_tables(spark, base)
     elif options.job == "sites":
         imports.import_sites(spark, options.sites, base)
+        studies = tables.read_table(spark, f"{base}/study").count()
+        _log(spark, base, options.job, run, f"Catalogue of {studies} studies")
     elif options.job == "subjects":
         bad, missing = imports.import_subjects(spark, options.roots, base, options.strict)
         text = f"{bad.count()} rows in quarantine, {missing.count()} studies without a file"
@@ -74,6 +85,7 @@ def main(arguments: list[str] | None = None) -> None:
         _log(spark, base, options.job, run, text)
     elif options.job == "statistics":
         imports.compute_statistics(spark, base, run)
+        _log(spark, base, options.job, run, "Snapshot appended")
     elif options.job == "report":
         _print(reports.notification(spark, base, tuple(options.networks.split(","))).select("text"))
     elif options.job == "chart":

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +13,11 @@ DAY = "snapshot_date"
 
 
 def ntz(value: datetime | Column) -> Column:
-    """A zone-less timestamp literal, or the column as it is."""
+    """A zone-less timestamp literal in UTC, or the column as it is."""
     if isinstance(value, Column):
         return value
+    if value.tzinfo is not None:
+        value = value.astimezone(UTC).replace(tzinfo=None)
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,13 +150,21 @@ def recreate_tables(spark: SparkSession, base: str) -> None:
 
 
 def append_log(messages: DataFrame, path: str, module: str, run_ts: datetime) -> None:
-    """Add `message` rows to the job log. Ids follow from the content, so a retry adds nothing."""
+    """Add `message` rows to the job log.
+
+    Ids follow from the content and, for equal messages of a run, their number: all of them are
+    kept, and a retry adds nothing.
+    """
     stamped = messages.select(
         F.lit(module).alias("log_module"),
         F.col("message").alias("log_message"),
         ntz(run_ts).alias("log_timestamp"),
     )
-    text = F.concat_ws("\n", "log_module", "log_message", F.col("log_timestamp").cast("string"))
-    rows = stamped.withColumn("log_id", F.md5(text)).select(*schemas.LOGS.names).distinct()
+    equal = Window.partitionBy("log_message").orderBy("log_module")
+    stamped = stamped.withColumn("number", F.row_number().over(equal).cast("string"))
+    text = F.concat_ws(
+        "\n", "log_module", "log_message", F.col("log_timestamp").cast("string"), "number"
+    )
+    rows = stamped.withColumn("log_id", F.md5(text)).select(*schemas.LOGS.names)
     known = read_table(messages.sparkSession, path, schemas.LOGS).select("log_id")
     write_table(rows.join(known, "log_id", "left_anti"), path, "append")
