@@ -20,6 +20,8 @@ PROFILE = 400
 _EDGE = 1
 _BITS = 21
 _FLUSH = 400_000
+# Bytes of text that are taken apart at once; a gram's arrays take some hundred bytes a letter.
+_PIECE = 1 << 20
 
 
 @cache
@@ -85,7 +87,7 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts.clear()
 
     for batch in batches:
-        for piece in pieces(batch, "text"):
+        for piece in pieces(batch, "text", _PIECE):
             langs = np.array(piece.column("lang").to_pylist(), dtype=object)
             number, owner, alphabet = _grams(piece.column("text").to_pylist())
             names, of = np.unique(langs, return_inverse=True)
@@ -163,7 +165,7 @@ def _predict(known: dict[str, tuple[np.ndarray, np.ndarray]], size: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", _PIECE):
                 best, score = per_piece(piece.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("row"), pa.array(best, pa.string()), pa.array(score, pa.float64())],
