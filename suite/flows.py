@@ -29,7 +29,7 @@ def stats_study_join(f: Frames) -> DataFrame:
 
 def stats_subject_study_join(f: Frames) -> DataFrame:
     return flow.stats_of_networks(f.snapshots(), f.study()).select(
-        "network_id", "study_id", "modality", "is_protected", "is_raw", TS, "size_bytes"
+        "network_id", "study_id", "subject_id", "modality", "is_protected", "is_raw", TS, "size_bytes"
     )
 
 
@@ -113,9 +113,11 @@ CHECKS = {
     "stats_subject_study_join": Check(
         stats_subject_study_join,
         sql(
-            """SELECT network_id, study_id, modality, is_protected, is_raw, statistics_timestamp, size_bytes
-            FROM stats LEFT JOIN adp_study USING (study_id) WHERE network_id IS NOT NULL""",
+            """SELECT network_id, study_id, subject_id, modality, is_protected, is_raw, statistics_timestamp,
+            size_bytes FROM stats LEFT JOIN adp_subjects USING (study_id, subject_id)
+            LEFT JOIN adp_study USING (study_id) WHERE network_id IS NOT NULL""",
             "stats",
+            "adp_subjects",
             "adp_study",
         ),
     ),

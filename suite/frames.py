@@ -191,13 +191,13 @@ class Frames:
 
     # --- snapshots ----------------------------------------------------------
     def monthly_statistics(self) -> DataFrame:
-        """Full recounts per study at the start of every month, from the second month on.
+        """Full recounts per subject at the start of every month, from the second month on.
 
         Files are counted once per month; running sums over the few monthly rows
         of a group give the recounts. A group has no row before its first file.
         """
         month = F.trunc(F.col("m_time").cast("date"), "month")
-        keys = ["study_id", "modality", "is_protected", "is_raw"]
+        keys = ["study_id", "subject_id", "modality", "is_protected", "is_raw"]
         counted = volume_statistics(
             self.files().withColumn("month", month), self.tags(), [*keys, "month"]
         )
@@ -217,7 +217,7 @@ class Frames:
             .withColumn("at", F.add_months("at", 1))
             .select(
                 "study_id",
-                F.lit("*").alias("subject_id"),
+                "subject_id",
                 "is_raw",
                 "is_protected",
                 "modality",
@@ -255,12 +255,14 @@ class Frames:
         )
 
     def daily_statistics(self) -> DataFrame:
-        """Daily recounts per study and modality; a user is the customer of the same number.
+        """Daily recounts per subject and modality; a user is the customer of the same number.
 
         Days without events repeat the last recount, so a running series has no gaps.
         """
-        keys = ["study_id", "modality"]
-        users = self.customers().select(F.col("c_custkey").alias("user_id"), F.col("n_name").alias("study_id"))
+        keys = ["study_id", "subject_id", "modality"]
+        users = self.customers().selectExpr(
+            "c_custkey AS user_id", "n_name AS study_id", f"{SUBJECT_ID} AS subject_id"
+        )
         events = self.table("events")
         per_user = events.selectExpr(
             "user_id", "event_type AS modality", "cast(ts AS date) AS day", f"{EVENT_CENTS} AS cents"
@@ -268,9 +270,7 @@ class Frames:
         per_user = per_user.groupBy("user_id", "modality", "day").agg(
             F.count(F.lit(1)).alias("n"), F.sum("cents").alias("b")
         )
-        daily = per_user.join(users, "user_id").groupBy(*keys, "day").agg(
-            F.sum("n").alias("n"), F.sum("b").alias("b")
-        )
+        daily = per_user.join(users, "user_id")
         last_day = events.agg(F.max("ts")).scalar().cast("date")
         over = Window.partitionBy(*keys).orderBy("day")
         until = F.coalesce(F.date_sub(F.lead("day").over(over), 1), last_day)

@@ -105,18 +105,18 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "stats": (
         ("labelled", "cuts"),
-        """SELECT study_id, modality, is_protected, is_raw, cut AS statistics_timestamp,
+        """SELECT study_id, subject_id, modality, is_protected, is_raw, cut AS statistics_timestamp,
         sum(n)::bigint AS files_count, sum(b)::bigint AS size_bytes
-        FROM (SELECT study_id, modality, is_protected, is_raw, date_trunc('month', m_time) AS month,
+        FROM (SELECT study_id, subject_id, modality, is_protected, is_raw, date_trunc('month', m_time) AS month,
                      count(*) AS n, sum(size_bytes) AS b FROM labelled GROUP BY ALL)
         JOIN cuts ON month < cut
         GROUP BY ALL""",
     ),
     "daily_stats": (
         (),
-        """SELECT study_id, modality, true AS is_protected, true AS is_raw, moment AS statistics_timestamp,
-        count(*)::bigint AS files_count, sum(cents)::bigint AS size_bytes
-        FROM (SELECT n_name AS study_id, event_type AS modality, ts, cast(round(value * 100) AS bigint) AS cents
+        """SELECT study_id, subject_id, modality, true AS is_protected, true AS is_raw,
+        moment AS statistics_timestamp, count(*)::bigint AS files_count, sum(cents)::bigint AS size_bytes
+        FROM (SELECT n_name AS study_id, concat('S', c_custkey::varchar) AS subject_id, event_type AS modality, ts, cast(round(value * 100) AS bigint) AS cents
               FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey)
         JOIN (SELECT unnest(generate_series(min(ts)::date::timestamp, max(ts)::date::timestamp, interval 1 day)) AS moment
               FROM events) ON ts::date <= moment

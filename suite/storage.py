@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from suite.check import Check
 from suite.dimensions import typed
 from suite.files import run_counts
-from suite.frames import ROOT, Frames
+from suite.frames import ROOT, SUBJECT_ID, Frames
 from suite.sql import sql
 from tidegauge import schemas
 from tidegauge.functions.paths import study_dir
-from tidegauge.operators import statistics, upsert
+from tidegauge.operators import quality, statistics, upsert
 from tidegauge.plans import imports
 from tidegauge.sinks import tables
 from tidegauge.sources import tree
@@ -103,6 +103,67 @@ def study_files(f: Frames) -> str:
     return root
 
 
+def odd_study_files(f: Frames) -> str:
+    """Study files as they should not be: a lacking column, no file at all, names that clash.
+
+    Of the files that can be read, some rows have a field too many and some lack the last ones.
+    """
+    root = mounted(f.scratch("odd-studies/root"))
+    done = f.scratch("odd-studies/done")
+    if not tables.exists(f.spark, done):
+        study = f.study().select("study_id", study_dir("network_id", "study_id").alias("dir"))
+        rows = f.customers().withColumnRenamed("n_name", "study_id").join(study, "study_id")
+        lines = rows.where("c_nationkey % 5 < 2").selectExpr(
+            f"concat('{root}/PROTECTED/', dir, '/', dir, '_metadata.csv') AS folder",
+            """CASE c_nationkey % 5 WHEN 0 THEN 'Subject ID,Active,Study'
+            ELSE 'Subject ID,Active,Consent,Study,age,Age,study_id,Score' END AS header""",
+            f"""concat_ws(',', {SUBJECT_ID}, int(c_acctbal > 0),
+                CASE WHEN c_nationkey % 5 = 1 THEN '2021-01-02' END, study_id,
+                CASE WHEN c_nationkey % 5 = 0 THEN NULL
+                WHEN c_mktsegment = 'HOUSEHOLD' THEN cast(c_custkey % 90 AS string)
+                ELSE concat_ws(',', c_custkey % 90, c_mktsegment, concat('x', c_custkey), c_custkey * 3) END,
+                CASE WHEN c_nationkey % 5 = 1 AND c_mktsegment = 'FURNITURE' THEN 'tail' END) AS line""",
+        )
+        tables.publish(lines.mapInPandas(_write_lines, "written bigint"), done)
+    return root
+
+
+def odd_subjects(f: Frames) -> DataFrame:
+    """The subjects of such files, with numbers kept as numbers."""
+    subjects, _, _ = imports.load_subjects(f.study(), odd_study_files(f), {"Score": "bigint"})
+    return subjects
+
+
+def subject_quarantine(f: Frames) -> DataFrame:
+    """Rows of the stored quarantine."""
+    base, root = fresh(f, "import"), odd_study_files(f)
+    tables.publish(f.study(), f"{base}/study")
+    imports.import_subjects(f.spark, root, base)
+    stored = tables.read_table(f.spark, f"{base}/subject_quarantine")
+    return stored.select("study_id", "subject_id", "problem", "row_text")
+
+
+def study_problems(f: Frames) -> DataFrame:
+    """Studies that cannot be read, from the stored table; a study may have many parts."""
+    base, root = fresh(f, "import"), odd_study_files(f)
+    tables.publish(f.study(), f"{base}/study")
+    imports.import_subjects(f.spark, root, base)
+    return tables.read_table(f.spark, f"{base}/study_problems").select("study_id", "problem").distinct()
+
+
+def schema_orphans(f: Frames) -> DataFrame:
+    """Every foreign key of the schema, over tables whose parents lack some rows."""
+    return quality.schema_orphans(
+        {
+            "networks": f.table("region").where("r_regionkey > 0").selectExpr("r_name AS network_id"),
+            "study": f.study().where("cast(study_country_code AS int) % 5 <> 4"),
+            "subjects": f.subjects().where("is_active"),
+            "file_catalog": f.files_base(),
+            "volume_statistics": f.snapshots(),
+        }
+    )
+
+
 def crawl_files(f: Frames) -> DataFrame:
     root = file_tree(f)
     found = tree.crawl(f.subjects(), f.study(), root, fresh(f, "crawl"))
@@ -308,6 +369,48 @@ CHECKS = {
             "adp_subjects",
         ),
     ),
+    "odd_subjects": Check(
+        odd_subjects,
+        """SELECT n_name AS study_id, concat('S', c_custkey::varchar) AS subject_id, c_acctbal > 0 AS is_active,
+        date '2021-01-02' AS consent_date,
+        CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN concat('{"age":"', (c_custkey % 90)::varchar, '"}')
+        ELSE concat('{"Age":"', c_mktsegment, '","Score":', (c_custkey * 3)::varchar, ',"age":"',
+                    (c_custkey % 90)::varchar, '","study_id":"x', c_custkey::varchar, '"}') END AS optional_notes
+        FROM customer JOIN nation ON c_nationkey = n_nationkey
+        WHERE c_nationkey % 5 = 1 AND c_mktsegment <> 'FURNITURE'""",
+    ),
+    "subject_quarantine": Check(
+        subject_quarantine,
+        """SELECT n_name AS study_id, concat('S', c_custkey::varchar) AS subject_id,
+        'more fields than the header' AS problem,
+        concat_ws(',', concat('S', c_custkey::varchar), (c_acctbal > 0)::int::varchar, '2021-01-02', n_name,
+            (c_custkey % 90)::varchar, c_mktsegment, concat('x', c_custkey::varchar), (c_custkey * 3)::varchar,
+            'tail') AS row_text
+        FROM customer JOIN nation ON c_nationkey = n_nationkey
+        WHERE c_nationkey % 5 = 1 AND c_mktsegment = 'FURNITURE'""",
+    ),
+    "study_problems": Check(
+        study_problems,
+        """SELECT n_name AS study_id, CASE WHEN n_nationkey % 5 = 0 AND n_nationkey IN (SELECT c_nationkey FROM customer)
+        THEN 'missing column: Consent' ELSE 'no metadata file' END AS problem FROM nation
+        WHERE n_nationkey % 5 <> 1 OR n_nationkey NOT IN (SELECT c_nationkey FROM customer)""",
+    ),
+    "schema_orphans": Check(
+        schema_orphans,
+        sql(
+            """SELECT 'study' AS child, 'networks' AS parent, count(DISTINCT n_regionkey) AS orphan_keys,
+            count(*) AS orphan_rows FROM nation WHERE n_regionkey = 0 AND n_nationkey % 5 <> 4
+            UNION ALL SELECT 'subjects', 'study', count(DISTINCT c_nationkey), count(*) FROM customer
+            WHERE c_acctbal > 0 AND c_nationkey % 5 = 4
+            UNION ALL SELECT 'file_catalog', 'subjects', count(DISTINCT subject_id), count(*) FROM cat
+            ANTI JOIN (SELECT * FROM adp_subjects WHERE is_active) USING (study_id, subject_id)
+            UNION ALL SELECT 'volume_statistics', 'subjects', count(DISTINCT subject_id), count(*) FROM stats
+            ANTI JOIN (SELECT * FROM adp_subjects WHERE is_active) USING (study_id, subject_id)""",
+            "cat",
+            "stats",
+            "adp_subjects",
+        ),
+    ),
     "load_sites": Check(load_sites, sql("SELECT * FROM adp_study", "adp_study")),
     "append_snapshot": Check(
         append_snapshot,

@@ -95,7 +95,7 @@ def test_command_line(spark, tmp_path, capsys):
     assert [m for m in messages if m[0] in ("files", "subjects")] == [
         ("files", "Found 1 files, 0 problems"),
         ("files", "Found 1 files, 0 problems"),
-        ("subjects", "1 rows in quarantine, 0 studies without a file"),
+        ("subjects", "1 subjects, 1 rows in quarantine, 0 problems"),
     ]
     hashed = tables.read_table(spark, f"{base}/file_catalog").first()
     assert len(hashed["md5"]) == 32 and hashed["file_type"] == ".eeg"

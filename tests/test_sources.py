@@ -170,7 +170,7 @@ def test_study_files(spark, study, metadata):
     assert other["is_active"] is True
     assert json.loads(other["optional_notes"]) == {"Why": "b", "Why, not": 'two\nlines "q"'}
     assert [(r["subject_id"], r["consent_text"]) for r in quarantine.collect()] == [("S4", "2022-13-05")]
-    assert [r["study_id"] for r in missing.collect()] == ["EF"]
+    assert [tuple(r) for r in missing.collect()] == [("EF", None, "no metadata file")]
 
 
 def test_number_notes(spark, study, metadata):
@@ -180,6 +180,67 @@ def test_number_notes(spark, study, metadata):
     assert '{"Age":21,"Note":"hello"}' in notes
 
 
+def test_odd_study_files_lose_nothing(spark, study, tmp_path):
+    """Clashing names, ragged and short rows, parts with other column orders, a lacking column."""
+    home = tmp_path / "PROTECTED"
+    put(
+        home / "Pro netAB/Pro netAB_metadata.csv/part-0.csv",
+        b'age,Age,study_id,path,Subject ID,Active,Consent,Study\n'
+        b'1,2,x,p,S1,1,2022-01-05,X\n"1,5",2,x,p,S2,1,2022-01-05,X,tail\n1,,,,S3,0,2022-01-06,X,,\n',
+    )
+    put(
+        home / "Pro netAB/Pro netAB_metadata.csv/part-1.csv",
+        b"Consent,Active,Study,Subject ID,Score,Kind\n2022-01-07,1,X,S1,7\n2022-01-08,1,X,S4,NA,\"a,b\"\n",
+    )
+    put(home / "Pro netCD/Pro netCD_metadata.csv", b"Subject ID,Active,Study\nS1,1,X\n")
+    subjects, quarantine, problems = imports.load_subjects(
+        study, f"{tmp_path}//", {"Score": "int"}, work=f"{tmp_path}/work"
+    )
+    found = {r["subject_id"]: (r["consent_date"].day, r["optional_notes"]) for r in subjects.collect()}
+    assert found == {"S1": (7, '{"Score":7}'), "S4": (8, '{"Kind":"a,b"}')}
+    bad = {r["subject_id"]: (r["problem"], r["row_text"]) for r in quarantine.collect()}
+    assert bad == {
+        "S2": ("more fields than the header", '"1,5",2,x,p,S2,1,2022-01-05,X,tail'),
+        "S3": ("more fields than the header", "1,,,,S3,0,2022-01-06,X,,"),
+    }
+    told = sorted((r["study_id"], r["problem"]) for r in problems.collect())
+    assert told == [("CD", "missing column: Consent"), ("EF", "no metadata file")]
+
+
+def test_strict_import_stops_before_subjects(spark, study, tmp_path):
+    from tidegauge import schemas
+    from tidegauge.sinks import tables
+
+    put(tmp_path / "PROTECTED/Pro netAB/Pro netAB_metadata.csv", b"Subject ID,Active,Consent,Study\nS1,1,2022-01-05,X\n")
+    put(tmp_path / "PROTECTED/Pro netCD/Pro netCD_metadata.csv", b"Subject ID,Active,Study\nS1,1,X\n")
+    base = f"{tmp_path}/tables"
+    tables.publish(study, f"{base}/study")
+    with pytest.raises(ValueError, match="missing column"):
+        imports.import_subjects(spark, str(tmp_path), base, strict=True)
+    assert not tables.exists(spark, f"{base}/subjects")
+    imports.import_subjects(spark, str(tmp_path), base)
+    assert tables.read_table(spark, f"{base}/subjects", schemas.SUBJECTS).count() == 1
+    assert tables.read_table(spark, f"{base}/study_problems").count() == 2
+    assert tables.read_table(spark, f"{base}/subject_quarantine").count() == 0
+
+
+def test_site_import_can_be_repeated_after_a_failure(spark, tmp_path):
+    from tidegauge.sinks import tables
+
+    base = f"{tmp_path}/tables"
+    site = {"id": "AB", "name": "Ab", "country": "", "country_code": "DE", "network": "P"}
+    twice = [site, {**site, "network": "Q"}]
+    (tmp_path / "sites.json").write_text(json.dumps(twice))
+    with pytest.raises(ValueError, match="duplicate keys"):
+        imports.import_sites(spark, f"{tmp_path}/sites.json", base)
+    assert not tables.exists(spark, f"{base}/networks")
+    (tmp_path / "more.json").write_text(json.dumps([site]))
+    tables.publish(spark.createDataFrame([("P",)], "network_id string"), f"{base}/networks")
+    imports.import_sites(spark, f"{tmp_path}/more.json", base)
+    assert tables.read_table(spark, f"{base}/networks").collect() == [("P",)]
+    assert tables.read_table(spark, f"{base}/study").count() == 1
+
+
 def test_large_study_file_may_be_split(spark, study, tmp_path):
     """Without quoted line breaks a file is read in several tasks; the last line still wins."""
     lines = ["Subject ID,Active,Consent,Study,Note"]
@@ -190,7 +251,7 @@ def test_large_study_file_may_be_split(spark, study, tmp_path):
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
         rows = study_csv.read_metadata(files, multi_line=False)
-        assert rows.rdd.getNumPartitions() > 1 or rows.select("_block").distinct().count() > 1
+        assert rows.rdd.getNumPartitions() > 1 or rows.select("block").distinct().count() > 1
         parsed, _ = study_csv.subject_rows(rows)
         from tidegauge.operators.upsert import dedupe_latest
 

@@ -7,7 +7,7 @@ from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge import rules
+from tidegauge import rules, schemas
 from tidegauge.plans import imports, reports
 from tidegauge.session import SETTINGS, shared_folder
 from tidegauge.sinks import tables
@@ -22,6 +22,10 @@ def _parser() -> argparse.ArgumentParser:
     sites.add_argument("--sites", required=True, help="JSON array of sites")
     subjects = jobs.add_parser("subjects", help="import the study metadata files")
     subjects.add_argument("--strict", action="store_true", help="stop at the first bad row")
+    subjects.add_argument("--numbers", default="", help="notes kept as numbers: Age=int,Score=double")
+    subjects.add_argument(
+        "--single-line", action="store_true", help="no quoted line breaks: large files may be split"
+    )
     files = jobs.add_parser("files", help="crawl the tree into the catalogue")
     files.add_argument("--hash", dest="hash_algorithm", help="also hash contents, for example md5")
     files.add_argument("--keep", action="store_true", help="merge into the catalogue")
@@ -72,8 +76,12 @@ def main(arguments: list[str] | None = None) -> None:
         studies = tables.read_table(spark, f"{base}/study").count()
         _log(spark, base, options.job, run, f"Catalogue of {studies} studies")
     elif options.job == "subjects":
-        bad, missing = imports.import_subjects(spark, options.roots, base, options.strict)
-        text = f"{bad.count()} rows in quarantine, {missing.count()} studies without a file"
+        numbers = dict(pair.rsplit("=", 1) for pair in options.numbers.split(",") if pair)
+        bad, problems = imports.import_subjects(
+            spark, options.roots, base, options.strict, numbers, not options.single_line
+        )
+        found = tables.read_table(spark, f"{base}/subjects", schemas.SUBJECTS).count()
+        text = f"{found} subjects, {bad.count()} rows in quarantine, {problems.count()} problems"
         _log(spark, base, options.job, run, text)
     elif options.job == "files":
         work = shared_folder(spark, f"crawl-{run:%Y%m%dT%H%M%S%f}")

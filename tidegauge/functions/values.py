@@ -65,6 +65,25 @@ def pack_json(columns: list[str], numbers: dict[str, str] | None = None) -> Colu
     return F.to_json(F.struct(*[field(name) for name in columns]))
 
 
+def pack_map(values: Column, numbers: dict[str, str] | None = None) -> Column:
+    """The entries of a text map whose value is not null, as one JSON object ordered by key.
+
+    `numbers` names keys to be written with a given numeric type instead of as text.
+    """
+
+    def entry(pair: Column) -> Column:
+        written = F.to_json(F.create_map(pair["key"], pair["value"]))
+        for name, kind in (numbers or {}).items():
+            typed = pair["value"].try_cast(kind)
+            typed = nan_to_null(typed) if kind in ("double", "float") else typed
+            number = F.when(typed.isNotNull(), F.to_json(F.create_map(pair["key"], typed)))
+            written = F.when(pair["key"] == name, number).otherwise(written)
+        return F.substring(written, F.lit(2), F.length(written) - 2)
+
+    pairs = F.array_sort(F.map_entries(F.map_filter(values, lambda _, text: text.isNotNull())))
+    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, entry), ","), F.lit("}"))
+
+
 def json_text(json: str | Column, key: str) -> Column:
     """Value of a top-level key as text; null when the key is missing."""
     return F.get_json_object(as_col(json), f"$.{key}")

@@ -108,10 +108,10 @@ PRIMARY_KEYS = {
 # Order of the stored catalogue: lookups go by subject and modality.
 CATALOG_ORDER = ["study_id", "subject_id", "modality", "file_path"]
 
-# child table -> [(columns, parent table)]
+# child table -> [(columns, parent table)]; the wide catalogue holds the attributes of its files itself
 FOREIGN_KEYS = {
     "study": [(["network_id"], "networks")],
     "subjects": [(["study_id"], "study")],
-    "file_catalog": [(["study_id", "subject_id"], "subjects"), (["file_path"], "files")],
+    "file_catalog": [(["study_id", "subject_id"], "subjects")],
     "volume_statistics": [(["study_id", "subject_id"], "subjects")],
 }

@@ -1,8 +1,9 @@
 """Parquet tables with whole-table publishing.
 
-A table is a folder of numbered versions. A writer fills a new version and the
-job commit makes it visible, so readers see the old table or the new one, never
-an empty or half-written one, and nothing is overwritten while it is read.
+A table is a folder of numbered versions. `publish` fills a new version and the
+job commit makes it visible, so its readers see the old table or the new one, never
+an empty or half-written one, and nothing is overwritten while it is read. Appends and
+replaced snapshot partitions go into the visible version: read them after the job.
 """
 
 from __future__ import annotations
@@ -100,12 +101,16 @@ def upsert_table(
     return publish(merged, path, order_by=order_by)
 
 
-def insert_table(new: DataFrame, path: str, key: list[str], schema: T.StructType) -> None:
-    """Append rows whose keys must all be new."""
-    spark = new.sparkSession
-    clash = insert_conflicts(read_table(spark, path, schema), new, key).take(5)
+def check_new(new: DataFrame, path: str, key: list[str], schema: T.StructType) -> None:
+    """Raise when a key is in the table already or given twice."""
+    clash = insert_conflicts(read_table(new.sparkSession, path, schema), new, key).take(5)
     if clash:
         raise ValueError(f"duplicate keys for {path}, for example {[r.asDict() for r in clash]}")
+
+
+def insert_table(new: DataFrame, path: str, key: list[str], schema: T.StructType) -> None:
+    """Append rows whose keys must all be new."""
+    check_new(new, path, key, schema)
     write_table(new.select(*schema.names), path, "append")
 
 

@@ -4,24 +4,24 @@ from __future__ import annotations
 
 import csv
 import os
+import re
 from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameReader, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge import rules
 from tidegauge.functions.paths import metadata_file, study_dir
 from tidegauge.functions.times import parse_date
-from tidegauge.functions.values import missing_to_null, nonzero_flag, pack_json
-from tidegauge.operators.quality import required_fields
+from tidegauge.functions.values import missing_to_null, nonzero_flag, pack_map
 from tidegauge.sources.tree import check_mounted
 
-_FILE_SCHEMA = "study_id string, study_dir string, pos int, path string, header array<string>"
-# In-file position of a row: start of its split, then its number within the scan.
-SEQUENCE = ["_block", "_line"]
+_FILE_SCHEMA = "study_id string, pos int, path string, header array<string>"
+# Position of a row: its file, start of its split, then its number within the scan.
+SEQUENCE = ["path", "block", "line"]
 
 
 def candidate_files(study: DataFrame, roots: str) -> DataFrame:
@@ -38,10 +38,7 @@ def candidate_files(study: DataFrame, roots: str) -> DataFrame:
         metadata_file("network_id", "study_id"),
     )
     return study.select("study_id", "network_id", F.inline(F.array(*priority))).select(
-        "study_id",
-        study_dir("network_id", "study_id").alias("study_dir"),
-        "pos",
-        path.alias("path"),
+        "study_id", "pos", path.alias("path")
     )
 
 
@@ -56,93 +53,152 @@ def _column_names(header: list[str]) -> list[str]:
         names.append(f"{name}.{repeat}" if repeat else name)
     return names
 
-
-def _header_of(path: str) -> list[str] | None:
-    if os.path.isdir(path):
-        parts = sorted(n for n in os.listdir(path) if n.startswith("part-"))
-        path = os.path.join(path, parts[0]) if parts else path
-    if not os.path.isfile(path):
-        return None
+def _header_of(path: str) -> list[str]:
     with open(path, encoding="utf-8-sig", newline="") as file:
         return _column_names(next(csv.reader(file), []))
 
 
+def _files_at(path: str) -> list[str]:
+    """The file, or the parts of a folder of parts in the order of their names."""
+    if os.path.isdir(path):
+        return sorted(f"{path}/{name}" for name in os.listdir(path) if name.startswith("part-"))
+    return [path] if os.path.isfile(path) else []
+
+
 def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield batch.assign(header=[_header_of(path) for path in batch["path"]])
+        found = [
+            (row.study_id, row.pos, path, _header_of(path))
+            for row in batch.itertuples()
+            for path in _files_at(re.sub("/+", "/", row.path))
+        ]
+        yield pd.DataFrame(found, columns=["study_id", "pos", "path", "header"])
 
 
 def find_files(candidates: DataFrame) -> DataFrame:
-    """The first existing file of each study with its header; null path when none exists."""
+    """The files of each study below the first root that has any, each with its own header.
+
+    `problem` names what keeps a file from being read: a required column that its header
+    lacks. A study without a file is a row with a null path.
+    """
     probed = candidates.repartition("path").mapInPandas(_read_headers, _FILE_SCHEMA)
-    exists = F.col("header").isNotNull()
-    return probed.groupBy("study_id", "study_dir").agg(
-        F.min_by("path", F.when(exists, F.col("pos"))).alias("path"),
-        F.min_by("header", F.when(exists, F.col("pos"))).alias("header"),
+    first = Window.partitionBy("study_id")
+    found = probed.withColumn("first", F.min("pos").over(first)).where(F.col("pos") == F.col("first"))
+    lacking = F.array_except(F.array(*[F.lit(f) for f in rules.REQUIRED_FIELDS]), "header")
+    problem = (
+        F.when(F.col("path").isNull(), F.lit("no metadata file"))
+        .when(F.size(lacking) > 0, F.concat(F.lit("missing column: "), F.array_join(lacking, ", ")))
+    )
+    studies = candidates.select("study_id").distinct()
+    return (
+        studies.join(found, "study_id", "left")
+        .select("study_id", "path", "header", problem.alias("problem"))
+    )
+
+
+def _reader(files: DataFrame, cells: list[str], multi_line: bool) -> DataFrameReader:
+    """A reader of text cells; `raw` is the text of a row whose fields do not fit the header."""
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*cells, "raw"]])
+    return files.sparkSession.read.schema(schema).options(
+        header=True,
+        multiLine=multi_line,
+        escape='"',
+        columnNameOfCorruptRecord="raw",
+        columnPruning=False,
+    )
+
+
+def _scan(files: DataFrame, width: int, multi_line: bool) -> DataFrame:
+    """All rows of the files whose header has `width` columns, cells by position."""
+    cells = [f"c{i}" for i in range(width)]
+    paths = [row["path"] for row in files.where(F.size("header") == width).toLocalIterator()]
+    # A row has more fields than the header: counted on the raw text, without what is quoted.
+    bare = F.regexp_replace("raw", '"([^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    location = F.regexp_replace(F.col("_metadata.file_path"), "^file:(//)?", "")
+    return (
+        _reader(files, cells, multi_line)
+        .csv(paths)
+        .select(
+            F.url_decode(F.replace(location, F.lit("+"), F.lit("%2B"))).alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+            F.array(*cells).alias("cells"),
+            F.regexp_replace("raw", r"[\r\n]+$", "").alias("raw"),
+            F.coalesce(fields > width, F.lit(False)).alias("is_ragged"),
+        )
     )
 
 
 def read_metadata(files: DataFrame, multi_line: bool = True) -> DataFrame:
-    """Rows of all study files as text, with `study_id` and the in-file position.
+    """Rows of all study files, with the study, the file and the position in it.
+
+    `values` maps the header's names to cells, so names never meet those of the result:
+    they may differ in case only, or be `study_id`. Rows shorter than the header lack the
+    last cells; longer ones are marked `is_ragged` and keep their text in `raw`.
 
-    Only file names and headers, one per study, come to the driver: they decide
-    which files can be read together. Quoted line breaks need `multi_line`, which
-    keeps a file in one task; without them, large files can be split.
+    Only file names come to the driver; files with equally many columns are one scan.
+    Quoted line breaks need `multi_line`, which keeps a file in one task; without
+    them, large files can be split.
     """
-    spark = files.sparkSession
-    by_header = (
-        files.where(F.col("path").isNotNull())
-        .groupBy("header")
-        .agg(F.collect_list("path").alias("paths"))
+    usable = files.where(F.col("problem").isNull())
+    widths = sorted(row[0] for row in usable.select(F.size("header")).distinct().toLocalIterator())
+    if not widths:
+        raise FileNotFoundError("no study metadata file that can be read")
+    rows = reduce(DataFrame.union, [_scan(usable, width, multi_line) for width in widths])
+    return rows.join(usable.select("path", "study_id", "header"), "path").select(
+        "study_id", *SEQUENCE, F.map_from_arrays("header", "cells").alias("values"), "raw", "is_ragged"
     )
-    parts = []
-    for group in by_header.toLocalIterator():
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in group["header"]])
-        parts.append(
-            spark.read.schema(schema)
-            .options(header=True, multiLine=multi_line, escape='"')
-            .csv(group["paths"])
-            .withColumn("_path", F.col("_metadata.file_path"))
-            .withColumn("_block", F.col("_metadata.file_block_start"))
-            .withColumn("_line", F.monotonically_increasing_id())
-        )
-    if not parts:
-        raise FileNotFoundError("no study metadata file found")
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    name = F.regexp_extract("_path", rf"([^/]+){rules.METADATA_SUFFIX}(?:/[^/]*)?$", 1)
-    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
-    return (
-        rows.withColumn("study_dir", decoded)
-        .join(files.select("study_id", "study_dir"), "study_dir")
-        .drop("study_dir", "_path")
+
+
+def parse_rows(rows: DataFrame, number_notes: dict[str, str] | None = None) -> DataFrame:
+    """Subjects as far as they can be parsed; `problem` tells why a row is not one.
+
+    Rows lacking a required field are dropped, as they name no subject. More fields than the
+    header, a flag that is no number or a date that is no date are problems. Every further
+    column that has a value goes into the JSON notes, as a number where `number_notes`
+    gives its type.
+    """
+    texts = [missing_to_null(F.col("values")[name]) for name in rules.REQUIRED_FIELDS]
+    complete = rows.where(F.col("is_ragged") | ~F.greatest(*[text.isNull() for text in texts]))
+    others = F.map_filter(
+        "values",
+        lambda name, text: ~name.isin(*rules.REQUIRED_FIELDS) & missing_to_null(text).isNotNull(),
     )
+    parsed = complete.select(
+        "study_id",
+        F.col("values")["Subject ID"].alias("subject_id"),
+        nonzero_flag(F.col("values")["Active"]).alias("is_active"),
+        parse_date(F.col("values")["Consent"]).alias("consent_date"),
+        pack_map(others, number_notes).alias("optional_notes"),
+        F.col("values")["Active"].alias("active_text"),
+        F.col("values")["Consent"].alias("consent_text"),
+        "raw",
+        "is_ragged",
+        *SEQUENCE,
+    )
+    problem = (
+        F.when(F.col("is_ragged"), F.lit("more fields than the header"))
+        .when(F.col("is_active").isNull(), F.lit("flag is no number"))
+        .when(F.col("consent_date").isNull(), F.lit("date is no date"))
+    )
+    return parsed.withColumn("problem", problem)
 
 
 def subject_rows(
     rows: DataFrame, number_notes: dict[str, str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Subjects, and the rows in quarantine.
+    """Subjects, and the rows in quarantine."""
+    return split_rows(parse_rows(rows, number_notes))
 
-    Rows lacking a required field are dropped. A flag that is no number or a date
-    that is no date sends the row to quarantine. Every further column that has a
-    value goes into the JSON notes.
-    """
-    known = {*rules.REQUIRED_FIELDS, "study_id", *SEQUENCE}
-    others = sorted(c for c in rows.columns if c not in known)
-    cleaned = rows.withColumns({c: missing_to_null(F.col(f"`{c}`")) for c in others})
-    parsed = required_fields(cleaned).select(
-        "study_id",
-        F.col("`Subject ID`").alias("subject_id"),
-        nonzero_flag("`Active`").alias("is_active"),
-        parse_date("`Consent`").alias("consent_date"),
-        pack_json(others, number_notes).alias("optional_notes"),
-        F.col("`Active`").alias("active_text"),
-        F.col("`Consent`").alias("consent_text"),
-        *SEQUENCE,
+
+def split_rows(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Parsed rows without a problem, and those in quarantine."""
+    subjects = parsed.where(F.col("problem").isNull()).select(
+        "study_id", "subject_id", "is_active", "consent_date", "optional_notes", *SEQUENCE
     )
-    good = F.col("is_active").isNotNull() & F.col("consent_date").isNotNull()
-    subjects = parsed.where(good).drop("active_text", "consent_text")
-    quarantine = parsed.where(~good).select(
-        "study_id", "subject_id", "active_text", "consent_text", "optional_notes"
+    ragged_text = F.when(F.col("is_ragged"), F.col("raw")).alias("row_text")
+    quarantine = parsed.where(F.col("problem").isNotNull()).select(
+        "study_id", "subject_id", "active_text", "consent_text", "optional_notes", "path", "problem", ragged_text
     )
     return subjects, quarantine
