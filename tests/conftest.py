@@ -11,8 +11,6 @@ sys.path[:0] = [REPO, str(Path(__file__).resolve().parent)]
 # Python workers import the packages from here.
 os.environ["PYTHONPATH"] = os.pathsep.join([REPO, os.environ.get("PYTHONPATH", "")])
 
-DATA = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -26,6 +24,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def frames(spark):
+    from compare import DATA
     from suite.frames import Frames
 
     return Frames(spark, DATA)

@@ -2,7 +2,7 @@
 
 import compare
 import pytest
-from conftest import DATA
+from compare import DATA
 
 import __spark_entry__ as entry
 
