@@ -121,7 +121,10 @@ class WarcReader(DataSourceReader):
                 yield one
 
     def partitions(self) -> list[Files]:
-        """Files packed to about 64 MB; a record never spans tasks, a file is read from its start."""
+        """Files packed to about 64 MB; a record never spans tasks, a file is read from its start.
+
+        Without files there is one empty pack, since Spark hands a reader without partitions None.
+        """
         system, root = _place(self.path)
         found = system.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True))
         files = sorted(
@@ -135,7 +138,7 @@ class WarcReader(DataSourceReader):
                 held = 0
             packs[-1].paths.append(path)
             held -= size
-        return packs
+        return packs or [Files([])]
 
     def _wanted(self, values: dict[str, object]) -> bool:
         for column, kind, what in self.tests:
