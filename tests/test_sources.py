@@ -128,6 +128,38 @@ def test_object_stores_are_refused(spark, study):
         study_csv.candidate_files(study, "s3a://bucket/b")
 
 
+def test_hashing_is_split_by_bytes():
+    assert tree.hash_tasks(20_000, 20_000 << 30, 20_000, 4 << 30) == 5_000
+    assert tree.hash_tasks(100_000, 0, 20_000, 4 << 30) == 5
+    assert tree.hash_tasks(0, 0, 20_000, 4 << 30) == 1
+
+
+def test_hashing_reports_what_vanished(spark, tmp_path):
+    put(tmp_path / "there", b"abc")
+    rows = [
+        ("AB", "S1", True, True, "mri", f"{tmp_path}/there", 3, 1_700_000_000_000_001, None, None),
+        ("AB", "S1", True, True, "mri", f"{tmp_path}/gone", 3, 1, None, None),
+        ("AB", "S1", True, True, "mri", f"{tmp_path}/there", None, None, None, "unreadable"),
+    ]
+    found = tree.hash_files(spark.createDataFrame(rows, tree.FOUND), "md5").collect()
+    assert {(r["m_time_micros"], r["md5"], r["problem"]) for r in found} == {
+        (1_700_000_000_000_001, "900150983cd24fb0d6963f7d28e17f72", None),
+        (1, None, "vanished"),
+        (None, None, "unreadable"),
+    }
+
+
+def test_vanished_directories_are_reported(spark, tmp_path):
+    """A start directory is a guess and may be absent; one found by listing may not."""
+    import pandas as pd
+
+    names = ["study_id", "subject_id", "is_protected", "is_raw", "modality", "path"]
+    gone = [("AB", "S1", True, True, modality, f"{tmp_path}/gone") for modality in (None, "mri")]
+    batch = pd.DataFrame(gone, columns=names, dtype=object)
+    listed = pd.concat(tree._list_level(iter([batch])))
+    assert [(r.modality, r.kind) for r in listed.itertuples()] == [("mri", tree.VANISHED)]
+
+
 def test_vanished_files_are_reported(spark, study, subjects, roots, tmp_path):
     resolved = tree.resolve_roots(study, tree.existing_study_dirs(tree.split_roots(spark, roots)))
     entries = tree.list_tree(tree.subject_directories(subjects, resolved), f"{tmp_path}/work")
