@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from suite.frames import COHORTS, NETWORKS, Frames
 from suite.sql import sql
 from tidegauge.functions import paths, text, times, values
 from tidegauge.operators import lookups, quality, recruitment, statistics, upsert
-from tidegauge.sources import sites_json, tree
+from tidegauge.sources import queries, sites_json, tree
 
 # Customers as typed lines of study metadata; the SQL side has the same in `typed`.
 ACTIVE = """CASE WHEN c_mktsegment = 'FURNITURE' AND c_acctbal < 0 THEN 'unknown'
@@ -64,6 +66,17 @@ def fk_orphans(f: Frames) -> DataFrame:
     )
 
 
+def sql_access(f: Frames) -> DataFrame:
+    """SQL text with named parameters over registered tables."""
+    queries.register({"tracked_study": f.study(), "tracked_subjects": f.subjects()})
+    return queries.run_sql(
+        f.spark,
+        """SELECT network_id, count(*) AS subjects FROM tracked_subjects JOIN tracked_study USING (study_id)
+        WHERE consent_date >= :since AND is_active GROUP BY network_id""",
+        since=date(2021, 1, 1),
+    )
+
+
 def network_label(f: Frames) -> DataFrame:
     return f.study().select(
         "study_id",
@@ -217,6 +230,15 @@ _COUNTS_SQL = """SELECT (dense_rank() OVER (ORDER BY network_id) - 1)::int AS ne
     FROM recruited GROUP BY network_id, cohort"""
 
 CHECKS = {
+    "sql_access": Check(
+        sql_access,
+        sql(
+            """SELECT network_id, count(*) AS subjects FROM adp_subjects JOIN adp_study USING (study_id)
+            WHERE consent_date >= date '2021-01-01' AND is_active GROUP BY network_id""",
+            "adp_subjects",
+            "adp_study",
+        ),
+    ),
     "list_studies": Check(
         lambda f: lookups.list_studies(f.study()),
         sql("SELECT study_id FROM adp_study ORDER BY study_id", "adp_study"),

@@ -62,6 +62,13 @@ def files_by_tag(f: Frames) -> DataFrame:
     )
 
 
+def subject_files_by_tag(f: Frames) -> DataFrame:
+    """Every active subject asks for its surveys from MGB."""
+    requests = f.subjects().where("is_active").selectExpr("study_id", "subject_id", "'surveys' AS modality")
+    found = lookups.files_for_by_tag(f.catalog(), requests.hint("merge"), "redcap_instance", "MGB")
+    return found.select("study_id", "subject_id", "file_path", "metadata")
+
+
 def volume_statistics(f: Frames) -> DataFrame:
     return statistics.volume_statistics(f.files(), f.tags())
 
@@ -144,6 +151,16 @@ CHECKS = {
             "cat",
         ),
     ),
+    "subject_files_by_tag": Check(
+        subject_files_by_tag,
+        sql(
+            """SELECT study_id, subject_id, file_path, concat('{"redcap_instance":"', tag, '"}') AS metadata
+            FROM cat SEMI JOIN (SELECT * FROM adp_subjects WHERE is_active) USING (study_id, subject_id)
+            WHERE tag LIKE 'MGB%' AND modality = 'surveys'""",
+            "cat",
+            "adp_subjects",
+        ),
+    ),
     "subject_files": Check(
         subject_files,
         sql(

@@ -80,3 +80,13 @@ def files_by_tag(
 ) -> DataFrame:
     """Rows whose JSON tag `key` contains `value`; a missing key never matches."""
     return rows.where(tag_contains(metadata, key, value))
+
+
+def files_for_by_tag(
+    catalog: DataFrame, requests: DataFrame, key: str, value: str
+) -> DataFrame:
+    """Files of the requested (study, subject, modality) whose tag `key` contains `value`.
+
+    Tags are tested first, so only matching files travel to the join.
+    """
+    return files_for(files_by_tag(catalog, key, value), requests)
