@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidegauge import schemas
@@ -129,3 +130,10 @@ def test_run_times_are_utc(spark):
     assert utc(aware) == dt.datetime(2024, 1, 2, 4) and utc(dt.datetime(2024, 1, 1)) == dt.datetime(2024, 1, 1)
     assert abs(utc() - dt.datetime.now(dt.UTC).replace(tzinfo=None)) < dt.timedelta(seconds=5)
     assert spark.range(1).select(ntz(aware)).first()[0] == dt.datetime(2024, 1, 2, 4)
+
+
+def test_snapshots_of_another_day_are_refused(spark, tmp_path):
+    rows = tables.with_run(stats(spark, 1), dt.datetime(2024, 1, 2, 6))
+    moved = rows.withColumn("snapshot_date", F.lit(dt.date(2024, 1, 3)))
+    with pytest.raises(Exception, match="not the day"):
+        tables.append_snapshots(moved, f"{tmp_path}/statistics")

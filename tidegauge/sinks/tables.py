@@ -129,7 +129,8 @@ def append_snapshots(stats: DataFrame, path: str, many_runs: bool = False) -> No
     """Add stamped snapshots; one that is there already is replaced, all others stay.
 
     The partition is the day and the run, so a repeated run is idempotent and two
-    runs of a day are two snapshots. One run is written as it comes out of its
+    runs of a day are two snapshots. Readers prune by day, so a row whose day is not that of
+    its time is an error. One run is written as it comes out of its
     aggregation; `many_runs` are first gathered by run, which needs a shuffle.
     """
     spark = stats.sparkSession
@@ -137,6 +138,10 @@ def append_snapshots(stats: DataFrame, path: str, many_runs: bool = False) -> No
     if not found:
         publish(stats.limit(0), path, SNAPSHOT_PARTITIONS)
         found = _versions(spark, path)
+    day = F.col("snapshot_date")
+    wrong = F.raise_error(F.lit("snapshot_date is not the day of statistics_timestamp"))
+    same = day == F.col("statistics_timestamp").cast("date")
+    stats = stats.withColumn("snapshot_date", F.when(same, day).otherwise(wrong))
     if many_runs:
         stats = stats.hint("rebalance", *SNAPSHOT_PARTITIONS)
     (
