@@ -60,6 +60,56 @@ def _blocks(text: Column, vocabulary: list[str]) -> Column:
     return F.transform(F.split(text, "\n"), lambda line: F.array_intersect(known, plain_words(line)))
 
 
+def _numbered(text: Column) -> Column:
+    """The plain words of a text in their order, each with the number of its line."""
+    return F.flatten(
+        F.transform(
+            F.split(text, "\n"),
+            lambda line, i: F.transform(
+                plain_words(line), lambda w: F.struct(i.alias("block"), w.alias("word"))
+            ),
+        )
+    )
+
+
+def _run_matches(
+    rows: DataFrame, sets: dict[str, list[str]], needed: dict[str, int], templates: dict[str, str]
+) -> DataFrame:
+    """`row_id, label, block, containment` of the runs of words that match a template across lines.
+
+    A run has as many words as the template and begins with one of its words, `block` is the line it begins in.
+    """
+    def found(label: str, own: list[str]) -> Column:
+        words, need = F.array(*map(F.lit, own)), needed[label]
+        plain = "".join(c if c.isalnum() else " " for c in templates[label].lower())
+        width = len(plain.split())
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size("words") - 1),
+            lambda i: F.array_contains(words, F.get("words", i)),
+        )
+        runs = F.transform(
+            starts,
+            lambda i: F.struct(
+                F.lit(label).alias("label"),
+                F.get("blocks", i).alias("block"),
+                (
+                    F.size(F.array_intersect(words, F.slice("words", i + 1, F.lit(width)))) / F.lit(len(own))
+                ).alias("containment"),
+            ),
+        )
+        fits = F.filter(runs, lambda r: r["containment"] * len(own) >= need - 1e-6)
+        none = F.array().cast("array<struct<label:string,block:int,containment:double>>")
+        return F.when(F.size(F.array_intersect(words, "words")) >= need, fits).otherwise(none)
+
+    known = [found(label, own) for label, own in sets.items() if own]
+    if not known:
+        return rows.sparkSession.createDataFrame([], "row_id long, label string, block int, containment double")
+    wrapped = rows.where("numbered is not null").select(
+        "row_id", F.col("numbered.word").alias("words"), F.col("numbered.block").alias("blocks")
+    )
+    return wrapped.select("row_id", F.inline(F.concat(*known)))
+
+
 def _places(phrases: dict[str, str]) -> Column:
     """`start, label` of each place where a phrase's words stand in a row, from `words`."""
     def found(words: list[str], label: str) -> Column:
@@ -95,13 +145,14 @@ def scan(
     """License phrases and templates in each document.
 
     Phrases are found where their words stand in a row. Templates are found by an exact set join: a text block
-    is a line, and it matches a template if it holds `threshold` of the template's distinct words. Template
+    is a line, or a run of as many words as the template across line ends, and it matches a template if it holds `threshold` of the template's distinct words. Template
     words are ordered by the number of blocks that hold them, rarest first. Of o words needed of t, one must be
     among the template's first t - o + 1; a block with fewer than o template words, or whose
-    positions leave fewer than o common words possible, is passed over; what remains is counted.
+    positions leave fewer than o common words possible, is passed over; what remains is counted. Runs are
+    looked for in texts that hold o of a template's words on more than one line.
 
     One row for each row of `docs`: `doc_id, n_words, starts` (of phrases), `base_labels`, `matches` (`label,
-    block, containment`: first block that matches and largest containment) and `score` (largest containment matched, else 0). Words that are in no
+    block, containment`: line of the first block that matches and largest containment) and `score` (largest containment matched, else 0). Words that are in no
     template cannot match and are not joined. Null and blank texts have no words; an empty table gives no rows.
     """
     templates = TEMPLATES if templates is None else templates
@@ -125,7 +176,13 @@ def scan(
         plain_words(F.col("text")).alias("words"),
         F.col("text").rlike(hint).alias("hint"),
         _blocks(F.col("text"), vocabulary).alias("lines"),
-    )
+        "text",
+    ).withColumn("all", F.array_distinct(F.flatten("lines")))
+    wrapped = F.lit(False)
+    for label, words in sets.items():
+        held = F.size(F.array_intersect("all", F.array(*map(F.lit, words))))
+        wrapped = wrapped | (held >= needed[label])
+    wrapped = wrapped & (F.size("lines") > 1)
     least = min(needed.values(), default=1)
     # Blocks with too few template words for any template are left out here already.
     lines = F.filter(
@@ -141,6 +198,7 @@ def scan(
             F.when(F.col("hint"), _places(phrases)).otherwise(none).alias("places"),
             lines.alias("blocks"),
             every.alias("every"),
+            F.when(wrapped, _numbered(F.col("text"))).alias("numbered"),
         ),
         "scanned",
     )
@@ -187,8 +245,10 @@ def scan(
         pairs.join(sets_, "label")
         .withColumn("common", common)
         .where("common >= needed")
+        .select("row_id", "label", "block", (F.col("common") / F.size("own")).alias("containment"))
+        .unionByName(_run_matches(rows, sets, needed, templates))
         .groupBy("row_id", "label")
-        .agg(F.max(F.col("common") / F.size("own")).alias("containment"), F.min("block").alias("block"))
+        .agg(F.max("containment").alias("containment"), F.min("block").alias("block"))
         .groupBy("row_id")
         .agg(F.sort_array(F.collect_list(F.struct("label", "block", "containment"))).alias("matches"))
     )
