@@ -211,10 +211,10 @@ def held_out(doc_id) -> F.Column:
 def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
     """Learn from the documents that are not held out; documents without a language go.
 
-    A document goes if its text is null or has no letter. If nothing could be learned,
-    documents with letters stay all the same.
+    A document goes if its text is null, has no letter or shares no gram with any language's profile
+    (score 0). If nothing could be learned, documents with letters stay all the same.
     """
     learned = profiles(docs.where(~held_out(docs["doc_id"])))
     if learned.isEmpty():
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return identify(docs, learned, docs.columns).where("lang_pred <> 'und'").select("row.*")
+    return identify(docs, learned, docs.columns).where("lang_pred <> 'und' and score > 0").select("row.*")
