@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import (
+    conversations,
     decontaminate,
     importance,
     language,
     license,
     lines,
     mixing,
+    negatives,
+    packing,
     simhash,
     substrings,
     topk,
@@ -133,6 +136,34 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    given = read_table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = given.withColumn("label", moved)
+    return negatives.hard_negatives(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read_table(spark, folder, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = read_table(spark, folder, "conversations")
+    rows = conversations.damaged(given)
+    found = conversations.summary(conversations.repair(rows))
+    missing = conversations.gaps(rows)
+    every = given.select("conv_id").distinct()
+    # Conversations that lost all rows, and null as an id, need a row too: added up, not joined.
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    all_rows = found.unionByName(missing, True).unionByName(every, True)
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return all_rows.groupBy("conv_id").agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts),
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("repaired_sha256"), nothing).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -146,5 +177,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substring_dedup,
         op9_warc,
         op10_line_dedup,
+        op11_hard_negatives,
+        op12_packing,
+        op13_conversation_repair,
     )
 }

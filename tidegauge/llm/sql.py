@@ -180,6 +180,136 @@ _WARC = """
         CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
     FROM f"""
 
+_NEGATIVES = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+            list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM v AS a JOIN v AS c ON a.vec_id <> c.vec_id
+        WHERE a.vec_id % 100 = 0
+    ),
+    positives AS (
+        SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+    )
+    SELECT * FROM (
+        SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+            row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER
+                AS rank
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+    )
+    WHERE rank <= 5"""
+
+
+def _conversations() -> str:
+    """Steps back from the last row; a state's value is (cost, letters, repaired lines), least first."""
+    states = range(4)  # nothing yet, after system, after user, after assistant
+    made = (2, 2, 3, 2)
+    kept = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+
+    def value(cost: str, letters: str, lines: str) -> str:
+        return f"{{'c': ({cost})::BIGINT, 'a': {letters}, 't': {lines}}}"
+
+    def before(v: str, cost: str, letter: str, line: str | None) -> str:
+        lines = f"list_concat([{line}], {v}.t)" if line else f"{v}.t"
+        return value(f"{v}.c + {cost}", f"'{letter}' || {v}.a", lines)
+
+    def least(options: list[str]) -> str:
+        return f"list_sort([{', '.join(options)}])[1]"
+
+    def named(q: int) -> str:
+        return "user" if made[q] == 2 else "assistant"
+
+    own = []
+    for q in states:
+        changed = before(f"v{made[q]}", "3 + cut", "R", f"'{named(q)}:' || text")
+        keep = " ".join(
+            f"WHEN '{initial}' THEN {before(f'v{to}', 'cut', 'K', "role || ':' || text")}"
+            for initial, to in kept[q].items()
+        )
+        deleted = before(f"v{q}", "4", "D", None)
+        stays = f"CASE WHEN gone THEN NULL ELSE {changed} END"
+        as_is = f"CASE WHEN gone THEN NULL ELSE CASE left(role, 1) {keep} END END"
+        own.append(f"list_sort(list_filter([{deleted}, {stays}, {as_is}], lambda x: x IS NOT NULL))[1] AS w{q}")
+    once = [least([f"w{q}", before(f"w{made[q]}", "3", "I", f"'{named(q)}:'")]) + f" AS x{q}" for q in states]
+    twice = [least([f"w{q}", before(f"x{made[q]}", "3", "I", f"'{named(q)}:'")]) + f" AS y{q}" for q in states]
+    none = "CAST([] AS VARCHAR[])"
+    ends = [
+        value("0", "''", none),
+        value("6", "'II'", "['user:', 'assistant:']"),
+        value("3", "'I'", "['assistant:']"),
+        value("0", "''", none),
+    ]
+    eight = "CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])"
+    return f"""
+    WITH RECURSIVE given AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS key
+        FROM conversations
+    ),
+    checked AS (
+        SELECT *, xor(4294967295::BIGINT, list_reduce(
+            list_concat([4294967295::BIGINT], list_transform(key, lambda x: unicode(x)::BIGINT)),
+            lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], {eight}),
+                lambda d, k: CASE WHEN d & 1 = 1 THEN xor(d >> 1, 3988292384::BIGINT) ELSE d >> 1 END)
+        )) % 20 AS kind
+        FROM given
+    ),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+            CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+            unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+        FROM checked
+    ),
+    ordered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i
+        FROM damaged
+    ),
+    marked AS (
+        SELECT conv_id, i, turn, role, text, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+            NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS open,
+            lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+        FROM ordered
+    ),
+    rows AS (
+        SELECT *, blank OR again AS gone, CASE WHEN open AND NOT (blank OR again) THEN 3 ELSE 0 END AS cut
+        FROM marked
+    ),
+    counts AS (
+        SELECT conv_id, max(i) AS n,
+            coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+            count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+            count(*) FILTER (cut > 0) AS truncated,
+            count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM rows GROUP BY conv_id
+    ),
+    back AS (
+        SELECT conv_id, n AS i, {", ".join(f"{e} AS v{q}" for q, e in enumerate(ends))} FROM counts
+        UNION ALL
+        SELECT conv_id, i - 1, y0, y1, y2, y3
+        FROM (SELECT *, {", ".join(twice)} FROM (SELECT *, {", ".join(once)} FROM (
+            SELECT b.conv_id, b.i, {", ".join(own)}
+            FROM back AS b JOIN rows AS r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i
+        )))
+    ),
+    best AS (SELECT conv_id, v0 FROM back WHERE i = 0)
+    SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+        coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+        coalesce(illegal, 0) AS illegal, coalesce(v0.c, 0) AS cost, coalesce(v0.a, '') AS audit,
+        sha256(coalesce(array_to_string(v0.t, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) AS e
+    LEFT JOIN counts AS c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+    LEFT JOIN best AS b ON b.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
 SQL: dict[str, str] = {
     "op2_license_scan": _license(),
     "op3_top_k": _TOP_K,
@@ -187,4 +317,6 @@ SQL: dict[str, str] = {
     "op7_mixing": _MIXING,
     "op8_substring_dedup": _SUBSTRINGS,
     "op9_warc": _WARC,
+    "op11_hard_negatives": _NEGATIVES,
+    "op13_conversation_repair": _conversations(),
 }
