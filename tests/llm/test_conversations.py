@@ -1,0 +1,217 @@
+"""Conversation repair against all edit sequences, in pieces, and on odd input."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegauge.llm import conversations
+
+ROWS = "conv_id long, turn long, role string, text string"
+LEGAL = re.compile(r"(s?(ua)+)?")
+
+
+def edits(rows):
+    """All edit sequences with at most two added rows in each gap, as (cost, letters, initials)."""
+    if not rows:
+        for n in range(3):
+            yield from ((3 * n, "I" * n, i) for i in initials(n))
+        return
+    (initial, gone, cut), rest = rows[0], rows[1:]
+    for cost, letters, kept in edits(rest):
+        own = [(4, "D", "")]
+        if not gone:
+            own += [(3 * cut, "K", initial or "?")] + [(3 + 3 * cut, "R", i) for i in "ua"]
+        for n in range(3):
+            for added in initials(n):
+                for c, letter, i in own:
+                    yield cost + c + 3 * n, "I" * n + letter + letters, added + i + kept
+
+
+def initials(n):
+    return [""] if n == 0 else [i + j for i in "ua" for j in initials(n - 1)]
+
+
+def test_best_edits_are_the_least_of_all():
+    rng = random.Random(11)
+    for _ in range(60):
+        rows = [
+            (rng.choice(["s", "u", "a", "u", "a", "t", ""]), rng.random() < 0.2, rng.random() < 0.3)
+            for _ in range(rng.randint(1, 4))
+        ]
+        rows = [(i, gone, cut and not gone) for i, gone, cut in rows]
+        want = min((c, letters) for c, letters, i in edits(rows) if LEGAL.fullmatch(i))
+        assert conversations.best_edits(rows) == want, rows
+
+
+def test_ties_go_to_the_least_letters():
+    # Deleting costs 4, adding an answer 3; a user row alone is answered.
+    assert conversations.best_edits([("u", False, False)]) == (3, "KI")
+    # A system row alone is deleted: answering it would cost 6.
+    assert conversations.best_edits([("s", False, False)]) == (4, "D")
+    # Of two user rows in a row, each could be followed by an added one; changing the first
+    # needs more.
+    assert conversations.best_edits([("u", False, False)] * 2) == (3, "KR")
+    assert conversations.best_edits([("u", False, True), ("a", False, False)]) == (3, "KK")
+    assert conversations.best_edits([]) == (0, "")
+
+
+@pytest.fixture
+def short_pieces(monkeypatch):
+    """Pieces of three rows; closures carry the module's numbers to the workers only by value."""
+    monkeypatch.setattr(conversations, "PIECE", 3)
+
+
+def test_pieces_chain_to_the_whole(short_pieces):
+    """What the tasks do, without Spark: solve pieces for all states, choose, walk."""
+    rng = random.Random(3)
+    for _ in range(200):
+        rows = [
+            (rng.choice("suaat"), rng.random() < 0.2, rng.random() < 0.2)
+            for _ in range(rng.randint(4, 14))
+        ]
+        want = conversations.best_edits(rows)
+        cut = [rows[i : i + 3] for i in range(0, len(rows), 3)]
+        solved = [conversations.all_ways(piece) for piece in cut]
+        totals, choices = [0, 6, 3, 0], []
+        for costs, ranks, _ in reversed(solved):
+            best = [
+                min(
+                    ((costs[4 * q + p] + totals[p]) * 4 + ranks[4 * q + p], p)
+                    for p in range(4)
+                    if costs[4 * q + p] >= 0
+                )
+                for q in range(4)
+            ]
+            choices.append([p for _, p in best])
+            totals = [value >> 2 for value, _ in best]
+        state, letters = 0, ""
+        for (_, _, audits), to in zip(solved, reversed(choices), strict=True):
+            letters += audits[4 * state + to[state]]
+            state = to[state]
+        letters += "I" * (0, 2, 1, 0)[state]
+        assert (totals[0], letters) == want
+
+
+def summaries(spark, rows):
+    table = spark.createDataFrame(rows, ROWS)
+    found = conversations.summary(conversations.repair(table)).collect()
+    return {r["conv_id"]: r.asDict() for r in found}
+
+
+def plain(rows):
+    """The same in plain Python, one conversation."""
+    rows = sorted(
+        ((t is not None, t or 0), r if r is not None else " ", x if x is not None else " ")
+        for t, r, x in rows
+    )
+    seen, marked, counts = set(), [], [0, 0, 0]
+    for _, role, text in rows:
+        said = text.rstrip(" \t\n\v\f\r")
+        blank, again = not said, (role, text) in seen
+        cut = not blank and not again and said[-1] not in ".!?"
+        counts = [counts[0] + blank, counts[1] + (again and not blank), counts[2] + cut]
+        seen.add((role, text))
+        marked.append((role[:1], blank or again, cut))
+    cost, letters = conversations.best_edits(marked)
+    out, at, state = [], 0, ""
+    for letter in letters:
+        if letter != "D":
+            role, text = rows[at][1:] if letter != "I" else ("", "")
+            if letter != "K":
+                role = "assistant" if state == "u" else "user"
+            state = role[:1]
+            out.append(f"{role}:{text}")
+        at += letter != "I"
+    pairs = [a[0] + b[0] for a, b in zip(marked, marked[1:], strict=False)]
+    return {
+        "blank": counts[0],
+        "duplicate": counts[1],
+        "truncated": counts[2],
+        "illegal": sum(p not in ("su", "ua", "au") for p in pairs),
+        "cost": cost,
+        "audit": letters,
+        "repaired_sha256": hashlib.sha256("\n".join(out).encode()).hexdigest(),
+    }
+
+
+def test_long_and_short_conversations_equal_plain_python(spark):
+    """A conversation of four pieces that owns most rows, over several range partitions."""
+    rng = random.Random(5)
+    given = {1: 3500, None: 300} | {i: rng.randint(1, 9) for i in range(2, 60)}
+    rows = []
+    for conv_id, n in given.items():
+        for turn in range(n):
+            said = rng.choice(["Yes.", "No?", "", "well", f"Number {turn}.", " \t", f"open {turn}", "é!"])
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None])
+            rows.append((conv_id, rng.choice([turn, turn, turn, turn // 2, None]), role, said))
+    found = summaries(spark, rows)
+    assert set(found) == set(given)
+    for conv_id, row in found.items():
+        want = plain([r[1:] for r in rows if r[0] == conv_id])
+        assert {k: v for k, v in row.items() if k != "conv_id"} == want, conv_id
+
+
+def test_equal_rows_are_counted_and_cut_into_pieces(spark):
+    """Thousands of equal rows of one conversation, without and with a turn."""
+    rows = [(7, None, "user", "again?")] * 3000 + [(7, 5, "assistant", "so it is.")] * 10
+    rows += [(8, 1, "user", "x?"), (8, 2, "assistant", "y.")]
+    found = summaries(spark, rows)
+    want = plain([r[1:] for r in rows if r[0] == 7])
+    assert {k: v for k, v in found[7].items() if k != "conv_id"} == want
+    assert found[7]["duplicate"] == 3008 and found[8]["audit"] == "KK"
+
+
+def test_odd_rows(spark):
+    long = "word " * 400_000 + "end."
+    rows = [
+        (1, 1, None, None),
+        (2, 1, "user", long),
+        (2, 2, "assistant", long),
+        (2, 3, "user", long),
+        (3, None, "user", "a?"),
+        (3, 1, "user", "a?"),
+    ]
+    table = spark.createDataFrame(rows, ROWS)
+    for name in ("key", "piece", "part", "number", "again", "copies", "first", "whole"):
+        table = table.withColumn(name, F.lit(name))
+    pieces = conversations.repair(table)
+    found = {r["conv_id"]: r for r in conversations.summary(pieces).collect()}
+    assert found[1]["audit"] == "D" and found[1]["blank"] == 1
+    assert found[2]["audit"] == "KKD" and found[2]["duplicate"] == 1
+    assert found[3]["audit"] == "KDI" and found[3]["cost"] == 7
+    assert conversations.summary(conversations.repair(table.where("false"))).count() == 0
+    assert conversations.gaps(table.where("false")).count() == 0
+
+
+def test_gaps(spark):
+    rows = [(1, 1, "", ""), (1, 4, "", ""), (1, 4, "", ""), (1, None, "", ""), (2, None, "", "")]
+    rows += [(3, -(2**63), "", ""), (3, 2**63 - 1, "", "")]
+    found = {r["conv_id"]: r["gaps"] for r in conversations.gaps(spark.createDataFrame(rows, ROWS)).collect()}
+    assert found == {1: 2, 2: 0, 3: 2**63 - 1}
+
+
+def test_damage_follows_the_checksum(spark):
+    import zlib
+
+    rows = [(i, t, "assistant", "One. Two!") for i in range(12) for t in range(12)]
+    rows += [(None, 3, None, None), (3, None, "user", "Hm?")]
+    found = conversations.damaged(spark.createDataFrame(rows, ROWS)).collect()
+    want = []
+    for conv_id, turn, role, text in rows:
+        key = f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20
+        role, text = role or " ", text or " "
+        if kind == 1:
+            text = ""
+        elif kind == 2:
+            text = text.replace(".", "").replace("!", "").replace("?", "")
+        elif kind == 4:
+            role = "user"
+        want += [(conv_id, turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
+    assert len(want) != len(rows)

@@ -336,7 +336,8 @@ def repair(rows: DataFrame) -> DataFrame:
     `rows` holds `conv_id, turn, role, text`; a null role or text is one blank. Rows of a
     conversation (null is one too) stand in the order of turn (null first), then role, then text. A
     row's first fault counts: blank; duplicate of an earlier role and text; truncated, where the
-    last character that is no blank is none of `.!?`. Keeping a row costs 0, the role user or
+    last character that is no blank is none of `.!?`. A role that is empty has no initial and
+    cannot be kept. Keeping a row costs 0, the role user or
     assistant 3, deleting 4, a row that is added 3, a truncated row that stays 3 more. Blank
     rows and duplicates are deleted.
 
@@ -496,7 +497,7 @@ def gaps(rows: DataFrame) -> DataFrame:
     turn = rows["turn"].cast("long")
     span = F.max(turn).cast("decimal(38,0)") - F.min(turn).cast("decimal(38,0)") + F.lit(1)
     missing = F.least(span - F.count_distinct(turn), F.lit(2**63 - 1).cast("decimal(38,0)"))
-    found = F.coalesce(missing, F.lit(0).cast("decimal(38,0)")).cast("long")
+    found = F.when(F.max(turn).isNull(), F.lit(0)).otherwise(missing.cast("long"))
     return rows.groupBy(rows["conv_id"].alias("conv_id")).agg(found.alias("gaps"))
 
 
