@@ -124,6 +124,7 @@ class Anchors:
         focus = self.focus[alive]
         at = np.take_along_axis(self.units[alive], focus, axis=1)
         angle = np.arccos(np.clip(at, -1, 1))
+        rest = np.sqrt(np.maximum(0, 1 - (at**2).sum(axis=1)))
         low = np.cos(np.minimum(np.pi, angle + turn[:, None])) - _SLACK
         high = np.cos(np.maximum(0, angle - turn[:, None])) + _SLACK
         start = np.zeros(focus.shape, np.int64)
@@ -158,17 +159,27 @@ class Anchors:
                     member[here] = bucket.sorted_list(number)[0][place[here]]
             else:
                 member = place
+            # What is left of a member of length one bounds the rest of its cosine.
+            dot, left = np.zeros(len(who)), np.ones(len(who))
             for k in range(focus.shape[1]):
                 value = bucket.units[member, focus[who, k]]
                 inside = (value >= low[who, k]) & (value <= high[who, k])
-                who, member = who[inside], member[inside]
-            yield alive[who], member
+                dot += at[who, k] * value
+                left -= value**2
+                who, member, dot, left = who[inside], member[inside], dot[inside], left[inside]
+            inside = dot + rest[who] * np.sqrt(np.maximum(left, 0)) >= least[alive[who]] - _SLACK
+            yield alive[who[inside]], member[inside]
             done = stop
 
     def scores(self, bucket: Bucket, who: np.ndarray, member: np.ndarray) -> np.ndarray:
-        """Exact inner products; what does not fit a long stops at its ends."""
+        """Exact inner products of pairs in the order of anchors; what does not fit a long stops at its ends."""
         most = self.largest * np.abs(bucket.rows).max(initial=0) * max(1, self.rows.shape[1])
         if most < 2**53:
+            first, last = (who[0], who[-1] + 1) if len(who) else (0, 0)
+            if 4 * len(who) >= (last - first) * len(bucket.ids):
+                # Most pairs of these anchors are left: one product is cheaper than picking rows.
+                whole = self.rows[first:last] @ bucket.rows.T
+                return whole[who - first, member].astype(np.int64)
             out = np.einsum("ij,ij->i", self.rows[who], bucket.rows[member])
             return out.astype(np.int64)
         whole_a = {i: [int(x) for x in self.rows[i]] for i in np.unique(who).tolist()}
