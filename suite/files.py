@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from suite.check import Check
 from suite.frames import EVENT_CENTS, Frames
 from suite.sql import sql
+from tidegauge import schemas
 from tidegauge.functions import paths, values
 from tidegauge.operators import lookups, quality, statistics
+from tidegauge.sinks import parts, tables
 
 PARTS = ["study_dir", "is_protected", "is_raw", "subject_id", "modality"]
 
@@ -47,8 +51,15 @@ def subject_files(f: Frames) -> DataFrame:
 
 
 def catalog_files_join(f: Frames) -> DataFrame:
-    """Placement and attributes joined again on the path."""
-    return lookups.catalog_with_files(f.catalog(), f.file_sizes().hint("merge")).select(
+    """Placement and attributes, stored in buckets of the path, joined again on it."""
+    name, key = f"join-{uuid4().hex[:12]}", ["file_path"]
+    buckets = parts.buckets_for(f.table("lineitem").count())
+    for part, rows in (("catalog", f.catalog()), ("files", f.file_sizes())):
+        tables.publish_clustered(rows, f.scratch(f"{name}/{part}"), key, buckets)
+    catalog, files = (
+        tables.read_clustered(f.spark, f.scratch(f"{name}/{part}")) for part in ("catalog", "files")
+    )
+    return lookups.catalog_with_files(catalog, files.hint("merge")).select(
         "file_path", "study_id", "subject_id", "modality", "file_name", "size_bytes", "file_size_mb"
     )
 
@@ -63,7 +74,17 @@ def files_by_tag(f: Frames) -> DataFrame:
 
 
 def subject_files_by_tag(f: Frames) -> DataFrame:
-    """Every active subject asks for its surveys from MGB."""
+    """Every active subject asks the stored catalogue for its surveys from MGB."""
+    requests = f.subjects().where("is_active").selectExpr("study_id", "subject_id", "'surveys' AS modality")
+    catalog = tables.read_table(f.spark, f.stored_catalog(), schemas.CATALOG_WIDE)
+    found = lookups.indexed_files_by_tag(
+        catalog, f.groups(), requests.hint("merge"), "redcap_instance", "MGB"
+    )
+    return found.select("study_id", "subject_id", "file_path", "metadata")
+
+
+def active_files_by_tag(f: Frames) -> DataFrame:
+    """The same from the JSON text of a catalogue that has no tag columns."""
     requests = f.subjects().where("is_active").selectExpr("study_id", "subject_id", "'surveys' AS modality")
     found = lookups.files_for_by_tag(f.catalog(), requests.hint("merge"), "redcap_instance", "MGB")
     return found.select("study_id", "subject_id", "file_path", "metadata")
@@ -99,6 +120,14 @@ def run_counts(f: Frames) -> DataFrame:
     )
 
 
+_BY_TAG = sql(
+    """SELECT study_id, subject_id, file_path, concat('{"redcap_instance":"', tag, '"}') AS metadata
+    FROM cat SEMI JOIN (SELECT * FROM adp_subjects WHERE is_active) USING (study_id, subject_id)
+    WHERE tag LIKE 'MGB%' AND modality = 'surveys'""",
+    "cat",
+    "adp_subjects",
+)
+
 CHECKS = {
     "volume_statistics": Check(volume_statistics, sql("SELECT * FROM volumes", "volumes")),
     "subtype_statistics": Check(
@@ -151,16 +180,8 @@ CHECKS = {
             "cat",
         ),
     ),
-    "subject_files_by_tag": Check(
-        subject_files_by_tag,
-        sql(
-            """SELECT study_id, subject_id, file_path, concat('{"redcap_instance":"', tag, '"}') AS metadata
-            FROM cat SEMI JOIN (SELECT * FROM adp_subjects WHERE is_active) USING (study_id, subject_id)
-            WHERE tag LIKE 'MGB%' AND modality = 'surveys'""",
-            "cat",
-            "adp_subjects",
-        ),
-    ),
+    "subject_files_by_tag": Check(subject_files_by_tag, _BY_TAG),
+    "active_files_by_tag": Check(active_files_by_tag, _BY_TAG),
     "subject_files": Check(
         subject_files,
         sql(
@@ -181,11 +202,11 @@ CHECKS = {
         ),
     ),
     "distinct_modalities": Check(
-        lambda f: lookups.all_modalities(f.files_base()),
+        lambda f: lookups.all_modalities(f.groups()),
         sql("SELECT DISTINCT modality FROM files_base", "files_base"),
     ),
     "subject_modalities": Check(
-        lambda f: lookups.subject_modalities(f.files_base()),
+        lambda f: lookups.subject_modalities(f.groups()),
         sql("SELECT DISTINCT study_id, subject_id, modality FROM files_base", "files_base"),
     ),
     "flag_filter": Check(

@@ -18,7 +18,7 @@ TS = snapshots.TS
 
 
 def _latest(f: Frames) -> Column:
-    return snapshots.latest_snapshot(f.snapshots()).scalar()
+    return snapshots.latest_snapshot(f.runs()).scalar()
 
 
 def stats_study_join(f: Frames) -> DataFrame:
@@ -68,9 +68,20 @@ def weekend_bands(f: Frames) -> DataFrame:
 
 
 def report(f: Frames) -> DataFrame:
-    stats = f.snapshots()
-    modalities = lookups.all_modalities(f.files_base())
-    return delta.delta_report(stats, f.study(), modalities, *snapshot_pair(stats), networks=NETWORKS)
+    """Only the two newest snapshots are read, and no file row for the modalities."""
+    runs = f.runs()
+    pair = snapshot_pair(runs)
+    stats = f.snapshots(runs.where(F.col(TS).isin(*pair)))
+    modalities = lookups.all_modalities(f.groups())
+    return delta.delta_report(stats, f.study(), modalities, *pair, networks=NETWORKS)
+
+
+def earlier_snapshot_of_each(f: Frames) -> DataFrame:
+    """Up to four earlier snapshots for every customer's first order, and for every snapshot itself."""
+    orders = f.table("orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("moment"))
+    asked = orders.select(F.col("o_custkey").cast("string").alias("asked"), F.col("moment").cast("timestamp_ntz"))
+    own = f.runs().select(F.lit("snapshot").alias("asked"), F.col(TS).alias("moment"))
+    return snapshots.earlier_snapshot_of_each(asked.unionByName(own), f.runs(), "moment", offsets=4)
 
 
 def report_lines(f: Frames) -> DataFrame:
@@ -78,7 +89,7 @@ def report_lines(f: Frames) -> DataFrame:
     path = f.scratch(f"delta-{uuid4().hex[:12]}")
     tables.publish(report(f), path)
     stored = tables.read_table(f.spark, path)
-    return delta.report_lines(stored, *snapshot_pair(f.snapshots()), networks=NETWORKS)
+    return delta.report_lines(stored, *snapshot_pair(f.runs()), networks=NETWORKS)
 
 
 _LINE = f"""concat(name, ' - ', format('{{:,}}', delta_files), ' files (', {binary_size("delta_bytes")}, ') ', qualifier)"""
@@ -90,17 +101,29 @@ _STALLED = "delta_files = 0 OR delta_bytes = 0"
 
 CHECKS = {
     "latest_snapshot": Check(
-        lambda f: snapshots.latest_snapshot(f.snapshots()),
+        lambda f: snapshots.latest_snapshot(f.runs()),
         sql("SELECT max(cut) AS statistics_timestamp FROM cuts", "cuts"),
     ),
     "nth_previous_snapshot": Check(
-        lambda f: snapshots.earlier_snapshots(f.snapshots(), _latest(f), depth=3),
+        lambda f: snapshots.earlier_snapshots(f.runs(), _latest(f), depth=3),
         sql(
             """SELECT (row_number() OVER (ORDER BY cut DESC) - 1)::int AS steps_back, cut AS statistics_timestamp
             FROM cuts WHERE cut < (SELECT max(cut) FROM cuts) ORDER BY cut DESC LIMIT 3""",
             "cuts",
         ),
     ),
+    "earlier_snapshot_of_each": Check(
+        earlier_snapshot_of_each,
+        sql(
+            """SELECT asked, moment, steps_back, cut AS earlier_snapshot
+            FROM (SELECT o_custkey::varchar AS asked, min(o_orderdate)::timestamp AS moment FROM orders GROUP BY o_custkey
+                  UNION ALL SELECT 'snapshot', cut FROM cuts) AS a
+            CROSS JOIN (SELECT unnest([0, 1, 2, 3])::int AS steps_back)
+            LEFT JOIN (SELECT cut, row_number() OVER (ORDER BY cut) AS n FROM cuts) AS r
+            ON n = (SELECT count(*) FROM cuts AS c WHERE c.cut < moment) - steps_back""",
+            "cuts",
+        ),
+    ),
     "stats_study_join": Check(
         stats_study_join,
         sql(
@@ -202,7 +225,7 @@ CHECKS = {
         FROM events WHERE isodow(ts) = 6""",
     ),
     "report_skeleton": Check(
-        lambda f: delta.report_skeleton(lookups.all_modalities(f.files_base()), NETWORKS),
+        lambda f: delta.report_skeleton(lookups.all_modalities(f.groups()), NETWORKS),
         sql("SELECT * FROM skeleton", "skeleton"),
     ),
     "delta_files": Check(

@@ -234,12 +234,58 @@ class Frames:
         """A folder for written tables of this application and these test tables."""
         return shared_folder(self.spark, f"{self.folder.strip('/').replace('/', '-')}/{name}")
 
-    def snapshots(self) -> DataFrame:
-        """The monthly recounts as the stored, partitioned statistics table."""
+    def _snapshots_path(self) -> str:
+        """The monthly recounts as the stored statistics, a part for each run."""
         path = self.scratch("snapshots")
         if not tables.exists(self.spark, path):
             tables.append_snapshots(self.monthly_statistics(), path, many_runs=True)
-        return tables.read_table(self.spark, path, schemas.VOLUME_STATISTICS)
+        return path
+
+    def runs(self) -> DataFrame:
+        return tables.read_runs(self.spark, self._snapshots_path())
+
+    def snapshots(self, runs: DataFrame | None = None) -> DataFrame:
+        return tables.read_snapshots(self.spark, self._snapshots_path(), runs)
+
+    # --- the stored catalogue -----------------------------------------------
+    def stored_catalog(self) -> str:
+        """Path of the catalogue in buckets of the path, with tags as columns and counts beside it."""
+        path = self.scratch("catalog")
+        if not tables.exists(self.spark, path):
+            files = self.files()
+            rows = files.select(
+                "study_id",
+                "subject_id",
+                "file_path",
+                "is_raw",
+                "is_protected",
+                "modality",
+                F.lit(None).cast("timestamp_ntz").alias("extracted_timestamp"),
+                tag_json(self.tags()).alias("metadata"),
+                *[tag.alias(name) for name, tag in sorted(self.tags().items())],
+                "file_name",
+                F.lit("").alias("file_type"),
+                bytes_to_mb("size_bytes").alias("file_size_mb"),
+                "m_time",
+                F.lit(None).cast("string").alias("md5"),
+                "size_bytes",
+            )
+            tables.upsert_buckets(
+                rows,
+                path,
+                schemas.PRIMARY_KEYS["file_catalog"],
+                schemas.CATALOG_WIDE,
+                8,
+                replace=True,
+                order_by=schemas.CATALOG_ORDER,
+                sums=tables.GROUPS,
+                options=schemas.CATALOG_OPTIONS,
+            )
+        return path
+
+    def groups(self) -> DataFrame:
+        """Files by study, subject and modality, as kept beside the stored catalogue."""
+        return tables.read_groups(self.spark, self.stored_catalog())
 
     # --- daily series -------------------------------------------------------
     def daily(self) -> DataFrame:

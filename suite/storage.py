@@ -22,7 +22,7 @@ from tidegauge.functions.paths import study_dir
 from tidegauge.operators import quality, statistics, upsert
 from tidegauge.plans import imports
 from tidegauge.sinks import tables
-from tidegauge.sources import tree
+from tidegauge.sources import tree, tree_source
 
 RUN = datetime(2024, 2, 3, 4, 5, 6, 789000)
 CUTS = (datetime(1998, 7, 1), datetime(2002, 1, 1))
@@ -68,11 +68,25 @@ def _write_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for number, batch in enumerate(batches):
         for (folder, header), lines in batch.groupby(["folder", "header"]):
             os.makedirs(folder, exist_ok=True)
-            with open(f"{folder}/part-{task:05d}-{number:05d}.csv", "w", encoding="utf-8") as file:
+            coding = "latin-1" if header.endswith("é") else "utf-8"
+            with open(f"{folder}/part-{task:05d}-{number:05d}.csv", "w", encoding=coding) as file:
                 file.write("\n".join([header, *lines["line"], ""]))
         yield pd.DataFrame({"written": [len(batch)]})
 
 
+def _write_whole_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by file; a file is begun anew by the task that holds its rows."""
+    begun = set()
+    for batch in batches:
+        for path, lines in batch.groupby("path"):
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with open(path, "a" if path in begun else "w", encoding="utf-8", newline="") as file:
+                head = [] if path in begun else ["Subject ID,Active,Consent,Study,Note,Size"]
+                file.write("".join(f"{line}\r\n" for line in [*head, *lines["line"]]))
+            begun.add(path)
+        yield pd.DataFrame({"written": [len(batch)]})
+
+
 def study_files(f: Frames) -> str:
     """Study metadata files; most subjects have an outdated line before their final one.
 
@@ -103,34 +117,79 @@ def study_files(f: Frames) -> str:
     return root
 
 
-def odd_study_files(f: Frames) -> str:
-    """Study files as they should not be: a lacking column, no file at all, names that clash.
+# Nations whose study files cannot be used: a lacking column, no file, a quote that is never
+# closed, and text in another encoding.
+NO_COLUMN, NO_FILE, OPEN_QUOTE, OTHER_CODE = 0, 4, 10, 15
 
-    Of the files that can be read, some rows have a field too many and some lack the last ones.
+
+def odd_study_files(f: Frames) -> str:
+    """Study files as they should not be, some as above; in the others names clash, some rows have a
+    field too many and some lack the last ones.
     """
     root = mounted(f.scratch("odd-studies/root"))
     done = f.scratch("odd-studies/done")
     if not tables.exists(f.spark, done):
         study = f.study().select("study_id", study_dir("network_id", "study_id").alias("dir"))
         rows = f.customers().withColumnRenamed("n_name", "study_id").join(study, "study_id")
-        lines = rows.where("c_nationkey % 5 < 2").selectExpr(
+        lines = rows.where(f"c_nationkey <> {NO_FILE}").selectExpr(
             f"concat('{root}/PROTECTED/', dir, '/', dir, '_metadata.csv') AS folder",
-            """CASE c_nationkey % 5 WHEN 0 THEN 'Subject ID,Active,Study'
+            f"""CASE c_nationkey WHEN {NO_COLUMN} THEN 'Subject ID,Active,Study'
+            WHEN {OPEN_QUOTE} THEN 'Subject ID,Active,Consent,Study,"age'
+            WHEN {OTHER_CODE} THEN 'Subject ID,Active,Consent,Study,né'
             ELSE 'Subject ID,Active,Consent,Study,age,Age,study_id,Score' END AS header""",
             f"""concat_ws(',', {SUBJECT_ID}, int(c_acctbal > 0),
-                CASE WHEN c_nationkey % 5 = 1 THEN '2021-01-02' END, study_id,
-                CASE WHEN c_nationkey % 5 = 0 THEN NULL
-                WHEN c_mktsegment = 'HOUSEHOLD' THEN cast(c_custkey % 90 AS string)
+                CASE WHEN c_nationkey <> {NO_COLUMN} THEN '2021-01-02' END, study_id,
+                CASE WHEN c_nationkey = {NO_COLUMN} THEN NULL
+                WHEN c_nationkey IN ({OPEN_QUOTE}, {OTHER_CODE}) OR c_mktsegment = 'HOUSEHOLD'
+                THEN cast(c_custkey % 90 AS string)
                 ELSE concat_ws(',', c_custkey % 90, c_mktsegment, concat('x', c_custkey), c_custkey * 3) END,
-                CASE WHEN c_nationkey % 5 = 1 AND c_mktsegment = 'FURNITURE' THEN 'tail' END) AS line""",
+                CASE WHEN c_mktsegment = 'FURNITURE'
+                    AND c_nationkey NOT IN ({NO_COLUMN}, {OPEN_QUOTE}, {OTHER_CODE}) THEN 'tail' END) AS line""",
         )
         tables.publish(lines.mapInPandas(_write_lines, "written bigint"), done)
     return root
 
 
+def whole_study_files(f: Frames) -> str:
+    """One file a study, with line breaks, commas and quotes in quoted notes, and quotes in plain cells."""
+    root = mounted(f.scratch("whole-studies/root"))
+    done = f.scratch("whole-studies/done")
+    if not tables.exists(f.spark, done):
+        study = f.study().select("study_id", study_dir("network_id", "study_id").alias("dir"))
+        rows = f.customers().withColumnRenamed("n_name", "study_id").join(study, "study_id")
+        long = "repeat(concat(c_mktsegment, ' '), 40)"
+        lines = rows.selectExpr(
+            f"concat('{root}/PROTECTED/', dir, '/', dir, '_metadata.csv') AS path",
+            "c_custkey AS number",
+            f"""concat_ws(',', {SUBJECT_ID}, int(c_acctbal > 0), '2021-01-02', study_id,
+                CASE c_custkey % 3 WHEN 0 THEN {long} WHEN 1
+                THEN concat('"', {long}, ',\\n\\n""quoted"",\\n"') ELSE concat('"', {long}, '"') END,
+                CASE c_custkey % 4 WHEN 0 THEN concat(c_custkey, '" wide') ELSE '' END) AS line""",
+        )
+        whole = lines.repartition("path").sortWithinPartitions("path", "number")
+        tables.publish(whole.mapInPandas(_write_whole_files, "written bigint"), done)
+    return root
+
+
+def split_study_file(f: Frames) -> DataFrame:
+    """Whole files read in parts far smaller than a file: a session of its own has the setting."""
+    base, root = fresh(f, "split"), whole_study_files(f)
+    own = Frames(f.spark.newSession(), f.folder)
+    some = max(1024, own.table("customer").count() * 10)
+    own.spark.conf.set("spark.sql.files.maxPartitionBytes", str(some))
+    own.spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    subjects, _, _ = imports.load_subjects(own.study(), root, f"{base}/work")
+    tables.publish(subjects, f"{base}/subjects")
+    parts = f.spark.read.parquet(f"{base}/work/lines").agg(
+        (F.count_distinct("path", "block") > F.count_distinct("path")).alias("in_parts")
+    )
+    return tables.read_table(f.spark, f"{base}/subjects").withColumn("in_parts", parts.scalar())
+
+
 def odd_subjects(f: Frames) -> DataFrame:
     """The subjects of such files, with numbers kept as numbers."""
-    subjects, _, _ = imports.load_subjects(f.study(), odd_study_files(f), {"Score": "bigint"})
+    work = fresh(f, "import")
+    subjects, _, _ = imports.load_subjects(f.study(), odd_study_files(f), work, {"Score": "bigint"})
     return subjects
 
 
@@ -179,6 +238,34 @@ def crawl_files(f: Frames) -> DataFrame:
     )
 
 
+def crawl_subject(f: Frames) -> DataFrame:
+    """Listings of parts of the tree: the subject with most files, one pair of flags, one modality."""
+    root, files = file_tree(f), f.files_base()
+    most = files.groupBy("study_id", "subject_id").agg(F.count("*").alias("n"))
+    study, subject = most.orderBy(F.desc("n"), "study_id", "subject_id").first()[:2]
+    asked = {
+        "subject": {"study_id": study, "subject_id": subject},
+        "flags": {"is_protected": False, "is_raw": True},
+        "modality": {"study_id": study, "is_protected": True, "is_raw": True, "modality": "mri"},
+    }
+    parts = [
+        tree_source.list_files(f.spark, f.study(), root, **what).withColumn("asked", F.lit(name))
+        for name, what in asked.items()
+    ]
+    found = statistics.union_results(*parts)
+    return found.select(
+        "asked",
+        "study_id",
+        "subject_id",
+        "modality",
+        "is_protected",
+        "is_raw",
+        F.replace("path", F.lit(root), F.lit(ROOT)).alias("file_path"),
+        "size_bytes",
+        "m_time_micros",
+    )
+
+
 def import_catalog(f: Frames) -> DataFrame:
     """The whole import into stored tables, with content hashes, read back."""
     base, root = fresh(f, "import"), file_tree(f)
@@ -191,7 +278,7 @@ def import_catalog(f: Frames) -> DataFrame:
 
 
 def load_subjects(f: Frames) -> DataFrame:
-    subjects, _, _ = imports.load_subjects(f.study(), study_files(f))
+    subjects, _, _ = imports.load_subjects(f.study(), study_files(f), fresh(f, "import"))
     return subjects
 
 
@@ -260,11 +347,69 @@ def upsert_subjects(f: Frames) -> DataFrame:
 
 
 def upsert_files(f: Frames) -> DataFrame:
-    """Files up to a date, then files from an earlier date on with doubled size."""
+    """Files up to a date in buckets of the path, then files from an earlier date on with doubled size."""
+    path, key = fresh(f, "files"), schemas.PRIMARY_KEYS["files"]
     files = f.files().select("file_path", "file_name", "size_bytes", "m_time")
     existing = files.where("m_time < timestamp_ntz'1999-01-01'")
     new = files.where("m_time >= timestamp_ntz'1998-01-01'").withColumn("size_bytes", F.col("size_bytes") * 2)
-    return upsert.upsert(existing, new.hint("merge"), ["file_path"])
+    tables.upsert_buckets(existing, path, key, files.schema, 8, replace=True)
+    tables.upsert_buckets(new, path, key, files.schema, 8)
+    return tables.read_table(f.spark, path, files.schema)
+
+
+def rejected_versions(f: Frames) -> DataFrame:
+    """Writes that break a key or lack parents, how many rows did so, and what can be read afterwards."""
+    base, key = fresh(f, "rejected"), schemas.PRIMARY_KEYS["subjects"]
+    subjects = f.subjects().withColumnRenamed("note", "optional_notes").select(*schemas.SUBJECTS.names)
+    some = f.study().where("cast(study_country_code AS int) % 5 <> 4")
+    twice = f.table("orders").join(f.customers(), F.expr("o_custkey = c_custkey")).selectExpr(
+        "n_name AS study_id",
+        f"{SUBJECT_ID} AS subject_id",
+        "true AS is_active",
+        "date'2021-01-01' AS consent_date",
+        "'{}' AS optional_notes",
+    )
+    tables.publish(subjects, f"{base}/subjects", rules=tables.Rules(key, {("study_id",): f.study()}))
+    catalog = f.stored_catalog()
+    rows = tables.read_table(f.spark, catalog, schemas.CATALOG_WIDE)
+    active = f.subjects().where("is_active")
+    parent = {("study_id", "subject_id"): active}
+    path_key = schemas.PRIMARY_KEYS["file_catalog"]
+
+    def refused(write) -> list[tuple[str, int]]:
+        try:
+            write()
+        except tables.KeyViolation as broken:
+            return list(broken.counts.items())
+        return []
+
+    def buckets(new: DataFrame, **more):
+        return tables.upsert_buckets(
+            new, f"{base}/catalog", path_key, schemas.CATALOG_WIDE, 8, sums=tables.GROUPS, **more
+        )
+
+    raw = rows.where("is_raw")
+    buckets(raw, replace=True)
+    found = {
+        "subjects": refused(lambda: tables.publish(twice, f"{base}/subjects", rules=tables.Rules(key))),
+        "studies": refused(
+            lambda: tables.publish(
+                subjects, f"{base}/subjects", rules=tables.Rules(key, {("study_id",): some})
+            )
+        ),
+        "catalog": refused(lambda: buckets(rows.unionByName(raw))),
+        "owners": refused(lambda: buckets(rows, parents=parent)),
+    }
+    left = {
+        name: tables.read_table(f.spark, f"{base}/{name}").agg(F.count(F.lit(1)).alias("readable"))
+        for name in ("subjects", "catalog")
+    }
+    told = [(name, rule, n) for name, rules in found.items() for rule, n in rules]
+    return statistics.union_results(
+        f.spark.createDataFrame(told, "attempt string, rule string, rows bigint"),
+        *[rows.select(F.lit(name).alias("attempt"), F.lit("readable").alias("rule"), F.col("readable").alias("rows"))
+          for name, rows in left.items()],
+    )
 
 
 def insert_conflicts(f: Frames) -> DataFrame:
@@ -343,13 +488,28 @@ CHECKS = {
             "cat",
         ),
     ),
+    "crawl_subject": Check(
+        crawl_subject,
+        sql(
+            """SELECT asked, study_id, subject_id, modality, is_protected, is_raw, file_path,
+            strlen(k)::bigint AS size_bytes, epoch_us(m_time) AS m_time_micros
+            FROM cat, (SELECT study_id AS s, subject_id AS u FROM cat GROUP BY ALL
+                       ORDER BY count(*) DESC, s, u LIMIT 1), (VALUES ('subject'), ('flags'), ('modality')) AS a(asked)
+            WHERE CASE asked WHEN 'subject' THEN study_id = s AND subject_id = u
+            WHEN 'flags' THEN NOT is_protected AND is_raw
+            ELSE study_id = s AND is_protected AND is_raw AND modality = 'mri' END""",
+            "cat",
+        ),
+    ),
     "import_catalog": Check(
         import_catalog,
         sql(
             f"""SELECT study_id, subject_id, file_path, is_raw, is_protected, modality,
             {_RUN_SQL} AS extracted_timestamp, CASE WHEN tag IS NULL THEN '{{}}'
             WHEN modality = 'phone' THEN concat('{{"mindlamp_type":"', tag, '"}}')
-            ELSE concat('{{"redcap_instance":"', tag, '"}}') END AS metadata, file_name,
+            ELSE concat('{{"redcap_instance":"', tag, '"}}') END AS metadata,
+            CASE WHEN modality = 'phone' THEN tag END AS mindlamp_type,
+            CASE WHEN modality <> 'phone' THEN tag END AS redcap_instance, file_name,
             CASE WHEN modality IN ('phone', 'surveys') THEN '.json' WHEN modality = 'mri' THEN '.zip'
             WHEN modality = 'eeg' THEN '.eeg' WHEN file_name LIKE '%.tar.gz' THEN '.gz'
             WHEN file_name LIKE '%.csv' THEN '.csv' ELSE '' END AS file_type,
@@ -377,7 +537,7 @@ CHECKS = {
         ELSE concat('{"Age":"', c_mktsegment, '","Score":', (c_custkey * 3)::varchar, ',"age":"',
                     (c_custkey % 90)::varchar, '","study_id":"x', c_custkey::varchar, '"}') END AS optional_notes
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-        WHERE c_nationkey % 5 = 1 AND c_mktsegment <> 'FURNITURE'""",
+        WHERE c_nationkey NOT IN (0, 4, 10, 15) AND c_mktsegment <> 'FURNITURE'""",
     ),
     "subject_quarantine": Check(
         subject_quarantine,
@@ -387,13 +547,24 @@ CHECKS = {
             (c_custkey % 90)::varchar, c_mktsegment, concat('x', c_custkey::varchar), (c_custkey * 3)::varchar,
             'tail') AS row_text
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-        WHERE c_nationkey % 5 = 1 AND c_mktsegment = 'FURNITURE'""",
+        WHERE c_nationkey NOT IN (0, 4, 10, 15) AND c_mktsegment = 'FURNITURE'""",
     ),
     "study_problems": Check(
         study_problems,
-        """SELECT n_name AS study_id, CASE WHEN n_nationkey % 5 = 0 AND n_nationkey IN (SELECT c_nationkey FROM customer)
-        THEN 'missing column: Consent' ELSE 'no metadata file' END AS problem FROM nation
-        WHERE n_nationkey % 5 <> 1 OR n_nationkey NOT IN (SELECT c_nationkey FROM customer)""",
+        """SELECT n_name AS study_id, CASE WHEN n_nationkey = 4 OR n_nationkey NOT IN (SELECT c_nationkey FROM customer)
+        THEN 'no metadata file' WHEN n_nationkey = 0 THEN 'missing column: Consent'
+        WHEN n_nationkey = 10 THEN 'a quote is not closed' ELSE 'not UTF-8 text' END AS problem FROM nation
+        WHERE n_nationkey IN (0, 4, 10, 15) OR n_nationkey NOT IN (SELECT c_nationkey FROM customer)""",
+    ),
+    "split_study_file": Check(
+        split_study_file,
+        r"""SELECT n_name AS study_id, concat('S', c_custkey::varchar) AS subject_id, c_acctbal > 0 AS is_active,
+        date '2021-01-02' AS consent_date,
+        concat('{"Note":"', repeat(concat(c_mktsegment, ' '), 40),
+            CASE WHEN c_custkey % 3 = 1 THEN ',\n\n\"quoted\",\n' ELSE '' END, '"',
+            CASE WHEN c_custkey % 4 = 0 THEN concat(',"Size":"', c_custkey::varchar, '\" wide"') ELSE '' END, '}')
+            AS optional_notes, true AS in_parts
+        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     ),
     "schema_orphans": Check(
         schema_orphans,
@@ -440,6 +611,21 @@ CHECKS = {
             "cat",
         ),
     ),
+    "rejected_versions": Check(
+        rejected_versions,
+        sql(
+            """SELECT 'subjects' AS attempt, 'study_id, subject_id given again' AS rule,
+            count(*) - count(DISTINCT o_custkey) AS rows FROM orders SEMI JOIN customer ON o_custkey = c_custkey
+            UNION ALL SELECT 'studies', 'no parent for study_id', count(*) FROM customer WHERE c_nationkey % 5 = 4
+            UNION ALL SELECT 'catalog', 'file_path given again', count(*) FROM cat WHERE is_raw
+            UNION ALL SELECT 'owners', 'no parent for study_id, subject_id', count(*) FROM cat
+            ANTI JOIN (SELECT * FROM adp_subjects WHERE is_active) USING (study_id, subject_id)
+            UNION ALL SELECT 'subjects', 'readable', count(*) FROM customer
+            UNION ALL SELECT 'catalog', 'readable', count(*) FROM cat WHERE is_raw""",
+            "cat",
+            "adp_subjects",
+        ),
+    ),
     "insert_conflicts": Check(
         insert_conflicts,
         sql(

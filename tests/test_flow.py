@@ -91,6 +91,29 @@ def test_earlier_snapshots(spark):
         snapshot_pair(rows.where(F.col(snapshots.TS) == F.lit(str(T1)).cast("timestamp_ntz")))
 
 
+def test_earlier_snapshot_of_each_threshold(spark):
+    """Against counting, with many thresholds on one day, equal times, none, and days without either."""
+    import random
+
+    rng = random.Random(4)
+    first = dt.datetime(2024, 1, 1)
+    moments = sorted({first + dt.timedelta(hours=rng.randint(0, 24 * 40) // 7 * 7) for _ in range(30)})
+    hot = first + dt.timedelta(days=12)
+    asked = [(i, hot + dt.timedelta(minutes=rng.randint(0, 1439))) for i in range(300)]
+    asked += [(i, first + dt.timedelta(hours=rng.randint(-99, 24 * 50))) for i in range(300, 400)]
+    asked += [(400 + i, moment) for i, moment in enumerate(moments)] + [(999, None)]
+    runs = spark.createDataFrame([(m,) for m in moments * 2], f"{snapshots.TS} timestamp_ntz")
+    table = spark.createDataFrame(asked, f"id int, {snapshots.TS} timestamp_ntz")
+    found = snapshots.earlier_snapshot_of_each(table, runs, snapshots.TS, offsets=3).collect()
+    want = []
+    for i, at in asked:
+        earlier = [m for m in moments if at is not None and m < at][::-1]
+        want += [(i, at, k, earlier[k] if k < len(earlier) else None) for k in range(3)]
+    assert sorted(map(str, (tuple(r) for r in found))) == sorted(map(str, want))
+    none = snapshots.earlier_snapshot_of_each(table, runs.where("false"), snapshots.TS, offsets=2)
+    assert none.count() == 2 * len(asked) and none.where("earlier_snapshot is not null").count() == 0
+
+
 @pytest.mark.parametrize(
     "now, before, change, missing, alert",
     [

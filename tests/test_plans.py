@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from suite import dimensions, files, flows
 from tidegauge.operators import delta, flow, lookups, snapshots, upsert
+from tidegauge.plans.reports import snapshot_pair
 
 
 def plan(rows):
@@ -43,26 +44,44 @@ def test_only_needed_columns_are_read(frames):
     assert "ReadSchema: struct<l_orderkey:bigint>" in text
 
 
-def test_comparison_reads_two_snapshots_only(frames):
-    stats = frames.snapshots()
-    latest, previous = dt.datetime(2001, 12, 1), dt.datetime(2001, 11, 1)
-    rows = snapshots.at_snapshots(stats, snapshots.ntz(latest), snapshots.ntz(previous))
-    text = plan(rows)
-    filters = text[text.index("PartitionFilters") :].split("PushedFilters")[0]
-    assert "2001-12-01" in filters and "2001-11-01" in filters
-    read = rows.select(F.input_file_name().alias("f")).distinct().count()
-    assert 1 <= read <= 2
+def read_files(rows):
+    """Files that the scans of a plan would open."""
+    return {path.rsplit("/", 1)[0].split("/data/")[-1] for path in rows.inputFiles()}
 
 
-def test_finding_snapshots_skips_older_days(frames):
-    stats = frames.snapshots()
-    rows = snapshots.earlier_snapshots(stats, dt.datetime(2001, 12, 1), depth=2)
+def test_comparison_reads_two_snapshots_only(frames):
+    """The folders of two runs are listed; no others, and no file rows for the modalities."""
+    runs = frames.runs()
+    latest, previous = snapshot_pair(runs)
+    folders = {r["folder"]: r[snapshots.TS] for r in runs.collect()}
+    text = plan(flows.report(frames))
+    assert "lineitem" not in text and "l_orderkey" not in text
+    found = read_files(frames.snapshots(runs.where(F.col(snapshots.TS).isin(latest, previous))))
+    assert {folders[f] for f in found} == {latest, previous} and len(folders) > 20
+
+
+def test_snapshots_are_found_in_the_index(frames):
+    """No data file and no footer of the history is opened to find snapshots."""
+    runs = frames.runs()
+    for rows in (
+        snapshots.latest_snapshot(runs),
+        snapshots.earlier_snapshots(runs, dt.datetime(2001, 12, 1), depth=2),
+        snapshots.nth_previous_snapshot(runs, dt.datetime(2001, 12, 1), 1),
+    ):
+        assert all("/index/" in path for path in rows.inputFiles())
+    found = snapshots.earlier_snapshots(runs, dt.datetime(2001, 12, 1), depth=2).collect()
+    assert [r[1] for r in found] == [dt.datetime(2001, 11, 1), dt.datetime(2001, 10, 1)]
+
+
+def test_thresholds_are_joined_not_sorted(frames):
+    """Windows run over days and snapshots; the thresholds' rows meet no window and no sort for one."""
+    orders = frames.table("orders").selectExpr("o_orderkey", "o_orderdate AS moment")
+    rows = snapshots.earlier_snapshot_of_each(orders, frames.runs(), "moment", offsets=2)
     text = plan(rows)
-    scan = [line for line in text.splitlines() if "FileScan" in line and "[statistics_timestamp" in line][0]
-    assert "Subquery" in scan[scan.index("PartitionFilters") :] or "subquery" in scan[scan.index("PartitionFilters") :]
-    days = [line for line in text.splitlines() if "ReadSchema: struct<>" in line]
-    assert days
-    assert [r[1] for r in rows.collect()] == [dt.datetime(2001, 11, 1), dt.datetime(2001, 10, 1)]
+    below = [part.split("Window")[0] for part in text.split("\n") if "Window" in part]
+    assert below and "Window [row_number" in text
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    assert not any("o_orderkey" in line for line in windows)
 
 
 def test_series_prune_by_date_and_push_flags(frames):
@@ -72,6 +91,53 @@ def test_series_prune_by_date_and_push_flags(frames):
     assert "interviews" in scan[scan.index("PushedFilters") :].split("ReadSchema")[0]
 
 
+def test_bucketed_tables_are_joined_without_a_shuffle(frames):
+    text = plan(files.catalog_files_join(frames))
+    assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+def test_stored_modalities_read_no_file_rows(frames):
+    for rows in (lookups.all_modalities(frames.groups()), lookups.subject_modalities(frames.groups())):
+        assert all("/sums/" in path for path in rows.inputFiles())
+
+
+def rows_of_scan(rows):
+    """Rows that the scan hands on, whatever the filter above it keeps."""
+    rows.collect()
+    leaf = rows._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return leaf.metrics().get("numOutputRows").get().value()
+
+
+def test_tag_lookup_skips_row_groups(spark, frames, tmp_path):
+    """Of a catalogue in small row groups only those are read that hold an asked tag, path or subject."""
+    from tidegauge import schemas
+    from tidegauge.sinks import tables
+
+    rows = tables.read_table(spark, frames.stored_catalog(), schemas.CATALOG_WIDE)
+    rare = rows.withColumn(
+        "redcap_instance",
+        F.when(F.col("subject_id") == rows.select(F.min("subject_id")).first()[0], F.lit("RARE-x")),
+    )
+    path = f"{tmp_path}/catalog"
+    options = {**schemas.CATALOG_OPTIONS, "parquet.block.size": "16384", "parquet.page.size.row.check.min": "10"}
+    tables.upsert_buckets(
+        rare, path, ["file_path"], schemas.CATALOG_WIDE, 4, True,
+        order_by=schemas.CATALOG_ORDER, sums=tables.GROUPS, options=options,
+    )
+    stored = tables.read_table(spark, path, schemas.CATALOG_WIDE)
+    tagged = lookups.tag_filter(tables.read_groups(spark, path), "redcap_instance", "RARE")
+    found = stored.where(tagged).select("file_path", "redcap_instance")
+    want = rare.where("redcap_instance is not null").count()
+    assert "In(redcap_instance" in plan(found) or "EqualTo(redcap_instance" in plan(found)
+    assert want == found.count() > 0
+    total = stored.count()
+    assert rows_of_scan(found) < total / 4
+    one = stored.select("file_path").first()[0]
+    assert rows_of_scan(stored.where(F.col("file_path") == one).select("file_path")) < total / 4
+    none = lookups.tag_filter(tables.read_groups(spark, path), "redcap_instance", "nothing")
+    assert stored.where(none).count() == 0
+
+
 def test_comparison_scans_statistics_once(frames):
     text = plan(flows.report(frames))
     scans = [line for line in text.splitlines() if "FileScan" in line and "files_count" in line]

@@ -190,8 +190,8 @@ def metadata(tmp_path):
     return f"{one},{two}"
 
 
-def test_study_files(spark, study, metadata):
-    subjects, quarantine, missing = imports.load_subjects(study, metadata)
+def test_study_files(spark, study, metadata, tmp_path):
+    subjects, quarantine, missing = imports.load_subjects(study, metadata, f"{tmp_path}/work")
     found = {(r["study_id"], r["subject_id"]): r for r in subjects.collect()}
     assert set(found) == {("AB", "S1"), ("AB", "S2"), ("CD", "S1")}
     last = found["AB", "S1"]
@@ -205,9 +205,9 @@ def test_study_files(spark, study, metadata):
     assert [tuple(r) for r in missing.collect()] == [("EF", None, "no metadata file")]
 
 
-def test_number_notes(spark, study, metadata):
-    files = study_csv.find_files(study_csv.candidate_files(study, metadata))
-    rows, _ = study_csv.subject_rows(study_csv.read_metadata(files), {"Age": "int"})
+def test_number_notes(spark, study, metadata, tmp_path):
+    subjects, _, _ = imports.load_subjects(study, metadata, f"{tmp_path}/work", {"Age": "int"})
+    rows = spark.read.parquet(f"{tmp_path}/work/rows")
     notes = {r["optional_notes"] for r in rows.where("study_id = 'AB'").collect()}
     assert '{"Age":21,"Note":"hello"}' in notes
 
@@ -226,7 +226,7 @@ def test_odd_study_files_lose_nothing(spark, study, tmp_path):
     )
     put(home / "Pro netCD/Pro netCD_metadata.csv", b"Subject ID,Active,Study\nS1,1,X\n")
     subjects, quarantine, problems = imports.load_subjects(
-        study, f"{tmp_path}//", {"Score": "int"}, work=f"{tmp_path}/work"
+        study, f"{tmp_path}//", f"{tmp_path}/work", {"Score": "int"}
     )
     found = {r["subject_id"]: (r["consent_date"].day, r["optional_notes"]) for r in subjects.collect()}
     assert found == {"S1": (7, '{"Score":7}'), "S4": (8, '{"Kind":"a,b"}')}
@@ -273,25 +273,163 @@ def test_site_import_can_be_repeated_after_a_failure(spark, tmp_path):
     assert tables.read_table(spark, f"{base}/study").count() == 1
 
 
-def test_large_study_file_may_be_split(spark, study, tmp_path):
-    """Without quoted line breaks a file is read in several tasks; the last line still wins."""
-    lines = ["Subject ID,Active,Consent,Study,Note"]
-    lines += [f"S{i % 500},1,2022-01-05,X,{i}" for i in range(5000)]
-    put(tmp_path / "PROTECTED/Pro netAB/Pro netAB_metadata.csv", ("\n".join(lines) + "\n").encode())
-    files = study_csv.find_files(study_csv.candidate_files(study, str(tmp_path)))
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
-        rows = study_csv.read_metadata(files, multi_line=False)
-        assert rows.rdd.getNumPartitions() > 1 or rows.select("block").distinct().count() > 1
-        parsed, _ = study_csv.subject_rows(rows)
-        from tidegauge.operators.upsert import dedupe_latest
-
-        last = dedupe_latest(parsed, ["study_id", "subject_id"], study_csv.SEQUENCE)
-        notes = {r["subject_id"]: json.loads(r["optional_notes"])["Note"] for r in last.collect()}
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert notes == {f"S{i}": str(4500 + i) for i in range(500)}
+@pytest.fixture
+def small_splits(spark):
+    """Files are read in parts of so many bytes."""
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    old = [spark.conf.get(name) for name in names]
+
+    def cut(size):
+        spark.conf.set(names[0], str(size))
+        spark.conf.set(names[1], "1")
+
+    def restore():
+        for name, value in zip(names, old):
+            spark.conf.set(name, value)
+
+    cut.restore = restore
+    yield cut
+    restore()
+
+
+def put_study(home, content, study="AB"):
+    put(home / f"PROTECTED/Pro net{study}/Pro net{study}_metadata.csv", content)
+
+
+HEAD = "Subject ID,Active,Consent,Study,Note\n"
+
+
+def loaded(study, home, name="work"):
+    return imports.load_subjects(study, str(home), f"{home}/{name}")
+
+
+def test_large_study_file_is_split(spark, study, tmp_path, small_splits):
+    """A file with line breaks inside quotes is read in several tasks; the last line still wins."""
+    import csv
+    import io
+
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator="\n")
+    writer.writerow(HEAD.strip().split(","))
+    for i in range(2000):
+        writer.writerow([f"S{i % 500}", 1, "2022-01-05", "X", f'{i}\n"{i}"\n\n,' if i % 3 else f"{i}"])
+    put_study(tmp_path, out.getvalue().encode())
+    small_splits(8192)
+    subjects, bad, problems = loaded(study, tmp_path)
+    lines = spark.read.parquet(f"{tmp_path}/work/lines")
+    assert lines.select("block").distinct().count() > 5
+    notes = {r["subject_id"]: json.loads(r["optional_notes"])["Note"] for r in subjects.collect()}
+    want = {f"S{i % 500}": (f'{i}\n"{i}"\n\n,' if i % 3 else f"{i}") for i in range(1500, 2000)}
+    assert notes == want and bad.count() == 0
+    assert sorted(r["study_id"] for r in problems.collect()) == ["CD", "EF"]
+
+
+def test_only_broken_records_are_brought_together(spark, study, tmp_path):
+    """Lines of a file are shuffled as part of a block; only those of broken records by record."""
+    put_study(tmp_path, (HEAD + "".join(f"S{i},1,2022-01-05,X,plain\n" for i in range(300))).encode())
+    loaded(study, tmp_path)
+    from tidegauge.sources import csv_records
+
+    lines = spark.read.parquet(f"{tmp_path}/work/lines")
+    report = spark.read.parquet(f"{tmp_path}/work/report")
+    assert [tuple(r) for r in report.select("breaks", "problem").collect()] == [(False, None)]
+    records = csv_records.read_records(lines, report)
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and records.count() == 300
+    # The narrow pass that finds where blocks begin reads no text.
+    narrow = csv_records.read_blocks(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in narrow
+
+
+def test_records_equal_the_csv_module(spark, tmp_path, small_splits):
+    """Random files with quotes and line breaks anywhere, cut anywhere."""
+    import csv
+    import io
+    import random
+
+    from tidegauge.sources import csv_records
+
+    rng = random.Random(6)
+    bits = ["a", "b,", ",", '"', '""', '"x,\n"', "\n", ',"', '",', '"\n', "é", " ", '5" x', '\n\n']
+    paths, want = [], {}
+    for n in range(40):
+        text = "head,er\n" + "".join(rng.choice(bits) for _ in range(rng.randint(0, 60)))
+        path = tmp_path / f"f{n}.csv"
+        put(path, text.encode())
+        paths.append(str(path))
+        rows = [r for r in csv.reader(open(path, encoding="utf-8", newline="")) if r]
+        # A row behind an open quote becomes part of it.
+        more = list(csv.reader(io.StringIO(text + "\nEND,x,y\n", newline="")))
+        closed = more[-1] == ["END", "x", "y"]
+        # Single cells of blanks and quotes may or may not be a blank line.
+        want[str(path)] = (closed, [len(r) for r in rows[1:] if len(r) > 1 or r[0].strip(' \n"')])
+    small_splits(64)
+    csv_records.read_lines(spark, paths).coalesce(8).write.parquet(f"{tmp_path}/lines")
+    small_splits.restore()
+    lines = spark.read.parquet(f"{tmp_path}/lines")
+    csv_records.file_report(lines).write.parquet(f"{tmp_path}/report")
+    report = spark.read.parquet(f"{tmp_path}/report")
+    problems = {r["path"]: r["problem"] for r in report.collect()}
+    found = {}
+    records = csv_records.read_records(lines, report)
+    counted = records.withColumn("n", csv_records.field_count(F.col("text")))
+    for r in counted.where("n > 1 or trim(both ' \\n\"' from text) <> ''").collect():
+        found.setdefault(r["path"], []).append(((r["block"], r["line"]), r["n"]))
+    odd = 0
+    for path, (closed, rows) in want.items():
+        if '"' in open(path, encoding="utf-8").read().replace('""', ""):
+            odd += 1
+        if closed:
+            assert problems[path] is None
+            assert [n for _, n in sorted(found.get(path, []))] == rows, open(path).read()
+        else:
+            assert problems[path] == csv_records.NOT_CLOSED and path not in found
+    assert odd > 20 and sum(closed for closed, _ in want.values()) > 10
+
+
+def test_unclosed_quotes_and_other_encodings_are_problems(spark, study, tmp_path, small_splits):
+    """Files that cannot be read to their end give no rows, and all others still load."""
+    one, two = f"{HEAD}S1,1,2022-01-05,X,a\n", f"S3,1,2022-01-05,X,c\nS4,1,2022-01-05,X,d\n"
+    put_study(tmp_path, f'{one}S2,1,2022-01-05,X,"open\n{two}'.encode())
+    # Behind what is read of a header.
+    filler = "".join(f"T{i},1,2022-01-05,X,{'z' * 2000}\n" for i in range(600))
+    put_study(tmp_path, (one + filler).encode() + b"S9,1,2022-01-05,X,\xe9\n", "CD")
+    put(tmp_path / "PROTECTED/XEF/XEF_metadata.csv", (one + two).encode())
+    subjects, bad, problems = loaded(study, tmp_path)
+    told = sorted((r["study_id"], r["problem"]) for r in problems.collect())
+    assert told == [("AB", "a quote is not closed"), ("CD", "not UTF-8 text")]
+    assert sorted((r["study_id"], r["subject_id"]) for r in subjects.collect()) == [
+        ("EF", "S1"), ("EF", "S3"), ("EF", "S4"),
+    ]
+    small_splits(16384)
+    again, _, problems = loaded(study, tmp_path, "again")
+    assert again.count() == 3 and problems.count() == 2
+    base = f"{tmp_path}/tables"
+    from tidegauge.sinks import tables
+
+    tables.publish(study, f"{base}/study")
+    with pytest.raises(ValueError, match="not closed|not UTF-8"):
+        imports.import_subjects(spark, str(tmp_path), base, strict=True)
+
+
+def test_headers_that_cannot_be_read(spark, study, tmp_path):
+    put_study(tmp_path, "Subject ID,Active,Consent,Study,né\nS1,1,2022-01-05,X,é\n".encode("latin-1"))
+    put_study(tmp_path, b"Subject ID,Active,Consent,Study\nS1,1,2022-01-05,X\n", "CD")
+    folder = tmp_path / "PROTECTED/XEF/XEF_metadata.csv"
+    folder.mkdir(parents=True)
+    (folder / "part-0").mkdir()
+    subjects, _, problems = loaded(study, tmp_path)
+    told = {r["study_id"]: r["problem"] for r in problems.collect()}
+    assert told == {"AB": "not UTF-8 text", "EF": "Is a directory"}
+    assert [r["study_id"] for r in subjects.collect()] == ["CD"]
+
+
+def test_roots_with_characters_of_patterns(spark, study, tmp_path):
+    home = tmp_path / "a[bc]{d}*?+ %41"
+    put_study(home, f"{HEAD}S1,1,2022-01-05,X,n\r\nS2,1,2022-01-05,X,\"m\r\nm\"\r\n".encode())
+    subjects, _, _ = imports.load_subjects(study, str(home), f"{tmp_path}/work")
+    notes = {r["subject_id"]: json.loads(r["optional_notes"])["Note"] for r in subjects.collect()}
+    assert notes == {"S1": "n", "S2": "m\r\nm"}
 
 
 def test_column_names():

@@ -95,6 +95,140 @@ def test_snapshots_append_and_repeat(spark, tmp_path):
     assert found == [(first, 1, day), (second, 3, day)]
 
 
+def test_a_run_without_its_row_is_not_read(spark, tmp_path):
+    """Data of a run is written first, the row that makes it count last."""
+    from tidegauge.sinks import parts
+
+    path, first = f"{tmp_path}/volume_statistics", dt.datetime(2024, 1, 1, 6)
+    assert tables.read_runs(spark, path).count() == tables.read_snapshots(spark, path).count() == 0
+    totals = tables.append_snapshots(tables.with_run(stats(spark, 1), first), path)
+    assert totals == {"rows": 1, "files": 1}
+    later = tables.with_run(stats(spark, 9), dt.datetime(2024, 1, 2, 6))
+    parts.fill_parts(later, path, tables.SNAPSHOT_PARTITIONS, notes={"statistics_timestamp": F.max("statistics_timestamp")})
+    for rows in (tables.read_snapshots(spark, path), tables.read_table(spark, path, schemas.VOLUME_STATISTICS)):
+        assert [r["files_count"] for r in rows.collect()] == [1]
+    assert [r["statistics_timestamp"] for r in tables.read_runs(spark, path).collect()] == [first]
+    assert len(list((tmp_path / "volume_statistics/data").iterdir())) == 2
+    assert len(parts.remove_unnamed(spark, path)) == 1
+    assert tables.read_snapshots(spark, path).count() == 1
+
+
+def bucket_files(path):
+    return {f.name: f for f in path.rglob("bucket=*/*.parquet") if "offered" not in str(f)}
+
+
+def numbered(spark, rows, value):
+    return spark.createDataFrame([(f"k{i}", value) for i in rows], "k string, v string")
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    path, key = f"{tmp_path}/t", ["k"]
+    old, schema = numbered(spark, range(400), "old"), numbered(spark, [0], "x").schema
+    assert tables.upsert_buckets(old, path, key, schema, 16, True)["rows"] == 400
+    table = tables.read_table(spark, path, schema)
+    before = set(table.inputFiles())
+    totals = tables.upsert_buckets(numbered(spark, [3, 1000], "new"), path, key, schema, 16)
+    found = {r["k"]: r["v"] for r in tables.read_table(spark, path, schema).collect()}
+    assert len(found) == 401 and found["k3"] == found["k1000"] == "new" and found["k4"] == "old"
+    after = set(tables.read_table(spark, path, schema).inputFiles())
+    assert len(before & after) >= 14 and len(after) == len(before) and totals["rows"] < 80
+    # The version that was read before still can be read.
+    assert table.where("v = 'new'").count() == 0 and table.count() == 400
+    # The same again changes nothing, and the number of buckets stays.
+    tables.upsert_buckets(numbered(spark, [3, 1000], "new"), path, key, schema, 99)
+    assert {r["k"]: r["v"] for r in tables.read_table(spark, path, schema).collect()} == found
+
+
+def test_sums_follow_the_buckets(spark, tmp_path):
+    from tidegauge.sinks import parts
+
+    path, key, sums = f"{tmp_path}/t", ["k"], parts.Sums(["v"])
+    schema = numbered(spark, [0], "x").schema
+
+    def counted():
+        return {r["v"]: r["files"] for r in sums.read(spark, path, schema).collect()}
+
+    assert counted() == {}
+    tables.upsert_buckets(numbered(spark, range(50), "a"), path, key, schema, 8, sums=sums)
+    assert counted() == {"a": 50}
+    tables.upsert_buckets(numbered(spark, range(40, 60), "b"), path, key, schema, 8, sums=sums)
+    assert counted() == {"a": 40, "b": 20}
+    tables.upsert_buckets(numbered(spark, range(40), "c"), path, key, schema, 8, sums=sums)
+    assert counted() == {"b": 20, "c": 40}
+    tables.upsert_buckets(numbered(spark, [], "c"), path, key, schema, 8, sums=sums)
+    assert counted() == {"b": 20, "c": 40}
+    tables.upsert_buckets(numbered(spark, [1], "d"), path, key, schema, 8, True, sums=sums)
+    assert counted() == {"d": 1}
+
+
+def test_versions_that_break_a_rule_stay_invisible(spark, tmp_path):
+    path, rules = f"{tmp_path}/networks", tables.Rules(["network_id"])
+    tables.publish(networks(spark, "a"), path, rules=rules)
+    with pytest.raises(tables.KeyViolation, match="network_id given again") as broken:
+        tables.publish(networks(spark, "b", "b", "b", "c"), path, rules=rules)
+    assert broken.value.counts == {"network_id given again": 2}
+    assert names(tables.read_table(spark, path)) == ["a"]
+    studies = spark.createDataFrame([(s, s, None, None, n) for s, n in (("S", "a"), ("T", "z"))], schemas.STUDY)
+    known = tables.read_table(spark, path)
+    with pytest.raises(tables.KeyViolation, match="no parent for network_id"):
+        tables.upsert_table(studies, f"{tmp_path}/study", ["study_id"], schemas.STUDY, parents={("network_id",): known})
+    assert not tables.exists(spark, f"{tmp_path}/study")
+    assert tables.publish(networks(spark, "b"), path, rules=rules) == 3
+    assert names(tables.read_table(spark, path)) == ["b"]
+
+
+def test_buckets_that_break_a_rule_stay_invisible(spark, tmp_path):
+    from tidegauge.sinks import parts
+
+    path, key, schema = f"{tmp_path}/t", ["k"], numbered(spark, [0], "x").schema
+    more = {"sums": parts.Sums(["v"]), "parents": {("v",): numbered(spark, [0], "a").select("v")}}
+    tables.upsert_buckets(numbered(spark, range(9), "a"), path, key, schema, 8, **more)
+    for bad, rule in ((numbered(spark, [1, 1, 12], "a"), "k given again"), (numbered(spark, [1, 12], "b"), "no parent for v")):
+        with pytest.raises(tables.KeyViolation, match=rule):
+            tables.upsert_buckets(bad, path, key, schema, 8, **more)
+        assert tables.read_table(spark, path, schema).where("v = 'a'").count() == 9
+        assert [tuple(r) for r in more["sums"].read(spark, path, schema).collect()] == [("a", 9)]
+
+
+def test_empty_writes_are_counted(spark, tmp_path):
+    none = networks(spark)
+    version, found = tables.publish_counted(
+        none, f"{tmp_path}/n", rules=tables.Rules(["network_id"]), totals={"most": F.max(F.length("network_id"))}
+    )
+    assert (version, found) == (1, {"rows": 0, "most": 0}) and tables.exists(spark, f"{tmp_path}/n")
+    some = tables.publish_counted(networks(spark, "abc", "d"), f"{tmp_path}/n", totals={"most": F.max(F.length("network_id"))})
+    assert some == (2, {"rows": 2, "most": 3})
+
+
+def test_totals_are_taken_while_writing(spark, tmp_path):
+    """Rows are computed once: the counter of the tasks that make them goes no further."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            calls.add(len(batch))
+            yield batch
+
+    rows = spark.range(500, numPartitions=4).mapInPandas(count, "id long")
+    _, found = tables.publish_counted(rows, f"{tmp_path}/ids", totals={"sum": F.sum("id")})
+    assert found == {"rows": 500, "sum": 124750} and calls.value == 500
+
+
+def test_clustered_tables_are_read_by_other_catalogues(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = numbered(spark, range(60), "a")
+    tables.publish_clustered(rows, path, ["k"], 4)
+    tables.publish_clustered(rows.where("k < 'k2'"), path, ["k"], 4)
+    name = tables._clustered_name(f"{path}/v00000002")
+    assert spark.catalog.tableExists(name)
+    # As in another application, whose catalogue does not know the table.
+    spark.sql(f"DROP TABLE {name}")
+    again = tables.read_clustered(spark, path)
+    assert again.count() == rows.where("k < 'k2'").count()
+    text = again.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text
+
+
 def test_recreate_tables(spark, tmp_path):
     base = f"{tmp_path}/tables"
     tables.publish(networks(spark, "a"), f"{base}/networks")

@@ -11,6 +11,7 @@ from tidegauge import rules, schemas
 from tidegauge.plans import imports, reports
 from tidegauge.session import SETTINGS, shared_folder
 from tidegauge.sinks import tables
+from tidegauge.sources import tree_source
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -23,19 +24,26 @@ def _parser() -> argparse.ArgumentParser:
     subjects = jobs.add_parser("subjects", help="import the study metadata files")
     subjects.add_argument("--strict", action="store_true", help="stop at the first bad row")
     subjects.add_argument("--numbers", default="", help="notes kept as numbers: Age=int,Score=double")
-    subjects.add_argument(
-        "--single-line", action="store_true", help="no quoted line breaks: large files may be split"
-    )
     files = jobs.add_parser("files", help="crawl the tree into the catalogue")
     files.add_argument("--hash", dest="hash_algorithm", help="also hash contents, for example md5")
     files.add_argument("--keep", action="store_true", help="merge into the catalogue")
-    for job in (subjects, files):
+    listing = jobs.add_parser("list", help="files of a study, subject, flags or modality, not stored")
+    for name in ("study", "subject", "modality"):
+        listing.add_argument(f"--{name}", dest=name if name == "modality" else f"{name}_id")
+    for name in ("protected", "raw"):
+        listing.add_argument(f"--{name}", action=argparse.BooleanOptionalAction, default=None)
+    for job in (subjects, files, listing):
         job.add_argument("--roots", required=True, help="comma-separated data roots, in priority order")
     statistics = jobs.add_parser("statistics", help="append a snapshot")
     for job in (files, statistics):
         job.add_argument("--run", type=datetime.fromisoformat, default=None, help="time of the run")
     report = jobs.add_parser("report", help="compare the two newest snapshots")
     report.add_argument("--networks", default=",".join(rules.NETWORKS))
+    recruitment = jobs.add_parser("recruitment", help="consented and recruited subjects")
+    recruitment.add_argument("--networks", default=",".join(rules.NETWORKS))
+    recruitment.add_argument("--as-of", type=date.fromisoformat, default=None)
+    for name, columns in reports.RECRUITMENT.items():
+        recruitment.add_argument(f"--{name}", required=True, help=f"table with {', '.join(columns)}")
     chart = jobs.add_parser("chart", help="growth series of one modality")
     chart.add_argument("modality")
     chart.add_argument("--network")
@@ -50,7 +58,9 @@ def utc(value: datetime | None = None) -> datetime:
     return value if value.tzinfo is None else value.astimezone(UTC).replace(tzinfo=None)
 
 
-def _log(spark: SparkSession, base: str, job: str, run: datetime, text: str) -> None:
+def _log(spark: SparkSession, base: str, job: str, run: datetime, totals: dict[str, int]) -> None:
+    """The totals of a run, as they were counted while it wrote."""
+    text = ", ".join(f"{count} {what}" for what, count in totals.items())
     message = spark.createDataFrame([(text,)], "message string")
     tables.append_log(message, f"{base}/logs", job, run)
 
@@ -72,30 +82,35 @@ def main(arguments: list[str] | None = None) -> None:
     if options.job == "init":
         tables.recreate_tables(spark, base)
     elif options.job == "sites":
-        imports.import_sites(spark, options.sites, base)
-        studies = tables.read_table(spark, f"{base}/study").count()
-        _log(spark, base, options.job, run, f"Catalogue of {studies} studies")
+        _log(spark, base, options.job, run, imports.import_sites(spark, options.sites, base))
     elif options.job == "subjects":
         numbers = dict(pair.rsplit("=", 1) for pair in options.numbers.split(",") if pair)
-        bad, problems = imports.import_subjects(
-            spark, options.roots, base, options.strict, numbers, not options.single_line
-        )
-        found = tables.read_table(spark, f"{base}/subjects", schemas.SUBJECTS).count()
-        text = f"{found} subjects, {bad.count()} rows in quarantine, {problems.count()} problems"
-        _log(spark, base, options.job, run, text)
+        found = imports.import_subjects(spark, options.roots, base, options.strict, numbers)
+        _log(spark, base, options.job, run, found)
     elif options.job == "files":
         work = shared_folder(spark, f"crawl-{run:%Y%m%dT%H%M%S%f}")
-        problems = imports.import_catalog(
+        found = imports.import_catalog(
             spark, options.roots, base, work, run, not options.keep, options.hash_algorithm
         )
-        found = tables.read_table(spark, f"{base}/file_catalog").count()
-        text = f"Found {found} files, {problems.count()} problems"
-        _log(spark, base, options.job, run, text)
+        _log(spark, base, options.job, run, found)
+    elif options.job == "list":
+        study = tables.read_table(spark, f"{base}/study", schemas.STUDY)
+        asked = {k: getattr(options, k) for k in ("study_id", "subject_id", "modality")}
+        asked |= {"is_protected": options.protected, "is_raw": options.raw}
+        found = tree_source.list_files(spark, study, options.roots, **asked)
+        _print(found.select("path", "size_bytes", "problem"))
     elif options.job == "statistics":
-        imports.compute_statistics(spark, base, run)
-        _log(spark, base, options.job, run, "Snapshot appended")
+        _log(spark, base, options.job, run, imports.compute_statistics(spark, base, run))
     elif options.job == "report":
-        _print(reports.notification(spark, base, tuple(options.networks.split(","))).select("text"))
+        lines, found = reports.notification(spark, base, tuple(options.networks.split(",")))
+        _print(lines.select("text"))
+        _log(spark, base, options.job, run, found)
+    elif options.job == "recruitment":
+        names = {name: getattr(options, name) for name in reports.RECRUITMENT}
+        as_of, networks = options.as_of or run.date(), tuple(options.networks.split(","))
+        lines, found = reports.recruitment_report(spark, base, names, as_of, networks)
+        _print(lines.select("text"))
+        _log(spark, base, options.job, run, found)
     elif options.job == "chart":
         as_of = options.as_of or run.date()
         _print(

@@ -26,6 +26,11 @@ def from_epoch_micros(micros: str | Column) -> Column:
     return F.expr(_EPOCH) + step
 
 
+def to_epoch_micros(ts: str | Column) -> Column:
+    """Microseconds since 1970 of a zone-less UTC timestamp."""
+    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), as_col(ts))
+
+
 def epoch_seconds(ts: str | Column) -> Column:
     """Whole seconds since 1970 of a zone-less UTC timestamp."""
     return F.timestamp_diff("SECOND", F.expr(_EPOCH), as_col(ts))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.values import tag_contains
@@ -82,6 +82,36 @@ def files_by_tag(
     return rows.where(tag_contains(metadata, key, value))
 
 
+# Most tag values that a filter names one by one; with more of them the text itself is tested.
+_VALUES = 1000
+
+
+def tag_filter(groups: DataFrame, key: str, value: str) -> Column:
+    """A filter on the tag column `key` for tags that contain `value`.
+
+    The values that a tag has stand in the counts beside the catalogue. Those that match are
+    named in the filter, so that the scan skips row groups whose statistics, dictionary or Bloom
+    filter have none of them.
+    """
+    found = groups.where(F.col(key).contains(value)).select(key).distinct().limit(_VALUES + 1)
+    values = sorted(row[0] for row in found.collect())
+    return F.col(key).contains(value) if len(values) > _VALUES else F.col(key).isin(*values)
+
+
+def indexed_files_by_tag(
+    catalog: DataFrame, groups: DataFrame, requests: DataFrame, key: str, value: str
+) -> DataFrame:
+    """Files of the requested (study, subject, modality) whose tag `key` contains `value`.
+
+    `groups` counts the catalogue's files by these columns and tags: requests without such a file are
+    dropped before the catalogue is read.
+    """
+    place = ["study_id", "subject_id", "modality"]
+    tagged = tag_filter(groups, key, value)
+    hits = requests.join(groups.where(tagged).select(*place).distinct(), place, "left_semi")
+    return files_for(catalog.where(tagged), hits)
+
+
 def files_for_by_tag(
     catalog: DataFrame, requests: DataFrame, key: str, value: str
 ) -> DataFrame:

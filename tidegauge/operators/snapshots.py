@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TS = "statistics_timestamp"
@@ -21,53 +20,65 @@ def ntz(value: datetime | Column) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _on_days(stats: DataFrame, days: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Statistics from the first of some days on, chosen from the day partitions alone.
+def latest_snapshot(runs: DataFrame) -> DataFrame:
+    """The newest time among runs: the index of stored snapshots, or any table with their time."""
+    return runs.agg(F.max(TS).alias(TS))
 
-    Finding the days reads no data columns, and the scan then skips older days.
-    """
-    if DAY not in stats.columns:
-        return stats
-    first = days(stats.select(DAY)).agg(F.min(DAY)).scalar()
-    return stats.where(F.col(DAY) >= first)
-
-
-def latest_snapshot(stats: DataFrame) -> DataFrame:
-    newest = _on_days(stats, lambda days: days.agg(F.max(DAY).alias(DAY)))
-    return newest.agg(F.max(TS).alias(TS))
-
-
-def _before(stats: DataFrame, moment: Column, depth: int) -> DataFrame:
-    """Distinct snapshots before a moment; all of the `depth` newest, older ones only by chance.
-
-    Every day holds a snapshot, and at most the moment's own day holds none before
-    it, so `depth` + 1 days are enough.
-    """
-
-    def newest_days(days: DataFrame) -> DataFrame:
-        known = days.where(F.col(DAY) <= moment.cast("date")).distinct()
-        return known.orderBy(F.desc(DAY)).limit(depth + 1)
 
-    recent = _on_days(stats, newest_days)
-    return recent.select(TS).where(F.col(TS) < moment).distinct()
-
-
-def earlier_snapshots(stats: DataFrame, before: datetime | Column, depth: int = 1) -> DataFrame:
+def earlier_snapshots(runs: DataFrame, before: datetime | Column, depth: int = 1) -> DataFrame:
     """The `depth` newest snapshots before a threshold, as (steps_back, timestamp).
 
     A top-k on distinct timestamps, so no task sorts them all.
     """
-    newest = _before(stats, ntz(before), depth).orderBy(F.desc(TS)).limit(depth)
+    known = runs.select(TS).where(F.col(TS) < ntz(before)).distinct()
+    newest = known.orderBy(F.desc(TS)).limit(depth)
     ordered = newest.agg(F.sort_array(F.collect_list(TS), asc=False).alias("found"))
     return ordered.select(F.posexplode("found").alias("steps_back", TS))
 
 
 def nth_previous_snapshot(
-    stats: DataFrame, before: datetime | Column, offset: int = 0
+    runs: DataFrame, before: datetime | Column, offset: int = 0
 ) -> DataFrame:
     """The snapshot `offset` steps before the newest one older than `before`; may be empty."""
-    earlier = _before(stats, ntz(before), offset + 1)
-    return earlier.orderBy(F.desc(TS)).offset(offset).limit(1)
+    known = runs.select(TS).where(F.col(TS) < ntz(before)).distinct()
+    return known.orderBy(F.desc(TS)).offset(offset).limit(1)
+
+
+def earlier_snapshot_of_each(
+    thresholds: DataFrame, runs: DataFrame, at: str, offsets: int = 1
+) -> DataFrame:
+    """For every threshold, the snapshots 0 to `offsets` - 1 steps before the newest older one.
+
+    `at` is the threshold's column; its rows come back with `steps_back` and the time of the
+    `earlier_snapshot`, null where there is none so early. A null threshold has none at all.
+
+    Snapshots are numbered in the order of time. A threshold's number is that of the snapshots
+    before its day, carried on from day to day over days with snapshots or thresholds, and of
+    the earlier ones of its own day; the snapshot of each number is then an equality join. Only
+    days and snapshots are ever sorted together; thresholds are joined, and Spark splits a hot day.
+    """
+    known = runs.select(TS).where(F.col(TS).isNotNull()).distinct()
+    day = F.col(at).cast("date")
+    held = known.groupBy(F.col(TS).cast("date").alias("_day")).agg(F.collect_list(TS).alias("_held"))
+    asked = thresholds.select(day.alias("_day")).where(F.col("_day").isNotNull()).distinct()
+    days = asked.join(held, "_day", "full")
+    earlier = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.coalesce(F.size("_held"), F.lit(0))
+    counted = days.select(
+        "_day",
+        F.coalesce("_held", F.array().cast("array<timestamp_ntz>")).alias("_held"),
+        F.coalesce(F.sum(F.greatest(size, F.lit(0))).over(earlier), F.lit(0)).alias("_before"),
+    )
+    number = F.row_number().over(Window.orderBy(TS))
+    numbered = known.select(number.alias("_number"), F.col(TS).alias("earlier_snapshot"))
+    placed = thresholds.withColumn("_day", day).join(counted, "_day", "left")
+    moment = F.col(at).cast("timestamp_ntz")
+    own = F.size(F.filter("_held", lambda held: held < moment))
+    steps = F.explode(F.sequence(F.lit(0), F.lit(offsets - 1))).alias("steps_back")
+    each = placed.select(*thresholds.columns, (F.col("_before") + own).alias("_upto"), steps)
+    each = each.withColumn("_number", (F.col("_upto") - F.col("steps_back")).cast("int"))
+    found = each.join(numbered, "_number", "left")
+    return found.select(*thresholds.columns, "steps_back", "earlier_snapshot")
 
 
 def at_snapshots(stats: DataFrame, *moments: Column) -> DataFrame:

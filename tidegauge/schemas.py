@@ -54,8 +54,10 @@ FILE_CATALOG = _schema(
 # One crawl fills `files` and `file_catalog` from the same rows, so they are
 # stored as one wide table and the two narrow ones are projections of it. No
 # job then needs a join on the path of every file.
+# Tags stand there as JSON and as columns, by which row groups can be skipped.
+TAGS = _schema(("mindlamp_type", _S, True), ("redcap_instance", _S, True))
 CATALOG_WIDE = T.StructType(
-    FILE_CATALOG.fields + [f for f in FILES.fields if f.name != "file_path"]
+    FILE_CATALOG.fields + TAGS.fields + [f for f in FILES.fields if f.name != "file_path"]
 )
 
 VOLUME_STATISTICS = _schema(
@@ -108,6 +110,12 @@ PRIMARY_KEYS = {
 # Order of the stored catalogue: lookups go by subject and modality.
 CATALOG_ORDER = ["study_id", "subject_id", "modality", "file_path"]
 
+# Equality lookups by path, tag or subject skip row groups by these filters.
+CATALOG_OPTIONS = {
+    f"parquet.bloom.filter.enabled#{column}": "true"
+    for column in ("file_path", "subject_id", *TAGS.names)
+}
+
 # child table -> [(columns, parent table)]; the wide catalogue holds the attributes of its files itself
 FOREIGN_KEYS = {
     "study": [(["network_id"], "networks")],

@@ -1,58 +1,50 @@
-"""Parquet tables with whole-table publishing.
+"""Stored tables: whole versions, buckets of a key, snapshots by run.
 
-A table is a folder of numbered versions. `publish` fills a new version and the
-job commit makes it visible, so its readers see the old table or the new one, never
-an empty or half-written one, and nothing is overwritten while it is read. Appends and
-replaced snapshot partitions go into the visible version: read them after the job.
+`publish` fills a new version of a table and marks it last; tables of parts (`parts.py`) write their
+index last. So readers see the old table or the new one. Rules on keys are checked in the tasks
+that fill a version: one that breaks them stays invisible. Only `append` of `write_table`
+adds to the visible version: read it after the job.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge import schemas
-from tidegauge.operators.snapshots import ntz
+from tidegauge.operators.snapshots import DAY, TS, ntz
 from tidegauge.operators.upsert import insert_conflicts, upsert
+from tidegauge.sinks import parts, versions
+from tidegauge.sinks.versions import KeyViolation, Rules
 
-SNAPSHOT_PARTITIONS = ["snapshot_date", "run_id"]
-
-
-def _versions(spark: SparkSession, path: str, committed: bool = True) -> list[int]:
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    found = []
-    for status in fs.listStatus(folder):
-        child = status.getPath()
-        number = child.getName().removeprefix("v")
-        if number.isdigit() and (not committed or fs.exists(hadoop.Path(child, "_SUCCESS"))):
-            found.append(int(number))
-    return sorted(found)
+__all__ = ["KeyViolation", "Rules"]
 
-
-def _folder(path: str, version: int) -> str:
-    return f"{path}/v{version:08d}"
+SNAPSHOT_PARTITIONS = ["snapshot_date", "run_id"]
+RUNS = parts.index_schema("snapshot_date date, run_id string", f"{TS} timestamp_ntz")
+BUCKETS = parts.index_schema("bucket int", "buckets int")
+# Counts kept beside the catalogue.
+GROUPS = parts.Sums(["study_id", "subject_id", "modality", *schemas.TAGS.names])
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    return bool(_versions(spark, path))
+    return parts.exists(spark, path) or bool(versions.versions(spark, path))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The newest committed version; an empty table of the schema when there is none."""
-    found = _versions(spark, path)
-    if not found:
-        if schema is None:
+    """The visible rows of a table of either kind; an empty table of the schema when there is none."""
+    if not parts.exists(spark, path):
+        return versions.read_version(spark, path, schema)
+    if schema is None:
+        first = parts.read_index(spark, path).select("folder").first()
+        if first is None:
             raise FileNotFoundError(path)
-        return spark.createDataFrame([], schema)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(_folder(path, found[-1]))
+        schema = spark.read.parquet(f"{path}/data/{first[0]}").schema
+    return parts.read_parts(spark, path, schema)
 
 
 def publish(
@@ -60,30 +52,46 @@ def publish(
     path: str,
     partition_by: list[str] | None = None,
     order_by: list[str] | None = None,
+    rules: Rules | None = None,
+    totals: Mapping[str, Column] | None = None,
 ) -> int:
     """Replace the whole table by a new version; returns its number.
 
     With `order_by` the files hold consecutive ranges, so that a lookup on leading
     columns skips most of them. End the list with a unique column: a range is then
-    never stuck on one frequent value.
+    never stuck on one frequent value. Rows that break `rules` raise `KeyViolation`.
     """
+    return publish_counted(rows, path, partition_by, order_by, rules, totals)[0]
+
+
+def publish_counted(
+    rows: DataFrame,
+    path: str,
+    partition_by: list[str] | None = None,
+    order_by: list[str] | None = None,
+    rules: Rules | None = None,
+    totals: Mapping[str, Column] | None = None,
+) -> tuple[int, dict[str, int]]:
+    """As `publish`; returns also the number of `rows` and the `totals`, taken as they are written."""
     spark = rows.sparkSession
-    version = max(_versions(spark, path, committed=False), default=0) + 1
+    version, folder = versions.next_folder(spark, path)
     if order_by:
-        rows = rows.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    rows.write.partitionBy(*(partition_by or [])).parquet(_folder(path, version))
-    return version
+        rows = rows.repartitionByRange(*order_by)
+    found = versions.fill(rows, folder, rules, partition_by, order_by, totals)
+    versions.mark(spark, folder)
+    return version, found
 
 
 def write_table(rows: DataFrame, path: str, if_exists: str = "replace") -> None:
     """`fail`, `replace` or `append` when the table exists; create it otherwise."""
     if if_exists not in ("fail", "replace", "append"):
         raise ValueError(f"if_exists must be fail, replace or append, not {if_exists!r}")
-    found = _versions(rows.sparkSession, path)
+    spark = rows.sparkSession
+    found = versions.versions(spark, path)
     if found and if_exists == "fail":
         raise FileExistsError(path)
     if found and if_exists == "append":
-        rows.write.mode("append").parquet(_folder(path, found[-1]))
+        rows.write.mode("append").parquet(versions.folder(path, found[-1]))
     else:
         publish(rows, path)
 
@@ -94,11 +102,31 @@ def upsert_table(
     key: list[str],
     schema: T.StructType,
     order_by: list[str] | None = None,
-) -> int:
-    """Publish existing rows and new ones, the new replacing equal keys."""
+    parents: Mapping[tuple[str, ...], DataFrame] | None = None,
+) -> tuple[int, dict[str, int]]:
+    """Publish existing rows and new ones, the new replacing equal keys.
+
+    For tables of moderate size, which are written anew; `upsert_buckets` is for large ones.
+    """
     existing = read_table(new.sparkSession, path, schema)
     merged = upsert(existing, new.select(*schema.names), key)
-    return publish(merged, path, order_by=order_by)
+    return publish_counted(merged, path, order_by=order_by, rules=Rules(key, parents))
+
+
+def upsert_buckets(
+    new: DataFrame,
+    path: str,
+    key: list[str],
+    schema: T.StructType,
+    buckets: int,
+    replace: bool = False,
+    **more,
+) -> dict[str, int]:
+    """Merge new rows into a table stored in buckets of its key, or replace it.
+
+    See `parts.write_buckets`: what no new key falls into is neither read nor written.
+    """
+    return parts.write_buckets(new, path, key, schema, buckets, replace, **more)
 
 
 def check_new(new: DataFrame, path: str, key: list[str], schema: T.StructType) -> None:
@@ -125,38 +153,96 @@ def with_run(stats: DataFrame, run_ts: datetime) -> DataFrame:
     )
 
 
-def append_snapshots(stats: DataFrame, path: str, many_runs: bool = False) -> None:
+def append_snapshots(stats: DataFrame, path: str, many_runs: bool = False) -> dict[str, int]:
     """Add stamped snapshots; one that is there already is replaced, all others stay.
 
-    The partition is the day and the run, so a repeated run is idempotent and two
-    runs of a day are two snapshots. Readers prune by day, so a row whose day is not that of
-    its time is an error. One run is written as it comes out of its
-    aggregation; `many_runs` are first gathered by run, which needs a shuffle.
+    A part is the day and the run; a run is seen from the moment its row stands in the index of
+    runs, which is written last. A repeated run is filled beside the old one and takes its place.
+    Readers choose runs by day, so a row whose day is not that of its time is an error. One run is
+    written as it comes out of its aggregation; `many_runs` are first gathered by run, which
+    needs a shuffle. Returns the number of rows and of counted files.
     """
-    spark = stats.sparkSession
-    found = _versions(spark, path)
-    if not found:
-        publish(stats.limit(0), path, SNAPSHOT_PARTITIONS)
-        found = _versions(spark, path)
-    day = F.col("snapshot_date")
+    day = F.col(DAY)
     wrong = F.raise_error(F.lit("snapshot_date is not the day of statistics_timestamp"))
-    same = day == F.col("statistics_timestamp").cast("date")
-    stats = stats.withColumn("snapshot_date", F.when(same, day).otherwise(wrong))
+    same = day == F.col(TS).cast("date")
+    stats = stats.withColumn(DAY, F.when(same, day).otherwise(wrong))
     if many_runs:
         stats = stats.hint("rebalance", *SNAPSHOT_PARTITIONS)
-    (
-        stats.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*SNAPSHOT_PARTITIONS)
-        .parquet(_folder(path, found[-1]))
+    totals = {"files": F.sum("files_count")}
+    entries, found = parts.fill_parts(
+        stats, path, SNAPSHOT_PARTITIONS, totals=totals, notes={TS: F.max(TS)}
     )
+    parts.publish_index(entries, path, SNAPSHOT_PARTITIONS)
+    return found
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each visible snapshot, with its day, time and number of rows."""
+    if not parts.exists(spark, path):
+        return spark.createDataFrame([], RUNS)
+    return parts.read_index(spark, path)
+
+
+def read_snapshots(spark: SparkSession, path: str, runs: DataFrame | None = None) -> DataFrame:
+    """Statistics of the given runs, of all visible ones by default; no other folder is looked at."""
+    if runs is None:
+        runs = read_runs(spark, path)
+    return parts.read_parts(spark, path, schemas.VOLUME_STATISTICS, runs)
+
+
+def read_groups(spark: SparkSession, path: str) -> DataFrame:
+    """Files of the stored catalogue by study, subject, modality and tags, from the counts beside it."""
+    return GROUPS.read(spark, path, schemas.CATALOG_WIDE)
+
+
+def publish_clustered(rows: DataFrame, path: str, key: list[str], buckets: int) -> None:
+    """Replace a table by a new version that is clustered and sorted by a key.
+
+    Tables with the same number of buckets of the same key are joined on it without a shuffle. Spark
+    knows of buckets through its catalogue only, so a version is an external table there; what
+    it is clustered by stands in the table `layout`, which is written last.
+    """
+    spark = rows.sparkSession
+    folder = versions.next_folder(spark, path)[1]
+    clustered = rows.repartition(buckets, *key)
+    clustered.write.bucketBy(buckets, *key).sortBy(*key).option("path", folder).format(
+        "parquet"
+    ).saveAsTable(_clustered_name(folder))
+    layout = spark.createDataFrame([(folder, key, buckets)], _LAYOUT)
+    publish(layout, f"{path}/layout")
+
+
+def read_clustered(spark: SparkSession, path: str) -> DataFrame:
+    """The newest clustered version, made known to Spark's catalogue where it is not yet."""
+    row = versions.read_version(spark, f"{path}/layout").first()
+    name = _clustered_name(row["folder"])
+    if not spark.catalog.tableExists(name):
+        by = ", ".join(f"`{column}`" for column in row["key"])
+        columns = spark.read.parquet(row["folder"]).schema
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns.toDDL()}) USING parquet CLUSTERED BY ({by}) "
+            f"SORTED BY ({by}) INTO {row['buckets']} BUCKETS LOCATION '{row['folder']}'"
+        )
+    return spark.table(name)
+
+
+_LAYOUT = "folder string, key array<string>, buckets int"
+
+
+def _clustered_name(folder: str) -> str:
+    return f"tidegauge_{hashlib.sha256(folder.encode()).hexdigest()[:24]}"
 
 
 def recreate_tables(spark: SparkSession, base: str) -> None:
     """Publish an empty version of every table, parents before children."""
+    indexes = {"volume_statistics": RUNS, "file_catalog": BUCKETS}
     for name, schema in schemas.TABLES.items():
-        parts = SNAPSHOT_PARTITIONS if name == "volume_statistics" else None
-        publish(spark.createDataFrame([], schema), f"{base}/{name}", parts)
+        if name in indexes:
+            parts.publish_index(
+                spark.createDataFrame([], indexes[name]), f"{base}/{name}", [], replace=True
+            )
+        else:
+            publish(spark.createDataFrame([], schema), f"{base}/{name}")
 
 
 def append_log(messages: DataFrame, path: str, module: str, run_ts: datetime) -> None:

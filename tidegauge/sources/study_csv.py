@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import csv
+import io
 import os
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, DataFrameReader, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +17,12 @@ from tidegauge import rules
 from tidegauge.functions.paths import metadata_file, study_dir
 from tidegauge.functions.times import parse_date
 from tidegauge.functions.values import missing_to_null, nonzero_flag, pack_map
+from tidegauge.sources import csv_records
 from tidegauge.sources.tree import check_mounted
 
-_FILE_SCHEMA = "study_id string, pos int, path string, header array<string>"
+_FILE_SCHEMA = "study_id string, pos int, path string, header array<string>, unread string"
+# As much of a file as may be its header.
+_HEADER_CHARS = 1 << 20
 # Position of a row: its file, start of its split, then its number within the scan.
 SEQUENCE = ["path", "block", "line"]
 
@@ -53,9 +56,19 @@ def _column_names(header: list[str]) -> list[str]:
         names.append(f"{name}.{repeat}" if repeat else name)
     return names
 
-def _header_of(path: str) -> list[str]:
-    with open(path, encoding="utf-8-sig", newline="") as file:
-        return _column_names(next(csv.reader(file), []))
+
+def _header_of(path: str) -> tuple[list[str], str | None]:
+    """The column names of a file, or what keeps them from being read."""
+    try:
+        with open(path, encoding="utf-8-sig", newline="") as file:
+            start = file.read(_HEADER_CHARS)
+        return _column_names(next(csv.reader(io.StringIO(start, newline="")), [])), None
+    except UnicodeDecodeError:
+        return [], csv_records.NOT_UTF8
+    except OSError as error:
+        return [], error.strerror or str(error)
+    except csv.Error as error:
+        return [], f"header: {error}"
 
 
 def _files_at(path: str) -> list[str]:
@@ -67,19 +80,24 @@ def _files_at(path: str) -> list[str]:
 
 def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = [
-            (row.study_id, row.pos, path, _header_of(path))
-            for row in batch.itertuples()
-            for path in _files_at(re.sub("/+", "/", row.path))
-        ]
-        yield pd.DataFrame(found, columns=["study_id", "pos", "path", "header"])
+        found = []
+        for row in batch.itertuples():
+            place = re.sub("/+", "/", row.path)
+            try:
+                paths = _files_at(place)
+            except OSError as error:
+                found.append((row.study_id, row.pos, place, [], error.strerror or str(error)))
+                continue
+            found += [(row.study_id, row.pos, path, *_header_of(path)) for path in paths]
+        yield pd.DataFrame(found, columns=["study_id", "pos", "path", "header", "unread"])
 
 
 def find_files(candidates: DataFrame) -> DataFrame:
     """The files of each study below the first root that has any, each with its own header.
 
-    `problem` names what keeps a file from being read: a required column that its header
-    lacks. A study without a file is a row with a null path.
+    `problem` names what keeps a file from being read: an error of the file system, text that is
+    not UTF-8, a required column that its header lacks. A study without a file is a row with a
+    null path.
     """
     probed = candidates.repartition("path").mapInPandas(_read_headers, _FILE_SCHEMA)
     first = Window.partitionBy("study_id")
@@ -87,6 +105,7 @@ def find_files(candidates: DataFrame) -> DataFrame:
     lacking = F.array_except(F.array(*[F.lit(f) for f in rules.REQUIRED_FIELDS]), "header")
     problem = (
         F.when(F.col("path").isNull(), F.lit("no metadata file"))
+        .when(F.col("unread").isNotNull(), F.col("unread"))
         .when(F.size(lacking) > 0, F.concat(F.lit("missing column: "), F.array_join(lacking, ", ")))
     )
     studies = candidates.select("study_id").distinct()
@@ -96,58 +115,38 @@ def find_files(candidates: DataFrame) -> DataFrame:
     )
 
 
-def _reader(files: DataFrame, cells: list[str], multi_line: bool) -> DataFrameReader:
-    """A reader of text cells; `raw` is the text of a row whose fields do not fit the header."""
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*cells, "raw"]])
-    return files.sparkSession.read.schema(schema).options(
-        header=True,
-        multiLine=multi_line,
-        escape='"',
-        columnNameOfCorruptRecord="raw",
-        columnPruning=False,
-    )
-
-
-def _scan(files: DataFrame, width: int, multi_line: bool) -> DataFrame:
-    """All rows of the files whose header has `width` columns, cells by position."""
-    cells = [f"c{i}" for i in range(width)]
-    paths = [row["path"] for row in files.where(F.size("header") == width).toLocalIterator()]
-    # A row has more fields than the header: counted on the raw text, without what is quoted.
-    bare = F.regexp_replace("raw", '"([^"]|"")*"', "")
-    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
-    location = F.regexp_replace(F.col("_metadata.file_path"), "^file:(//)?", "")
-    return (
-        _reader(files, cells, multi_line)
-        .csv(paths)
-        .select(
-            F.url_decode(F.replace(location, F.lit("+"), F.lit("%2B"))).alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-            F.array(*cells).alias("cells"),
-            F.regexp_replace("raw", r"[\r\n]+$", "").alias("raw"),
-            F.coalesce(fields > width, F.lit(False)).alias("is_ragged"),
-        )
-    )
+def read_lines(files: DataFrame) -> DataFrame:
+    """Lines of all files that can be read; only their names come to the driver."""
+    usable = files.where(F.col("problem").isNull()).select("path")
+    paths = [row["path"] for row in usable.toLocalIterator()]
+    if not paths:
+        raise FileNotFoundError("no study metadata file that can be read")
+    return csv_records.read_lines(files.sparkSession, paths)
 
 
-def read_metadata(files: DataFrame, multi_line: bool = True) -> DataFrame:
+def read_metadata(lines: DataFrame, report: DataFrame, files: DataFrame) -> DataFrame:
     """Rows of all study files, with the study, the file and the position in it.
 
     `values` maps the header's names to cells, so names never meet those of the result:
     they may differ in case only, or be `study_id`. Rows shorter than the header lack the
     last cells; longer ones are marked `is_ragged` and keep their text in `raw`.
 
-    Only file names come to the driver; files with equally many columns are one scan.
-    Quoted line breaks need `multi_line`, which keeps a file in one task; without
-    them, large files can be split.
+    Lines and their report are written tables. Files are split between tasks wherever Spark likes.
     """
     usable = files.where(F.col("problem").isNull())
-    widths = sorted(row[0] for row in usable.select(F.size("header")).distinct().toLocalIterator())
-    if not widths:
-        raise FileNotFoundError("no study metadata file that can be read")
-    rows = reduce(DataFrame.union, [_scan(usable, width, multi_line) for width in widths])
-    return rows.join(usable.select("path", "study_id", "header"), "path").select(
-        "study_id", *SEQUENCE, F.map_from_arrays("header", "cells").alias("values"), "raw", "is_ragged"
+    width = usable.agg(F.max(F.size("header"))).first()[0]
+    names = [f"c{i}" for i in range(width)]
+    kind = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    records = csv_records.read_records(lines, report)
+    rows = records.join(usable.select("path", "study_id", "header"), "path")
+    row = F.from_csv("text", F.lit(kind.simpleString()), {"escape": '"'})
+    cells = F.slice(F.array(*[F.col("row")[name] for name in names]), 1, F.size("header"))
+    return rows.withColumn("row", row).select(
+        "study_id",
+        *SEQUENCE,
+        F.map_from_arrays("header", cells).alias("values"),
+        F.col("text").alias("raw"),
+        (csv_records.field_count(F.col("text")) > F.size("header")).alias("is_ragged"),
     )
 
 
