@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import string
 import uuid
+import weakref
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -18,6 +20,9 @@ PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
 
+_places: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def stored(table: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -27,7 +32,30 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     spark = table.sparkSession
     path = f"{shared_folder(spark, 'llm')}/{uuid.uuid4().hex}/{name}"
     table.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(table.schema).parquet(path)
+    found = spark.read.schema(table.schema).parquet(path)
+    _places[found] = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables from which all that is needed has been written."""
+    for table in tables:
+        spark = table.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(_places.pop(table))
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def settled(table: DataFrame) -> DataFrame:
+    """The table, in a form of which every scan gives the same rows in the same order.
+
+    Rows can be numbered in several scans of such a table. Files that are only projected and
+    filtered are one as they are; whatever comes of a shuffle, a sample, a limit or of Python is
+    written first.
+    """
+    plan = table._jdf.queryExecution().optimizedPlan()
+    steps = [line.lstrip(" :+-") for line in plan.toString().splitlines()]
+    files = all(re.match(r"(Project|Filter|Relation|LocalRelation)\b", step) for step in steps)
+    return table if files and plan.deterministic() else stored(table, "settled")
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,8 +80,7 @@ def plain_words(text: Column) -> Column:
 def with_row_id(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns and a number for each row, `row_id`.
 
-    Repeated rows get different numbers. The numbers are the same in each scan as
-    long as `docs` reads files, as the queries and the pipeline's stages do.
+    Repeated rows get different numbers. The numbers are the same in each scan of a `settled` table.
     """
     return docs.select(*(docs[c] for c in columns)).withColumn(
         "row_id", F.monotonically_increasing_id()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import stored
+from tidegauge.llm.common import discard, stored
 
 
 def _mark(edges: DataFrame):
@@ -20,7 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     The root is the smallest node of its component. Large-star and small-star steps
     alternate until nothing changes, which takes a number of rounds that grows with
-    the logarithm of the number of nodes. A node's neighbours are never gathered: their
+    the logarithm of the number of nodes; only the last round's table stays. A node's neighbours are never gathered: their
     minimum is aggregated before the shuffle and joined back, and adaptive execution
     splits that join at hot nodes. Each round is a written table. Loops, repeated
     edges and null ends are ignored; no edges give no rows.
@@ -48,8 +48,9 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(lower.withColumnRenamed("m", "v"))
             .distinct()
         )
-        then, now = mark, stored(small, "small")
+        then, before, now = mark, now, stored(small, "small")
         mark = _mark(now)
+        discard(before, large)
         if (mark["n"], mark["x"]) == (then["n"], then["x"]):
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

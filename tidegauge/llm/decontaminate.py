@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import plain_words, stored
+from tidegauge.llm.common import plain_words, settled, stored
 
 WINDOW = 10
 
@@ -180,6 +180,7 @@ def decontaminate(
     in order). Null and blank texts have no words and no hits; items without words hit
     nothing; an item that is repeated counts once; an empty benchmark hits nothing.
     """
+    docs = settled(docs)
     windows, held = benchmark_windows(items, window)
     rows = stored(spans(docs, windows, text), "spans")
     ids = (
@@ -213,6 +214,7 @@ def decontaminate(
 
 def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold a window of the benchmark go; all others stay as they are."""
+    docs = settled(docs)
     items = spark.read.parquet(f"{folder.rstrip('/')}/benchmark.parquet")
     windows, _ = benchmark_windows(items)
     hit = stored(spans(docs, windows).where(F.size("found") > 0).select("row_id"), "contaminated")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.common import pieces
+from tidegauge.llm.common import pieces, stored
 
 # Grams in a language's profile and in a document's.
 PROFILE = 400
@@ -119,11 +119,9 @@ def profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size: int
         .agg(F.sum("n").alias("n"))
     )
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return (
-        counts.withColumn("rank", F.row_number().over(order) - 1)
-        .where(F.col("rank") < size)
-        .select("lang", "gram", "rank")
-    )
+    # Spark takes such a filter as a limit for each task, ahead of the shuffle by language.
+    first = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+    return first.select("lang", "gram", (F.col("place") - 1).alias("rank"))
 
 
 def _predict(known: dict[str, tuple[np.ndarray, np.ndarray]], size: int):
@@ -175,6 +173,17 @@ def _predict(known: dict[str, tuple[np.ndarray, np.ndarray]], size: int):
     return run
 
 
+def _tables(learned: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Grams in order, and their ranks, of each language; `PROFILE` rows a language at most."""
+    known: dict[str, list[tuple[int, int]]] = {}
+    for row in learned.toLocalIterator():
+        known.setdefault(row["lang"], []).append((row["gram"], row["rank"]))
+    return {
+        lang: tuple(np.array(x, np.int64) for x in zip(*sorted(pairs), strict=True))
+        for lang, pairs in known.items()
+    }
+
+
 def identify(docs: DataFrame, learned: DataFrame, keep: list[str], text: str = "text"):
     """Predict the language of every row of `docs`.
 
@@ -189,13 +198,7 @@ def identify(docs: DataFrame, learned: DataFrame, keep: list[str], text: str = "
     `lang_pred` and `score`. Text that is null or has no letter, and any text while no
     language is known, gives `und` and 0.
     """
-    known: dict[str, list[tuple[int, int]]] = {}
-    for row in learned.toLocalIterator():
-        known.setdefault(row["lang"], []).append((row["gram"], row["rank"]))
-    tables = {}
-    for lang, pairs in known.items():
-        pairs.sort()
-        tables[lang] = tuple(np.array(x, np.int64) for x in zip(*pairs, strict=True))
+    tables = _tables(learned)
     rows = docs.select(F.struct(*(docs[c] for c in keep)).alias("row"), docs[text].alias("text"))
     schema = T.StructType(
         [rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -214,7 +217,8 @@ def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
     A document goes if its text is null, has no letter or shares no gram with any language's profile
     (score 0). If nothing could be learned, documents with letters stay all the same.
     """
-    learned = profiles(docs.where(~held_out(docs["doc_id"])))
+    # Written, as the profiles are looked at twice.
+    learned = stored(profiles(docs.where(~held_out(docs["doc_id"]))), "profiles")
     if learned.isEmpty():
         return docs.where(F.col("text").rlike(r"\p{L}"))
     return identify(docs, learned, docs.columns).where("lang_pred <> 'und' and score > 0").select("row.*")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.common import all_pieces, stored, texts
+from tidegauge.llm.common import all_pieces, settled, stored, texts
 from tidegauge.llm.components import components
 
 SHINGLE = 3
@@ -285,6 +285,7 @@ def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
     Rows that repeat that id within the group are copies too; the first as read stays. In a
     group without any id the first row stays.
     """
+    docs = settled(docs)
     numbered = docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row_id"))
     prints = stored(
         fingerprints(

@@ -7,17 +7,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import all_pieces, stored, texts, with_row_id
+from tidegauge.llm.common import all_pieces, discard, settled, stored, texts, with_row_id
 from tidegauge.llm.vocabulary import rolled, split_all, within, word_hashes
 
 WINDOW = 20
 ANCHOR = 8
 # A place is a document's rank and a word's number; a text of 2 GB has no more words.
 _WORD_BITS = 28
-_RANGES = 64
 
 
 def _anchors(
@@ -57,11 +57,12 @@ def anchors(rows: DataFrame, window: int, anchor: int) -> DataFrame:
     return rows.select("row_id", "text").mapInArrow(run, "hash long, row_id long, at int")
 
 
-def _ranks(rows: DataFrame) -> DataFrame:
-    """`row_id, rank`: the order of documents by id, null last, then as read."""
+def _ranks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`row_id, rank`: the order of documents by id, null last, then as read; before it, the table it
+    is read from."""
     ranged = stored(
         rows.select("doc_id", "row_id")
-        .repartitionByRange(_RANGES, F.col("doc_id").asc_nulls_last(), "row_id")
+        .repartitionByRange(F.col("doc_id").asc_nulls_last(), "row_id")
         .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "row_id")
         .select(
             "row_id",
@@ -74,12 +75,35 @@ def _ranks(rows: DataFrame) -> DataFrame:
     for row in sorted(ranged.groupBy("part").count().collect()):  # one row for each range
         offsets.append((row["part"], before))
         before += row["count"]
+    if before >> (63 - _WORD_BITS):
+        raise OverflowError(f"{before} documents do not fit beside the word numbers of a place")
+    # One row for each range: as many as the session has shuffle partitions.
     table = rows.sparkSession.createDataFrame(offsets, "part int, before long")
-    return ranged.join(F.broadcast(table), "part").select(
+    return ranged, ranged.join(table, "part").select(
         "row_id", (F.col("at") + F.col("before")).alias("rank")
     )
 
 
+def _squeezed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one: they are shuffled once."""
+    press = zstandard.ZstdCompressor(level=1)
+    for piece in all_pieces(batches, "text"):
+        packed = [press.compress(text) for text in texts(piece.column("text"))]
+        yield pa.RecordBatch.from_arrays(
+            [piece.column("row_id"), piece.column("doc_id"), pa.array(packed, pa.binary())],
+            ["row_id", "doc_id", "packed"],
+        )
+
+
+def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdDecompressor()
+    for piece in all_pieces(batches, "packed", 1 << 20):
+        whole = [press.decompress(packed) for packed in piece.column("packed").to_pylist()]
+        columns = {n: piece.column(n) for n in piece.schema.names if n != "packed"}
+        columns["text"] = pa.array(whole, pa.large_binary())
+        yield pa.RecordBatch.from_pydict(columns)
+
+
 def _sha(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
@@ -88,7 +112,7 @@ def _extend(window: int, anchor: int):
     """From the repeated anchors of a text to the windows that select them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in all_pieces(batches, "text"):
+        for piece in all_pieces(_unpacked(batches), "text"):
             values = texts(piece.column("text"))
             words, ends = split_all(values)
             repeated = [
@@ -180,13 +204,14 @@ def dedup_substrings(
     joined by a space (null where nothing went: the text's own words). Null and blank texts
     have no words. An empty table gives no rows.
     """
-    rows = docs.select(docs["doc_id"].alias("doc_id"), docs[text].alias("text"))
+    rows = settled(docs.select(docs["doc_id"].alias("doc_id"), docs[text].alias("text")))
     rows = with_row_id(rows, "doc_id", "text")
     found = anchors(rows, window, anchor)
     twice = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     repeated = stored(found.join(twice, "hash", "left_semi").select("row_id", "at"), "repeated")
+    ranged, ranks = _ranks(rows)
     ids = stored(
-        _ranks(rows).join(
+        ranks.join(
             repeated.groupBy("row_id").agg(F.collect_list("at").alias("repeated")), "row_id", "left"
         ),
         "ids",
@@ -195,13 +220,16 @@ def dedup_substrings(
         "doc_id long, row_id long, rank long, n_words long, sha string, text string, "
         "starts array<int>, one array<long>, two array<long>"
     )
+    packed = rows.select("row_id", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        _squeezed, "row_id long, doc_id long, packed binary"
+    )
     windows = stored(
-        rows.withColumn("doc_id", F.col("doc_id").cast("long"))
-        .join(ids, "row_id")
-        .select("doc_id", "row_id", "rank", "repeated", "text")
+        packed.join(ids, "row_id")
+        .select("doc_id", "row_id", "rank", "repeated", "packed")
         .mapInArrow(_extend(window, anchor), kind),
         "windows",
     )
+    discard(repeated, ranged, ids)
     place = F.shiftleft("rank", _WORD_BITS) + F.col("at.starts")
     firsts = (
         windows.where("sha is null")

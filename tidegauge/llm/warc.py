@@ -27,7 +27,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from tidegauge.llm.common import all_pieces, stored
+from tidegauge.llm.common import all_pieces, settled, stored
 
 SCHEMA = (
     "record_type string, record_id string, target_uri string, refers_to string, "
@@ -359,6 +359,7 @@ def page_records(pages: DataFrame, smallest: int = SMALLEST) -> DataFrame:
     the largest; of rows that share it, the first as read) is a response and the others are revisits of it;
     all smaller ones are responses. Null html is an empty payload; an empty table gives no records.
     """
+    pages = settled(pages)
     rows = pages.select(
         F.monotonically_increasing_id().alias("row_id"),
         pages["page_id"].alias("page_id"),
