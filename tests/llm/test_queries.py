@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import math
 import re
+import struct
+import zlib
+from collections import Counter, defaultdict
 
 import compare
+import numpy as np
 import pytest
+import regex
 import xxhash
 
 import __spark_entry__ as entry
-from tidegauge.llm import lines as fuzzy
+from tidegauge.llm import importance, language, vocabulary
 from tidegauge.llm.sql import SQL
 
 DATA = "/root/testdata/sf0.001"
@@ -62,58 +68,108 @@ def test_simhash_equals_all_pairs(spark):
     }
 
 
-def distance(a, b):
-    row = list(range(len(b) + 1))
+def form(line: str) -> str:
+    line = regex.sub("[0-9]+", "0", regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()))
+    return line.strip()
+
+
+def within(a: str, b: str, most: int) -> bool:
+    """Whether the edit distance is at most so much; only a band of the table is filled."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    far = most + 1
+    row = [j if j <= most else far for j in range(len(b) + 1)]
     for i, x in enumerate(a, 1):
-        before, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
-    return row[-1]
-
-
-def line_print(form: str) -> int | None:
-    words = {w for w in form.split(" ") if w}
-    if len(words) < fuzzy.SHORTEST:
-        return None
-    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
-    return sum(1 << b for b in range(60) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
-def removed_lines(docs) -> dict[int, list[int]]:
-    """All pairs of lines, compared one by one."""
-    places, forms = [], {}
-    for doc_id, text in docs:
-        for at, piece in enumerate(re.findall(rf"[^\n]{{1,{fuzzy.LONGEST}}}\n?|\n", text or "")):
-            if any(c.isalpha() or c.isnumeric() for c in piece):
-                form = piece.lower().strip(" \t\r\n")
-                places.append((doc_id, at, form))
-                forms.setdefault(form, line_print(form))
+        low, high = max(1, i - most), min(len(b), i + most)
+        now = [far] * (len(b) + 1)
+        if i <= most:
+            now[0] = i
+        for j in range(low, high + 1):
+            now[j] = min(row[j - 1] + (x != b[j - 1]), row[j] + 1, now[j - 1] + 1, far)
+        row = now
+        if min(row) > most:
+            return False
+    return row[-1] <= most
+
+
+def similar_pairs(forms: list[str]):
+    """All pairs whose edit similarity is 0.8 or more. An edit changes two pairs of letters at most,
+    so most pairs of lines are ruled out by counting those; no pair that counts is."""
+    grams = np.zeros((len(forms), 1024), np.int32)
+    for row, line in zip(grams, forms, strict=True):
+        for x, y in zip(line, line[1:], strict=False):
+            row[zlib.crc32((x + y).encode()) % 1024] += 1
+    sizes = np.array([len(line) for line in forms])
+    for i, line in enumerate(forms):
+        longer = np.maximum(sizes[:i], sizes[i])
+        most = (longer * 0.2 + 1e-9).astype(int)
+        able = np.flatnonzero((longer - np.minimum(sizes[:i], sizes[i]) <= most))
+        apart = np.abs(grams[able] - grams[i]).sum(axis=1)
+        for j in able[apart <= 4 * most[able]].tolist():
+            if within(line, forms[j], int(most[j])):
+                yield line, forms[j]
+
+
+def test_lines_equal_all_pairs(spark):
+    """Every pair of lines of the given documents, compared by character edit similarity."""
+    places = []
+    for d in _documents(spark):
+        for at, line in enumerate(re.findall(r"[^\n]+\n?|\n", d["text"] or "")):
+            if regex.search(r"[\p{L}\p{N}]", line):
+                places.append((d["doc_id"], at, form(line)))
+    forms = sorted({f for _, _, f in places})
     sets = Sets(forms)
-    known = [(f, p) for f, p in forms.items() if p is not None]
-    for i, (f, p) in enumerate(known):
-        for g, q in known[:i]:
-            if (p ^ q).bit_count() <= fuzzy.RADIUS:
-                a, b = f.split(" "), g.split(" ")
-                most = int(max(len(a), len(b)) * (1 - fuzzy.SIMILARITY) + 1e-9)
-                if distance(a, b) <= most:
-                    sets.join(f, g)
-    first, gone = set(), {doc_id: [] for doc_id, _ in docs}
-    for doc_id, at, form in sorted(places):
-        root = sets.find(form)
+    fuzzy = 0
+    for a, b in similar_pairs(forms):
+        sets.join(a, b)
+        fuzzy += 1
+    first, gone = set(), {d["doc_id"]: [] for d in _documents(spark)}
+    for doc_id, at, line in sorted(places):
+        root = sets.find(line)
         if root in first:
             gone[doc_id].append(at)
         first.add(root)
-    return gone
-
-
-def test_lines_equal_all_pairs(spark):
-    docs = [(d["doc_id"], d["text"]) for d in _documents(spark)]
-    want = removed_lines(docs)
     found = entry.queries()["op10_line_dedup"](spark, DATA).collect()
     assert {r["doc_id"]: r["removed"] for r in found} == {
-        i: ",".join(map(str, x)) for i, x in want.items()
+        i: ",".join(map(str, x)) for i, x in gone.items()
     }
-    assert sum(map(len, want.values())) > 50
+    assert sum(map(len, gone.values())) > 200 and fuzzy > 20
+
+
+def letter_grams(text: str) -> Counter:
+    """Runs of one to three letters of words with their edges (1), as code points."""
+    found = Counter()
+    for word in "".join(c if c.isalpha() else " " for c in text.lower()).split():
+        codes = [ord(c) for c in word]
+        whole = [1, *codes, 1]
+        found.update((c, 0, 0) for c in codes)
+        found.update((a, b, 0) for a, b in zip(whole, whole[1:], strict=False))
+        found.update(zip(whole, whole[1:], whole[2:], strict=False))
+    return found
+
+
+def test_language_equals_rank_distances(spark):
+    """Profiles and out-of-place distances, one document and one language at a time."""
+    size = language.PROFILE
+    docs = _documents(spark)
+    held = {d["doc_id"]: zlib.crc32(str(d["doc_id"]).encode()) % 5 == 0 for d in docs}
+    counts = defaultdict(Counter)
+    for d in docs:
+        if not held[d["doc_id"]] and d["lang"] is not None and d["text"] is not None:
+            counts[d["lang"]] += letter_grams(d["text"])
+    ranked = lambda c: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:size]]
+    known = {lang: {g: r for r, g in enumerate(ranked(c))} for lang, c in counts.items()}
+    for r in entry.queries()["op1_language_id"](spark, DATA).collect():
+        text = next(d["text"] for d in docs if d["doc_id"] == r["doc_id"])
+        own = ranked(letter_grams(text or ""))
+        away = {
+            lang: sum(abs(places[g] - i) if g in places else size for i, g in enumerate(own))
+            for lang, places in known.items()
+        }
+        best = min(away, key=lambda lang: (away[lang], lang))
+        want = (best, 1 - away[best] / (len(own) * size)) if own else ("und", 0.0)
+        assert (r["held_out"], r["lang_pred"]) == (held[r["doc_id"]], want[0])
+        assert math.isclose(r["score"], want[1], abs_tol=1e-12)
 
 
 def test_language_on_held_out_documents(spark):
@@ -140,6 +196,49 @@ def test_resampling_prefers_good_documents(spark):
     assert sum(mean[1]) / len(mean[1]) > sum(mean[0]) / len(mean[0])
 
 
+def test_resampling_equals_plain_weights(spark):
+    """Word and pair buckets counted one by one, weights, noise and the largest keys."""
+    size = importance.BUCKETS
+
+    def buckets(text):
+        words = (text or "").encode().lower().split()
+        hashes = [vocabulary.word_hashes([w])[0] for w in words]
+        found = [int(vocabulary.mixed(np.array([h], np.uint64))[0] % np.uint64(size)) for h in hashes]
+        pairs = [np.array(p, np.uint64) for p in zip(hashes, hashes[1:], strict=False)]
+        return found + [int(vocabulary.rolled(p, 2)[0] % np.uint64(size)) for p in pairs]
+
+    docs = {d["doc_id"]: buckets(d["text"]) for d in _documents(spark)}
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").collect()
+    good = {r["doc_id"] for r in labels if r["quality"] == 1 and not r["toxic"]}
+
+    def model(ids):
+        counts = Counter(b for i in ids for b in docs[i])
+        total = sum(counts.values()) + size
+        return [math.log((counts[b] + 1) / total) for b in range(size)]
+
+    target, raw = model(good & set(docs)), model(docs)
+
+    def noise(doc_id):
+        first = xxhash.xxh64_intdigest(struct.pack("<q", doc_id), 42)
+        bits = xxhash.xxh64_intdigest(struct.pack("<i", importance.SEED), first) >> 12
+        return -math.log(-math.log((bits + 0.5) / (1 << 52)))
+
+    found = {r["doc_id"]: r for r in entry.queries()["op5_quality_resampling"](spark, DATA).collect()}
+    assert set(found) == set(docs)
+    keys = {}
+    for doc_id, own in docs.items():
+        weight = sum(target[b] - raw[b] for b in own)
+        keys[doc_id] = weight + noise(doc_id)
+        row = found[doc_id]
+        assert row["n_grams"] == len(own)
+        assert math.isclose(row["log_weight"], weight, rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isclose(row["key"], keys[doc_id], rel_tol=1e-9, abs_tol=1e-9)
+        mean = weight / len(own) if own else 0
+        assert math.isclose(row["quality"], 1 / (1 + math.exp(-mean)), rel_tol=1e-9)
+    best = sorted(keys, key=lambda i: -keys[i])[: round(len(keys) * importance.FRACTION)]
+    assert {i for i, r in found.items() if r["selected"]} == set(best)
+
+
 def test_pipeline_keeps_whole_and_clean_documents(spark):
     before = {d["doc_id"]: d for d in _documents(spark)}
     rows = entry.queries()["pipeline"](spark, DATA)
@@ -148,6 +247,6 @@ def test_pipeline_keeps_whole_and_clean_documents(spark):
     assert len({r["doc_id"] for r in after}) == len(after) > len(before) / 2
     for r in after:
         assert 1 <= r["copies"] <= 3 and r["n_chars"] == len(r["text"])
-        # Only whole lines have gone.
-        kept = iter(before[r["doc_id"]]["text"])
-        assert all(c in kept for c in r["text"])
+        # Only whole lines have gone; the others stand in their order.
+        kept = iter(re.findall(r"[^\n]+\n?|\n", before[r["doc_id"]]["text"]))
+        assert all(line in kept for line in re.findall(r"[^\n]+\n?|\n", r["text"]))

@@ -1,0 +1,86 @@
+"""Operators and stages on tables whose scans may give their rows in another order each time."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegauge.llm import decontaminate, license, lines, mixing, simhash, substrings, warc
+from tidegauge.llm.common import discard, settled, stored
+from tidegauge.session import shared_folder
+
+FORMS = {
+    "file": lambda table: table,
+    "repartition": lambda table: table.repartition(7),
+    "by chance": lambda table: table.orderBy(F.rand()),
+}
+
+
+@pytest.fixture(scope="module")
+def folder(spark):
+    """Documents with shared passages, lines and copies, and a benchmark, as files."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=5))
+    passages = [" ".join(word() for _ in range(30)) for _ in range(6)]
+    rows = []
+    for i in range(160):
+        parts = [" ".join(word() for _ in range(25)) for _ in range(3)] + rng.sample(passages, 2)
+        rng.shuffle(parts)
+        rows.append((i, "\n".join(parts), "en", f"s{i % 3}", 0))
+    rows += [(200 + i, rows[i][1] + " end", "en", "s0", 0) for i in range(20)]
+    path = f"{shared_folder(spark, 'tests')}/settled"
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(5).write.mode("overwrite").parquet(f"{path}/documents.parquet")
+    items = spark.createDataFrame([(i, p) for i, p in enumerate(passages[:2])], "item_id long, text string")
+    items.write.mode("overwrite").parquet(f"{path}/benchmark.parquet")
+    return path
+
+
+def items(spark, folder):
+    return spark.read.parquet(f"{folder}/benchmark.parquet")
+
+
+OPERATORS = {
+    "substrings": lambda spark, docs, folder: substrings.dedup_substrings(docs).select("doc_id", "n_removed", "kept_sha256"),
+    "decontaminate": lambda spark, docs, folder: decontaminate.decontaminate(docs, items(spark, folder)).select("doc_id", "n_hit", "item_ids"),
+    "lines": lambda spark, docs, folder: lines.repeated_lines(docs).select("doc_id", "n_lines", "removed"),
+    "license": lambda spark, docs, folder: license.scan(docs).select("doc_id", "n_words", "score"),
+    "warc": lambda spark, docs, folder: warc.page_records(
+        docs.selectExpr("doc_id AS page_id", "source AS url", "text AS html")
+    ).select("record_id", "record_type", "refers_to"),
+    "line stage": lines.stage,
+    "near copies": simhash.stage,
+    "benchmark": decontaminate.stage,
+    "mix": mixing.stage,
+}
+_first: dict[str, list] = {}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+@pytest.mark.parametrize("kind", FORMS)
+def test_order_of_scans_does_not_matter(spark, folder, name, kind):
+    docs = FORMS[kind](spark.read.parquet(f"{folder}/documents.parquet"))
+    found = sorted(map(str, OPERATORS[name](spark, docs, folder).collect()))
+    assert found == _first.setdefault(name, found) and found
+
+
+def test_only_plain_scans_are_taken_as_they_are(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plain = docs.where("doc_id > 3").select("doc_id", F.upper("text").alias("text"))
+    assert settled(docs) is docs and settled(plain) is plain
+    for kind in ("repartition", "by chance"):
+        other = FORMS[kind](docs)
+        assert settled(other) is not other
+    for other in (docs.limit(3), docs.sample(0.5), docs.distinct(), docs.withColumn("r", F.rand()), docs.where(F.rand() > 0)):
+        assert settled(other) is not other
+
+
+def test_discarded_tables_are_gone(spark):
+    table = stored(spark.range(5), "short")
+    path = table.inputFiles()[0].removeprefix("file://")
+    discard(table)
+    import os
+
+    assert not os.path.exists(path)

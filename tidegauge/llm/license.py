@@ -42,9 +42,48 @@ TEMPLATES = {
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
 }
+# Words without which a template is not meant, as they tell it from others, and words
+# that tell others from it.
+TELLING = {
+    "mit-release": ["mit"],
+    "apache-2.0-notice": ["apache", "2"],
+    "apache-2.0-line": ["apache", "2"],
+    "gpl-notice": ["general", "public"],
+    "gpl-3.0-line": ["general", "public", "3"],
+    "mpl-2.0": ["mozilla", "2"],
+    "cc-by-nc-4.0": ["cc", "by", "nc", "4"],
+    "cc-by-4.0": ["creative", "commons", "attribution", "4"],
+}
+BARRED = {
+    "gpl-notice": ["affero", "lesser", "library"],
+    "gpl-3.0-line": ["affero", "lesser", "library"],
+    "cc-by-nc-4.0": ["nd", "sa"],
+    "cc-by-4.0": ["noncommercial", "noderivatives", "sharealike"],
+}
 THRESHOLD = 0.8
 
 
+def shapes(
+    templates: dict[str, str],
+    telling: dict[str, list[str]],
+    barred: dict[str, list[str]],
+    threshold: float,
+) -> dict[str, tuple[list[str], int, int, list[str], list[str]]]:
+    """Of each template with words: its distinct words, how many of them are needed, the words of a
+    block, telling and barred words.
+
+    A block is as wide as the template would be if the words that may lack stood beside it.
+    """
+    found = {}
+    for label, own in template_words(templates).items():
+        if own:
+            plain = "".join(c if c.isalnum() else " " for c in templates[label].lower())
+            need = math.ceil(threshold * len(own) - 1e-9)
+            width = math.floor(len(plain.split()) / threshold + 1e-9)
+            found[label] = (own, need, width, telling.get(label, []), barred.get(label, []))
+    return found
+
+
 def template_words(templates: dict[str, str]) -> dict[str, list[str]]:
     """Distinct words of each template, in the form the documents' words have."""
     found = {}
@@ -54,62 +93,6 @@ def template_words(templates: dict[str, str]) -> dict[str, list[str]]:
     return found
 
 
-def _blocks(text: Column, vocabulary: list[str]) -> Column:
-    """For each line of a text, the template words that it holds, each once."""
-    known = F.array(*(F.lit(w) for w in vocabulary))
-    return F.transform(F.split(text, "\n"), lambda line: F.array_intersect(known, plain_words(line)))
-
-
-def _numbered(text: Column) -> Column:
-    """The plain words of a text in their order, each with the number of its line."""
-    return F.flatten(
-        F.transform(
-            F.split(text, "\n"),
-            lambda line, i: F.transform(
-                plain_words(line), lambda w: F.struct(i.alias("block"), w.alias("word"))
-            ),
-        )
-    )
-
-
-def _run_matches(
-    rows: DataFrame, sets: dict[str, list[str]], needed: dict[str, int], templates: dict[str, str]
-) -> DataFrame:
-    """`row_id, label, block, containment` of the runs of words that match a template across lines.
-
-    A run has as many words as the template and begins with one of its words, `block` is the line it begins in.
-    """
-    def found(label: str, own: list[str]) -> Column:
-        words, need = F.array(*map(F.lit, own)), needed[label]
-        plain = "".join(c if c.isalnum() else " " for c in templates[label].lower())
-        width = len(plain.split())
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size("words") - 1),
-            lambda i: F.array_contains(words, F.get("words", i)),
-        )
-        runs = F.transform(
-            starts,
-            lambda i: F.struct(
-                F.lit(label).alias("label"),
-                F.get("blocks", i).alias("block"),
-                (
-                    F.size(F.array_intersect(words, F.slice("words", i + 1, F.lit(width)))) / F.lit(len(own))
-                ).alias("containment"),
-            ),
-        )
-        fits = F.filter(runs, lambda r: r["containment"] * len(own) >= need - 1e-6)
-        none = F.array().cast("array<struct<label:string,block:int,containment:double>>")
-        return F.when(F.size(F.array_intersect(words, "words")) >= need, fits).otherwise(none)
-
-    known = [found(label, own) for label, own in sets.items() if own]
-    if not known:
-        return rows.sparkSession.createDataFrame([], "row_id long, label string, block int, containment double")
-    wrapped = rows.where("numbered is not null").select(
-        "row_id", F.col("numbered.word").alias("words"), F.col("numbered.block").alias("blocks")
-    )
-    return wrapped.select("row_id", F.inline(F.concat(*known)))
-
-
 def _places(phrases: dict[str, str]) -> Column:
     """`start, label` of each place where a phrase's words stand in a row, from `words`."""
     def found(words: list[str], label: str) -> Column:
@@ -129,42 +112,89 @@ def _places(phrases: dict[str, str]) -> Column:
 
 def _table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
     def value(x) -> Column:
-        return F.array(*map(F.lit, x)) if isinstance(x, list) else F.lit(x)
+        return _words(x) if isinstance(x, list) else F.lit(x)
 
     structs = [F.struct(*(value(x).alias(n) for n, x in zip(names, row, strict=True))) for row in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def _words(items: list[str]) -> Column:
+    return F.array(*map(F.lit, items)).cast("array<string>")
+
+
+def _verified(pairs: DataFrame) -> DataFrame:
+    """`row_id, label, start, containment` of the templates that stand in a block of the text."""
+    seen = F.filter(
+        "hits", lambda x: F.array_contains("own", x["word"]) | F.array_contains("barred", x["word"])
+    )
+    begun = F.transform(
+        "seen",
+        lambda x, i: F.struct(
+            x["at"].alias("start"),
+            F.array_distinct(
+                F.transform(
+                    F.filter(
+                        F.slice("seen", i + 1, F.col("width")),
+                        lambda y: y["at"] < x["at"] + F.col("width"),
+                    ),
+                    lambda y: y["word"],
+                )
+            ).alias("held"),
+        ),
+    )
+    fits = F.filter(
+        "blocks",
+        lambda b: (F.size(F.array_intersect(b["held"], "own")) >= F.col("needed"))
+        & (F.size(F.array_except("telling", b["held"])) == 0)
+        & (F.size(F.array_intersect("barred", b["held"])) == 0),
+    )
+    common = F.transform("fits", lambda b: F.size(F.array_intersect(b["held"], "own")))
+    checked = pairs.withColumn("seen", seen).withColumn("blocks", begun).withColumn("fits", fits)
+    return checked.where(F.size("fits") > 0).select(
+        "row_id",
+        "label",
+        F.array_min("fits.start").alias("start"),
+        (F.array_max(common) / F.size("own")).alias("containment"),
+    )
+
+
 def scan(
     docs: DataFrame,
     text: str = "text",
     templates: dict[str, str] | None = None,
     threshold: float = THRESHOLD,
     phrases: dict[str, str] | None = None,
+    telling: dict[str, list[str]] | None = None,
+    barred: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """License phrases and templates in each document.
 
-    Phrases are found where their words stand in a row. Templates are found by an exact set join: a text block
-    is a line, or a run of as many words as the template across line ends, and it matches a template if it holds `threshold` of the template's distinct words. Template
-    words are ordered by the number of blocks that hold them, rarest first. Of o words needed of t, one must be
-    among the template's first t - o + 1; a block with fewer than o template words, or whose
-    positions leave fewer than o common words possible, is passed over; what remains is counted. Runs are
-    looked for in texts that hold o of a template's words on more than one line.
+    Phrases are found where their words stand in a row. Templates are found by an exact set join: a text
+    block is a run of words, whatever lines it goes over, that begins with a word of the template and is as long
+    as the template divided by `threshold`. It matches if it holds `threshold` of the template's distinct words, all that are `telling`, and none that is `barred`.
+
+    Template words are ordered by the number of texts that hold them, rarest first. Of o words needed of
+    t, one must be among the template's first t - o + 1; a text with fewer than o template words, or whose
+    positions leave fewer than o common words possible, is passed over; what remains is looked through
+    block by block, over the places of template words only.
 
-    One row for each row of `docs`: `doc_id, n_words, starts` (of phrases), `base_labels`, `matches` (`label,
-    block, containment`: line of the first block that matches and largest containment) and `score` (largest containment matched, else 0). Words that are in no
-    template cannot match and are not joined. Null and blank texts have no words; an empty table gives no rows.
+    One row for each row of `docs`: `row_id, doc_id, n_words, starts` (of phrases), `base_labels`, `matches` (`label`,
+    `start` of the first block that matches, in words, and largest `containment`) and `score` (largest containment
+    matched, else 0). Templates without words match nothing; without templates nothing is looked for. Null and blank
+    texts have no words; an empty table gives no rows.
     """
     templates = TEMPLATES if templates is None else templates
     phrases = PHRASES if phrases is None else phrases
+    known = shapes(
+        templates, TELLING if telling is None else telling, BARRED if barred is None else barred, threshold
+    )
     spark = docs.sparkSession
-    sets = template_words(templates)
-    vocabulary = sorted({w for words in sets.values() for w in words})
-    needed = {label: math.ceil(threshold * len(words) - 1e-9) for label, words in sets.items()}
+    vocabulary = sorted({w for shape in known.values() for w in (*shape[0], *shape[4])})
     gap = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     # Without the flag for Unicode, (?i) folds A-Z only.
     hint = "(?i)" + "|".join(p.replace(" ", gap) for p in phrases)
     none = F.array().cast("array<struct<start:int,label:string>>")
+    no_matches = F.array().cast("array<struct<label:string,start:int,containment:double>>")
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_id"),
         docs["doc_id"].alias("doc_id"),
@@ -174,58 +204,68 @@ def scan(
         "row_id",
         "doc_id",
         plain_words(F.col("text")).alias("words"),
-        F.col("text").rlike(hint).alias("hint"),
-        _blocks(F.col("text"), vocabulary).alias("lines"),
-        "text",
-    ).withColumn("all", F.array_distinct(F.flatten("lines")))
-    wrapped = F.lit(False)
-    for label, words in sets.items():
-        held = F.size(F.array_intersect("all", F.array(*map(F.lit, words))))
-        wrapped = wrapped | (held >= needed[label])
-    wrapped = wrapped & (F.size("lines") > 1)
-    least = min(needed.values(), default=1)
-    # Blocks with too few template words for any template are left out here already.
-    lines = F.filter(
-        F.transform("lines", lambda held, i: F.struct(i.alias("block"), held.alias("held"))),
-        lambda b: F.size(b["held"]) >= least,
+        F.col("text").rlike(hint).alias("hint") if phrases else F.lit(False).alias("hint"),
+    ).withColumn("held", F.array_intersect(_words(vocabulary), "words"))
+    likely = F.lit(False)
+    for own, need, _, tell, _ in known.values():
+        enough = F.size(F.array_intersect("held", _words(own))) >= need
+        likely = likely | (enough & (F.size(F.array_except(_words(tell), "held")) == 0))
+    hits = F.filter(
+        F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
+        lambda x: F.array_contains("held", x["word"]),
     )
-    every = F.flatten("lines")
     rows = stored(
         rows.select(
             "row_id",
             "doc_id",
             F.size("words").cast("long").alias("n_words"),
-            F.when(F.col("hint"), _places(phrases)).otherwise(none).alias("places"),
-            lines.alias("blocks"),
-            every.alias("every"),
-            F.when(wrapped, _numbered(F.col("text"))).alias("numbered"),
+            F.when(F.col("hint"), _places(phrases)).otherwise(none).alias("places") if phrases else none.alias("places"),
+            "held",
+            F.when(likely, hits).alias("hits"),
         ),
         "scanned",
     )
+    found = rows.select("row_id", "doc_id", "n_words", "places").withColumn("matches", no_matches)
+    if known:
+        matched = _matches(spark, rows, known, vocabulary)
+        found = rows.join(stored(matched, "matched"), "row_id", "left").withColumn(
+            "matches", F.coalesce("matches", no_matches)
+        )
+    return found.select(
+        "row_id",
+        "doc_id",
+        "n_words",
+        F.col("places.start").alias("starts"),
+        F.array_sort(F.array_distinct("places.label")).alias("base_labels"),
+        "matches",
+        F.coalesce(F.array_max("matches.containment"), F.lit(0.0)).alias("score"),
+    )
+
+
+def _matches(
+    spark: SparkSession, rows: DataFrame, known: dict[str, tuple], vocabulary: list[str]
+) -> DataFrame:
+    """`row_id, matches` of texts that hold a template."""
     # As many rows as the templates have words.
-    often = {
-        r["word"]: r["n"]
-        for r in rows.select(F.explode("every").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()
-    }
+    words = rows.select(F.explode("held").alias("word"))
+    often = {r["word"]: r["n"] for r in words.groupBy("word").agg(F.count("*").alias("n")).collect()}
     order = sorted(vocabulary, key=lambda w: (often.get(w, 0), w))
     prefixes, wholes = [], []
-    for label, words in sets.items():
+    for label, (words, need, width, tell, bar) in known.items():
         own = [w for w in order if w in set(words)]
-        o = needed[label]
-        wholes.append((label, own, o))
-        prefixes += [(w, label, i, len(own), o) for i, w in enumerate(own[: len(own) - o + 1])]
+        wholes.append((label, own, need, width, tell, bar))
+        prefixes += [(w, label, i, len(own), need) for i, w in enumerate(own[: len(own) - need + 1])]
     # Both hold the templates' words and nothing of the documents, so they go to every task.
     index = F.broadcast(_table(spark, ["word", "label", "t_at", "t_size", "need"], prefixes))
-    sets_ = F.broadcast(_table(spark, ["label", "own", "needed"], wholes))
-    ordered = F.array(*(F.lit(w) for w in order))
-    blocks = rows.select("row_id", F.explode("blocks").alias("b")).select(
-        "row_id", F.col("b.block").alias("block"), F.array_intersect(ordered, "b.held").alias("held")
+    names = ["label", "own", "needed", "width", "telling", "barred"]
+    sets = F.broadcast(_table(spark, names, wholes))
+    least = min(need for _, need, *_ in known.values())
+    texts = rows.where("hits is not null").select(
+        "row_id", F.array_intersect(_words(order), "held").alias("held")
     )
-    # The block's own prefix: with `least` words in common, one is among its first.
-    probes = blocks.withColumn("size", F.size("held")).select(
+    # The text's own prefix: with `least` words in common, one is among its first.
+    probes = texts.withColumn("size", F.size("held")).select(
         "row_id",
-        "block",
-        "held",
         "size",
         F.posexplode(F.slice("held", F.lit(1), F.col("size") - (least - 1))).alias("at", "word"),
     )
@@ -237,34 +277,12 @@ def scan(
     pairs = (
         probes.join(index, "word")
         .where((F.col("size") >= F.col("need")) & (possible >= F.col("need")))
-        .select("row_id", "block", "held", "label")
+        .select("row_id", "label")
         .distinct()
     )
-    common = F.size(F.array_intersect("held", "own"))
-    matched = (
-        pairs.join(sets_, "label")
-        .withColumn("common", common)
-        .where("common >= needed")
-        .select("row_id", "label", "block", (F.col("common") / F.size("own")).alias("containment"))
-        .unionByName(_run_matches(rows, sets, needed, templates))
-        .groupBy("row_id", "label")
-        .agg(F.max("containment").alias("containment"), F.min("block").alias("block"))
-        .groupBy("row_id")
-        .agg(F.sort_array(F.collect_list(F.struct("label", "block", "containment"))).alias("matches"))
-    )
-    matches = F.coalesce(
-        "matches", F.array().cast("array<struct<label:string,block:int,containment:double>>")
-    )
+    own = rows.where("hits is not null").select("row_id", "hits")
     return (
-        rows.join(stored(matched, "matched"), "row_id", "left")
-        .withColumn("matches", matches)
-        .select(
-            "row_id",
-            "doc_id",
-            "n_words",
-            F.col("places.start").alias("starts"),
-            F.array_sort(F.array_distinct("places.label")).alias("base_labels"),
-            "matches",
-            F.coalesce(F.array_max("matches.containment"), F.lit(0.0)).alias("score"),
-        )
+        _verified(pairs.join(sets, "label").join(own, "row_id"))
+        .groupBy("row_id")
+        .agg(F.sort_array(F.collect_list(F.struct("label", "start", "containment"))).alias("matches"))
     )

@@ -14,9 +14,10 @@ def _list(words) -> str:
 
 
 def _license() -> str:
+    known = license.shapes(license.TEMPLATES, license.TELLING, license.BARRED, license.THRESHOLD)
     sets = ", ".join(
-        f"('{label}', {_list(words)})"
-        for label, words in license.template_words(license.TEMPLATES).items()
+        f"('{label}', {_list(own)}, {need}, {width}, {_list(tell)}::VARCHAR[], {_list(bar)}::VARCHAR[])"
+        for label, (own, need, width, tell, bar) in known.items()
     )
     places = " || ".join(
         f"""list_transform(list_filter(range(len(w)), lambda i: {" AND ".join(
@@ -25,17 +26,22 @@ def _license() -> str:
         for phrase, label in license.PHRASES.items()
     )
     return f"""
-    WITH docs AS (SELECT doc_id, text, {_PLAIN.format("text")} AS w FROM documents),
+    WITH docs AS (SELECT doc_id, {_PLAIN.format("text")} AS w FROM documents),
     base AS (SELECT doc_id, len(w) AS n_words, {places} AS places FROM docs),
-    templates(label, words) AS (VALUES {sets}),
+    templates(label, words, need, width, telling, barred) AS (VALUES {sets}),
+    likely AS (
+        SELECT * FROM docs, templates
+        WHERE len(list_intersect(list_distinct(w), words)) >= need AND list_has_all(w, telling)
+    ),
     blocks AS (
-        SELECT doc_id, list_distinct({_PLAIN.format("line")}) AS held
-        FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM docs)
+        SELECT doc_id, label, words, need, telling, barred, list_distinct(w[i : i + width - 1]) AS held
+        FROM (SELECT *, unnest(list_filter(range(1, len(w) + 1), lambda i: list_contains(words, w[i]))) AS i FROM likely)
     ),
     matched AS (
         SELECT doc_id, label, max(len(list_intersect(held, words)) / len(words)) AS containment
-        FROM blocks, templates
-        WHERE len(list_intersect(held, words)) >= ceil({license.THRESHOLD} * len(words) - 1e-9)
+        FROM blocks
+        WHERE len(list_intersect(held, words)) >= need AND list_has_all(held, telling)
+            AND NOT list_has_any(held, barred)
         GROUP BY doc_id, label
     ),
     best AS (
