@@ -49,7 +49,10 @@ OPERATORS = {
     "license": lambda spark, docs, folder: license.scan(docs).select("doc_id", "n_words", "score"),
     "warc": lambda spark, docs, folder: warc.page_records(
         docs.selectExpr("doc_id AS page_id", "source AS url", "text AS html")
-    ).select("record_id", "record_type", "refers_to"),
+    ).select(
+        # The rest of an id is the row's number.
+        warc.page_of(F.col("record_id")), "record_type", warc.page_of(F.col("refers_to"))
+    ),
     "line stage": lines.stage,
     "near copies": simhash.stage,
     "benchmark": decontaminate.stage,
