@@ -73,26 +73,7 @@ def form(line: str) -> str:
     return line.strip()
 
 
-def within(a: str, b: str, most: int) -> bool:
-    """Whether the edit distance is at most so much; only a band of the table is filled."""
-    if abs(len(a) - len(b)) > most:
-        return False
-    far = most + 1
-    row = [j if j <= most else far for j in range(len(b) + 1)]
-    for i, x in enumerate(a, 1):
-        low, high = max(1, i - most), min(len(b), i + most)
-        now = [far] * (len(b) + 1)
-        if i <= most:
-            now[0] = i
-        for j in range(low, high + 1):
-            now[j] = min(row[j - 1] + (x != b[j - 1]), row[j] + 1, now[j - 1] + 1, far)
-        row = now
-        if min(row) > most:
-            return False
-    return row[-1] <= most
-
-
-def similar_pairs(forms: list[str]):
+def similar_pairs(spark, forms: list[str]) -> list[tuple[str, str]]:
     """All pairs whose edit similarity is 0.8 or more. An edit takes away three runs of three letters at
     most and brings as many, so most pairs of lines are ruled out by counting those; none that counts is."""
     grams = np.zeros((len(forms), 4096), np.int16)
@@ -100,14 +81,17 @@ def similar_pairs(forms: list[str]):
         for i in range(len(line) - 2):
             row[zlib.crc32(line[i : i + 3].encode()) % 4096] += 1
     sizes = np.array([len(line) for line in forms])
-    for i, line in enumerate(forms):
+    left = []
+    for i in range(len(forms)):
         longer = np.maximum(sizes[:i], sizes[i])
         most = (longer * 0.2 + 1e-9).astype(int)
         able = np.flatnonzero(longer - np.minimum(sizes[:i], sizes[i]) <= most)
         apart = np.abs(grams[able] - grams[i]).sum(axis=1)
-        for j in able[apart <= 6 * most[able]].tolist():
-            if within(line, forms[j], int(most[j])):
-                yield line, forms[j]
+        left += [(i, int(j), int(most[j])) for j in able[apart <= 6 * most[able]]]
+    lines = spark.createDataFrame(list(enumerate(forms)), "n int, line string")
+    pairs = spark.createDataFrame(left, "i int, j int, most int").repartition(16)
+    pairs = pairs.join(lines.selectExpr("n AS i", "line AS x"), "i").join(lines.selectExpr("n AS j", "line AS y"), "j")
+    return [(r["x"], r["y"]) for r in pairs.where("levenshtein(x, y) <= most").select("x", "y").collect()]
 
 
 def test_lines_equal_all_pairs(spark):
@@ -120,7 +104,7 @@ def test_lines_equal_all_pairs(spark):
     forms = sorted({f for _, _, f in places})
     sets = Sets(forms)
     fuzzy = 0
-    for a, b in similar_pairs(forms):
+    for a, b in similar_pairs(spark, forms):
         sets.join(a, b)
         fuzzy += 1
     first, gone = set(), {d["doc_id"]: [] for d in _documents(spark)}
