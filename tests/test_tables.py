@@ -113,6 +113,46 @@ def test_a_run_without_its_row_is_not_read(spark, tmp_path):
     assert tables.read_snapshots(spark, path).count() == 1
 
 
+def test_a_history_stores_what_stays_once(spark, tmp_path):
+    """Rows that hold for many runs are stored once, and read in every run that they hold for."""
+    path = f"{tmp_path}/volume_statistics"
+    month = [dt.datetime(2024, m, 1) for m in range(1, 13)]
+    spans = [("a", 0, 11, 7), ("b", 0, 3, 1), ("b", 4, 11, 2), ("c", 5, 9, 4)]
+    rows = spark.createDataFrame(
+        [("s", u, False, True, "mri", n, n / 2, n, month[i], month[j]) for u, i, j, n in spans],
+        "study_id string, subject_id string, is_raw boolean, is_protected boolean, modality string, "
+        "files_count bigint, files_size_mb double, size_bytes bigint, since timestamp_ntz, "
+        "statistics_timestamp timestamp_ntz",
+    )
+    assert tables.append_history(rows, path, "1 month", "yyyyMMdd") == {"rows": 4, "files": 14}
+    assert spark.read.parquet(f"{path}/data").count() == 4
+    want = sorted((month[m], u, n) for u, i, j, n in spans for m in range(i, j + 1))
+
+    def seen(stored):
+        assert stored.where("run_id <> date_format(statistics_timestamp, 'yyyyMMdd')").count() == 0
+        assert stored.where("snapshot_date <> date(statistics_timestamp)").count() == 0
+        return sorted((r["statistics_timestamp"], r["subject_id"], r["files_count"]) for r in stored.collect())
+
+    assert seen(tables.read_snapshots(spark, path)) == want
+    assert seen(tables.read_table(spark, path, schemas.VOLUME_STATISTICS)) == want
+    runs = tables.read_runs(spark, path)
+    counted = {r["statistics_timestamp"]: r["rows"] for r in runs.collect()}
+    assert counted == {m: sum(1 for w in want if w[0] == m) for m in month}
+    some = runs.where(F.col("snapshot_date").isin(month[2].date(), month[6].date()))
+    assert seen(tables.read_snapshots(spark, path, some)) == [w for w in want if w[0] in (month[2], month[6])]
+    newest = tables.read_snapshots(spark, path, runs.where(F.col("snapshot_date") >= month[10].date()))
+    assert {"2024-12-01"} == {f.split("snapshot_date=")[1][:10] for f in newest.inputFiles()}
+    # A run that is written again takes its place only, whatever was stored with it; another one is added.
+    between = dt.datetime(2024, 3, 15)
+    for run in (month[3], between):
+        tables.append_snapshots(
+            tables.with_run(stats(spark, 9), run).withColumn("run_id", F.lit(run.strftime("%Y%m%d"))), path
+        )
+    left = seen(tables.read_snapshots(spark, path))
+    assert [w for w in left if w[0] not in (month[3], between)] == [w for w in want if w[0] != month[3]]
+    assert [(w[0], w[2]) for w in left if w[0] in (month[3], between)] == [(between, 9), (month[3], 9)]
+
+
 def bucket_files(path):
     return {f.name: f for f in path.rglob("bucket=*/*.parquet") if "offered" not in str(f)}
 
