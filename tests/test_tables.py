@@ -179,6 +179,38 @@ def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
     assert {r["k"]: r["v"] for r in tables.read_table(spark, path, schema).collect()} == found
 
 
+def test_a_task_sorts_one_bucket_only(spark, tmp_path):
+    """Buckets are as many as the rows ask for, and no task gets two of them, first written or merged."""
+    from tidegauge.sinks import parts
+
+    assert parts.buckets_for(1) == 8 and parts.buckets_for(216_000_000) >= 500
+    path, key, rows = f"{tmp_path}/t", ["k"], numbered(spark, range(4000), "old")
+    for write, replace in enumerate((True, False)):
+        tables.upsert_buckets(rows, path, key, rows.schema, 16, replace)
+        files = tables.read_table(spark, path, rows.schema).inputFiles()
+        tasks = {f.rsplit("/part-", 1)[1].split("-")[0] for f in files}
+        assert len(files) == len(tasks) == 16, write
+
+
+def test_refused_rows_leave_nothing_on_disk(spark, tmp_path):
+    path, key = tmp_path / "t", ["k"]
+    rows = numbered(spark, range(100), "old")
+    counted = tables.parts.Sums(["v"])
+    tables.upsert_buckets(rows, str(path), key, rows.schema, 8, True, sums=counted)
+    before = set(path.rglob("*.parquet"))
+    parent = {("v",): spark.createDataFrame([("new",)], "v string")}
+    for new, more in ((rows.unionByName(rows), {}), (rows, {"parents": parent})):
+        with pytest.raises(tables.KeyViolation):
+            tables.upsert_buckets(new, str(path), key, rows.schema, 8, True, sums=counted, **more)
+    with pytest.raises(tables.KeyViolation):
+        tables.publish(rows.unionByName(rows), f"{path}/plain", rules=tables.Rules(key))
+    assert set(path.rglob("*.parquet")) == before
+    assert tables.read_table(spark, str(path), rows.schema).count() == 100
+    # Rows offered to a merge go once it is done.
+    tables.upsert_buckets(numbered(spark, [1], "new"), str(path), key, rows.schema, 8, sums=counted)
+    assert not list(path.glob("data/offered=*"))
+
+
 def test_sums_follow_the_buckets(spark, tmp_path):
     from tidegauge.sinks import parts
 
