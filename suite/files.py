@@ -13,7 +13,7 @@ from suite.sql import sql
 from tidegauge import schemas
 from tidegauge.functions import paths, values
 from tidegauge.operators import lookups, quality, statistics
-from tidegauge.sinks import parts, tables
+from tidegauge.sinks import tables
 
 PARTS = ["study_dir", "is_protected", "is_raw", "subject_id", "modality"]
 
@@ -51,11 +51,19 @@ def subject_files(f: Frames) -> DataFrame:
 
 
 def catalog_files_join(f: Frames) -> DataFrame:
-    """Placement and attributes, stored in buckets of the path, joined again on it."""
+    """Placement and attributes, stored in buckets of the path, joined again on it.
+
+    The files are shuffled by path once, without what follows from their path, and both tables are made
+    of these buckets.
+    """
     name, key = f"join-{uuid4().hex[:12]}", ["file_path"]
-    buckets = parts.buckets_for(f.table("lineitem").count())
-    for part, rows in (("catalog", f.catalog()), ("files", f.file_sizes())):
+    buckets = f.file_buckets()
+    both = f.scratch(f"{name}/both")
+    tables.publish_clustered(f.files().drop("network_id", "k", "file_name"), both, key, buckets)
+    placed = tables.read_clustered(f.spark, both).withColumn("file_name", paths.base_name("file_path"))
+    for part, rows in (("catalog", f.catalog(placed)), ("files", f.file_sizes(placed))):
         tables.publish_clustered(rows, f.scratch(f"{name}/{part}"), key, buckets)
+    tables.drop_clustered(f.spark, both)
     catalog, files = (
         tables.read_clustered(f.spark, f.scratch(f"{name}/{part}")) for part in ("catalog", "files")
     )

@@ -96,6 +96,16 @@ def test_bucketed_tables_are_joined_without_a_shuffle(frames):
     assert "SortMergeJoin" in text and "Exchange" not in text
 
 
+def test_clustered_tables_are_made_of_one_shuffle_by_path(frames, monkeypatch):
+    """The rows of files are joined and shuffled once for both tables."""
+    from suite.frames import Frames
+
+    made, whole = [], Frames.files
+    monkeypatch.setattr(Frames, "files", lambda f: made.append(f) or whole(f))
+    assert files.catalog_files_join(frames).count() == frames.files_base().count()
+    assert len(made) == 1
+
+
 def test_stored_modalities_read_no_file_rows(frames):
     for rows in (lookups.all_modalities(frames.groups()), lookups.subject_modalities(frames.groups())):
         assert all("/sums/" in path for path in rows.inputFiles())
