@@ -8,6 +8,7 @@ extended price in cents = size in bytes.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 from tidegauge import schemas
 from tidegauge.functions.paths import tag_columns, tag_json
 from tidegauge.functions.values import bytes_to_mb
-from tidegauge.operators.statistics import volume_statistics
+from tidegauge.operators.statistics import STAT_KEYS, volume_statistics
 from tidegauge.session import shared_folder
-from tidegauge.sinks import parts, tables
+from tidegauge.sinks import parts, tables, versions
 
 NETWORKS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 COHORTS = ("CHR", "HC")
@@ -31,9 +32,10 @@ MODALITY = """CASE o_orderpriority WHEN '1-URGENT' THEN 'phone' WHEN '2-HIGH' TH
 
 FILE_CENTS = "cast(round(l_extendedprice * 100) AS bigint)"
 
-FILE_KEY = f"""concat_ws('-', cast(l_orderkey AS string), cast(l_linenumber AS string),
-    cast(l_partkey AS string), cast(l_suppkey AS string),
-    replace(cast(cast(l_shipdate AS date) AS string), '-', ''), cast({FILE_CENTS} AS string))"""
+FILE_NUMBERS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+FILE_KEY = f"""concat_ws('-', {", ".join(f"cast({number} AS string)" for number in FILE_NUMBERS)},
+    replace(cast(cast(m_time AS date) AS string), '-', ''), cast(size_bytes AS string))"""
 
 FILE_NAME = """CASE modality
     WHEN 'phone' THEN concat('u_', CASE rf WHEN 'A' THEN 'sensor' WHEN 'N' THEN 'activity'
@@ -121,8 +123,11 @@ class Frames:
         )
 
     # --- files --------------------------------------------------------------
-    def files_base(self) -> DataFrame:
-        """Orders meet their subject first, so the file rows are shuffled for one join only.
+    def file_rows(self) -> DataFrame:
+        """Files with the numbers that their key is made of.
+
+        Orders meet their subject first, so the file rows are shuffled for one join only, with the few
+        bytes that files need.
 
         Customers, orders and files all grow with the data, so these two joins
         are merge joins whatever the sizes: they spill, and a hot key is split by
@@ -143,31 +148,37 @@ class Frames:
                 "o_orderstatus <> 'P' AS is_protected",
             )
         )
-        return (
-            self.table("lineitem")
-            .join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey"))
-            .selectExpr(
-                "network_id",
-                "study_id",
-                "subject_id",
-                "modality",
-                "is_protected",
-                "l_linestatus = 'O' AS is_raw",
-                "l_returnflag AS rf",
-                f"{FILE_CENTS} AS size_bytes",
-                "l_shipdate AS m_time",
-                f"{FILE_KEY} AS k",
-            )
+        items = self.table("lineitem").selectExpr(
+            *FILE_NUMBERS,
+            "l_linestatus = 'O' AS is_raw",
+            "l_returnflag AS rf",
+            f"{FILE_CENTS} AS size_bytes",
+            "l_shipdate AS m_time",
         )
+        return items.join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey")).select(
+            "network_id",
+            "study_id",
+            "subject_id",
+            "modality",
+            "is_protected",
+            "is_raw",
+            "rf",
+            "size_bytes",
+            "m_time",
+            *FILE_NUMBERS,
+        )
+
+    def files_base(self) -> DataFrame:
+        return self.file_rows().selectExpr("*", f"{FILE_KEY} AS k").drop(*FILE_NUMBERS)
+
+    def named(self, rows: DataFrame) -> DataFrame:
+        """Adds key, name and path to rows of files."""
+        keyed = rows.selectExpr("*", f"{FILE_KEY} AS k")
+        return keyed.selectExpr("*", f"{FILE_NAME} AS file_name").selectExpr("*", f"{FILE_PATH} AS file_path")
 
     def files(self) -> DataFrame:
         """The file catalogue with path, name and size."""
-        return (
-            self.files_base()
-            .selectExpr("*", f"{FILE_NAME} AS file_name")
-            .selectExpr("*", f"{FILE_PATH} AS file_path")
-            .drop("rf")
-        )
+        return self.named(self.file_rows()).drop("rf", *FILE_NUMBERS)
 
     def tags(self) -> dict[str, Column]:
         return tag_columns("file_name", "modality", "is_protected", "is_raw")
@@ -190,18 +201,22 @@ class Frames:
         )
 
     # --- snapshots ----------------------------------------------------------
-    def monthly_statistics(self) -> DataFrame:
+    def monthly_counts(self) -> DataFrame:
+        """Files of each subject by the month that they are from."""
+        month = F.trunc(F.col("m_time").cast("date"), "month")
+        counted = volume_statistics(
+            self.files().withColumn("month", month), self.tags(), [*STAT_KEYS, "month"]
+        )
+        return counted.drop("files_size_mb")
+
+    def monthly_statistics(self, counted: DataFrame) -> DataFrame:
         """Full recounts per subject at the start of every month, from the second month on.
 
         Files are counted once per month; running sums over the few monthly rows
         of a group give the recounts. A group has no row before its first file. A recount
         holds from `since` until the month before the group's next files.
         """
-        month = F.trunc(F.col("m_time").cast("date"), "month")
-        keys = ["study_id", "subject_id", "modality", "is_protected", "is_raw"]
-        counted = volume_statistics(
-            self.files().withColumn("month", month), self.tags(), [*keys, "month"]
-        )
+        keys = STAT_KEYS
         last_file = self.table("lineitem").agg(F.max("l_shipdate")).scalar()
         last_month = F.trunc(last_file.cast("date"), "month")
         over = Window.partitionBy(*keys).orderBy("month")
@@ -222,7 +237,6 @@ class Frames:
                 "is_protected",
                 "modality",
                 "files_count",
-                bytes_to_mb("size_bytes").alias("files_size_mb"),
                 "size_bytes",
                 F.add_months("month", 1).cast("timestamp_ntz").alias("since"),
                 F.add_months("until", 1).cast("timestamp_ntz").alias("statistics_timestamp"),
@@ -237,7 +251,13 @@ class Frames:
         """The monthly recounts as the stored statistics, each stored once for the runs it holds for."""
         path = self.scratch("snapshots")
         if not tables.exists(self.spark, path):
-            tables.append_history(self.monthly_statistics(), path, "1 month", "yyyyMMdd")
+            # Written between its shuffles, so that the files of one only are on disk.
+            steps = self.scratch(f"months-{uuid4().hex[:12]}")
+            counted = tables.step(self.monthly_counts(), f"{steps}/counted")
+            recounts = tables.step(self.monthly_statistics(counted), f"{steps}/recounts")
+            versions.delete(self.spark, f"{steps}/counted")
+            tables.append_history(recounts, path, "1 month", "yyyyMMdd")
+            versions.delete(self.spark, steps)
         return path
 
     def runs(self) -> DataFrame:
@@ -251,26 +271,8 @@ class Frames:
         """Path of the catalogue in buckets of the path, with tags as columns and counts beside it."""
         path = self.scratch("catalog")
         if not tables.exists(self.spark, path):
-            files = self.files()
-            rows = files.select(
-                "study_id",
-                "subject_id",
-                "file_path",
-                "is_raw",
-                "is_protected",
-                "modality",
-                F.lit(None).cast("timestamp_ntz").alias("extracted_timestamp"),
-                tag_json(self.tags()).alias("metadata"),
-                *[tag.alias(name) for name, tag in sorted(self.tags().items())],
-                "file_name",
-                F.lit("").alias("file_type"),
-                bytes_to_mb("size_bytes").alias("file_size_mb"),
-                "m_time",
-                F.lit(None).cast("string").alias("md5"),
-                "size_bytes",
-            )
             tables.upsert_buckets(
-                rows,
+                self.file_rows(),
                 path,
                 schemas.PRIMARY_KEYS["file_catalog"],
                 schemas.CATALOG_WIDE,
@@ -279,9 +281,23 @@ class Frames:
                 order_by=schemas.CATALOG_ORDER,
                 sums=tables.GROUPS,
                 options=schemas.CATALOG_OPTIONS,
+                made=self.catalog_rows,
             )
         return path
 
+    def catalog_rows(self, rows: DataFrame) -> DataFrame:
+        """Adds what the wide catalogue says of files beside what their rows hold."""
+        return self.named(rows).withColumns(
+            {
+                "extracted_timestamp": F.lit(None).cast("timestamp_ntz"),
+                "metadata": tag_json(self.tags()),
+                **self.tags(),
+                "file_type": F.lit(""),
+                "file_size_mb": bytes_to_mb("size_bytes"),
+                "md5": F.lit(None).cast("string"),
+            }
+        )
+
     def file_buckets(self) -> int:
         return parts.buckets_for(self.table("lineitem").count())
 

@@ -349,13 +349,19 @@ def upsert_subjects(f: Frames) -> DataFrame:
 def upsert_files(f: Frames) -> DataFrame:
     """Files up to a date in buckets of the path, then files from an earlier date on with doubled size."""
     path, key = fresh(f, "files"), schemas.PRIMARY_KEYS["files"]
-    files = f.files().select("file_path", "file_name", "size_bytes", "m_time")
-    existing = files.where("m_time < timestamp_ntz'1999-01-01'")
-    new = files.where("m_time >= timestamp_ntz'1998-01-01'").withColumn("size_bytes", F.col("size_bytes") * 2)
-    buckets = f.file_buckets()
-    tables.upsert_buckets(existing, path, key, files.schema, buckets, replace=True)
-    tables.upsert_buckets(new, path, key, files.schema, buckets)
-    return tables.read_table(f.spark, path, files.schema)
+    rows, buckets = f.file_rows(), f.file_buckets()
+    schema = f.files().select("file_path", "file_name", "size_bytes", "m_time").schema
+    existing = rows.where("m_time < timestamp_ntz'1999-01-01'")
+    new = rows.where("m_time >= timestamp_ntz'1998-01-01'").withColumnRenamed("size_bytes", "first_size")
+
+    def doubled(own: DataFrame) -> DataFrame:
+        """The path tells the first size, the row twice as much."""
+        named = f.named(own.withColumn("size_bytes", F.col("first_size")))
+        return named.withColumn("size_bytes", F.col("first_size") * 2)
+
+    tables.upsert_buckets(existing, path, key, schema, buckets, replace=True, made=f.named)
+    tables.upsert_buckets(new, path, key, schema, buckets, made=doubled)
+    return tables.read_table(f.spark, path, schema)
 
 
 def rejected_versions(f: Frames) -> DataFrame:

@@ -1,6 +1,7 @@
 """Writing tables."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from tidegauge import schemas
 from tidegauge.operators import upsert
-from tidegauge.sinks import tables
+from tidegauge.sinks import parts, tables
 
 
 def networks(spark, *names):
@@ -343,3 +344,70 @@ def test_snapshots_of_another_day_are_refused(spark, tmp_path):
     moved = rows.withColumn("snapshot_date", F.lit(dt.date(2024, 1, 3)))
     with pytest.raises(Exception, match="not the day"):
         tables.append_snapshots(moved, f"{tmp_path}/statistics")
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files():
+        names = kept.getAllFiles().mkString("\n").split("\n")
+        return {name.rsplit("/", 1)[-1] for name in names if "/shuffle_" in name}
+
+    before = shuffle_files()
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("n"))
+    assert tables.step(rows, f"{tmp_path}/step").count() == 7
+    # Only the count that read it may have left some; those of the write go in the background.
+    shuffles = lambda: {f.split("_")[1] for f in shuffle_files() - before}
+    waited = 0
+    while len(shuffles()) > 1 and waited < 100:
+        time.sleep(0.1)
+        waited += 1
+    assert len(shuffles()) <= 1
+
+
+def test_made_columns_are_not_shuffled(spark, tmp_path):
+    """What follows from few columns is made behind the shuffle, and rows are merged the same."""
+    path, key = f"{tmp_path}/t", ["k"]
+
+    def made(rows):
+        return rows.withColumn("k", F.concat(F.lit("k"), "i")).withColumn("wide", F.repeat("k", 50))
+
+    old = spark.range(400).select(F.col("id").alias("i"), F.lit("old").alias("v"))
+    new = old.where("i < 3 or i > 395").withColumn("v", F.lit("new"))
+    schema = made(old).select("k", "wide", "v").schema
+    text = parts._placed(old, key, schema, 16, made)._jdf.queryExecution().executedPlan().toString()
+    above, below = text.split("Exchange", 1)
+    assert "wide#" in above and "wide#" not in below and "repeat" not in below
+    for rows, replace in ((old, True), (new, False)):
+        tables.upsert_buckets(rows, path, key, schema, 16, replace, made=made)
+    found = tables.read_table(spark, path, schema).collect()
+    want = {(f"k{i}", f"k{i}" * 50, "new" if i < 3 or i > 395 else "old") for i in range(400)}
+    assert set(map(tuple, found)) == want and len(found) == 400
+    for folder in tmp_path.rglob("bucket=*"):
+        number = int(folder.name.split("=")[1])
+        own = spark.read.parquet(str(folder)).where(parts.bucket_of(key, 16) != number)
+        assert own.count() == 0
+
+
+def test_entries_of_parts_are_counted_once(spark, tmp_path):
+    """The index and the reader of new parts need no second scan of them, and no row is sorted for it."""
+    rows = numbered(spark, range(20), "a").withColumn("day/part", (F.substring("k", 2, 2).cast("int") % 3))
+    entries, found = parts.fill_parts(
+        rows, f"{tmp_path}/t", ["day/part"], notes={"last": F.max("k")}
+    )
+    assert found == {"rows": 20} and entries.inputFiles() == []
+    told = sorted((r["day/part"], r["rows"], r["last"]) for r in entries.collect())
+    assert told == [(0, 7, "k9"), (1, 7, "k7"), (2, 6, "k8")]
+    for row in entries.collect():
+        assert len(list((tmp_path / "t" / "data" / row["folder"]).glob("*.parquet"))) > 0
+
+
+def test_history_makes_the_size_in_mb(spark, tmp_path):
+    month = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame(
+        [("A", "S1", True, True, "mri", 3, 3 << 19, month, month)],
+        "study_id string, subject_id string, is_raw boolean, is_protected boolean, modality string, "
+        "files_count bigint, size_bytes bigint, since timestamp_ntz, statistics_timestamp timestamp_ntz",
+    )
+    tables.append_history(rows, str(tmp_path), "1 month", "yyyyMMdd")
+    assert [r["files_size_mb"] for r in tables.read_snapshots(spark, str(tmp_path)).collect()] == [1.5]

@@ -12,13 +12,14 @@ One writer at a time: of two that finish at once, the second one fails.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegauge.session import shuffles_released
 from tidegauge.sinks import versions
 from tidegauge.sinks.versions import Rules
 
@@ -93,18 +94,24 @@ def fill_parts(
 ) -> tuple[DataFrame, dict[str, int]]:
     """Write rows as new parts that no index names yet; returns their entries and the observed totals.
 
-    Entries come from the footers of the new files and the columns that `notes` sum up.
+    Entries come from the footers of the new files and the columns that `notes` sum up; of the notes of
+    several files, the largest counts. They are as few as the parts, and made only once.
     """
     attempt = attempt or f"attempt=a{uuid4().hex}"
     written, found = fill_attempt(rows, path, attempt, by, rules, order_by, totals, options)
-    place = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), f"{attempt}/(.*)/[^/]*$", 1)
-    entries = written.groupBy(*by).agg(
-        F.concat(F.lit(f"{attempt}/"), F.min(place)).alias("folder"),
+    # By file first, so that no aggregate has a text to compare, for which Spark would sort all rows.
+    files = written.groupBy(*by, F.col("_metadata.file_path").alias("_file")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.lit(None).cast("string").alias("sums"),
         *[value.alias(name) for name, value in (notes or {}).items()],
     )
-    return entries, found
+    place = F.regexp_extract(F.url_decode("_file"), f"{attempt}/(.*)/[^/]*$", 1)
+    entries = files.groupBy(*by).agg(
+        F.concat(F.lit(f"{attempt}/"), F.min(place)).alias("folder"),
+        F.sum("rows").alias("rows"),
+        F.lit(None).cast("string").alias("sums"),
+        *[F.max(name).alias(name) for name in notes or {}],
+    )
+    return rows.sparkSession.createDataFrame(entries.toArrow(), entries.schema), found
 
 
 def fill_attempt(
@@ -152,6 +159,21 @@ def buckets_for(rows: int, rows_a_bucket: int = 400_000) -> int:
     return max(8, -(-rows // rows_a_bucket))
 
 
+def _placed(
+    new: DataFrame,
+    key: list[str],
+    schema: T.StructType,
+    buckets: int,
+    made: Callable[[DataFrame], DataFrame] | None,
+) -> DataFrame:
+    """New rows in the tasks of their buckets, to which what `made` adds is not shuffled."""
+    whole = made(new) if made else new
+    rows = whole.withColumn(BUCKET, bucket_of(key, buckets))
+    if made is None:
+        return _by_bucket(rows.select(*schema.names, BUCKET), buckets)
+    return made(_by_bucket(rows.select(*new.columns, BUCKET), buckets)).select(*schema.names, BUCKET)
+
+
 def _by_bucket(rows: DataFrame, buckets: int) -> DataFrame:
     """A task for each bucket; by the hash of its number, some tasks would hold several and others none."""
     return rows.repartitionById(buckets, BUCKET)
@@ -182,7 +204,8 @@ class Sums:
             whole = whole.unionByName(part)
         summed = whole.groupBy(*self.columns).agg(F.sum("files").alias("files"))
         name = f"s{uuid4().hex}"
-        summed.where("files > 0").write.parquet(f"{path}/sums/{name}")
+        with shuffles_released(summed.sparkSession):
+            summed.where("files > 0").write.parquet(f"{path}/sums/{name}")
         return name
 
     def read(self, spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -219,6 +242,7 @@ def write_buckets(
     parents: Mapping[tuple[str, ...], DataFrame] | None = None,
     totals: Mapping[str, Column] | None = None,
     options: Mapping[str, str] | None = None,
+    made: Callable[[DataFrame], DataFrame] | None = None,
 ) -> dict[str, int]:
     """Replace the table, or merge new rows by key: only buckets that they fall into are read and written.
 
@@ -227,14 +251,18 @@ def write_buckets(
     key. A key that is given twice, or a row without its parent (looked up by the columns of
     `sums`), is refused: the new parts are deleted, unread. Returns totals over all rows of the
     written buckets.
+
+    Columns that follow from those of `new` can be left to `made`, which adds them and changes no other: they
+    tell the bucket, and are made again behind the shuffle instead of being carried through it.
     """
     spark = new.sparkSession
     buckets = buckets if replace else bucket_count(spark, path, buckets)
-    rows = new.select(*schema.names).withColumn(BUCKET, bucket_of(key, buckets))
-    merged, changes, offered = rows, [], None
+    placed = _placed(new, key, schema, buckets, made)
+    changes, offered = [], None
     if not replace and exists(spark, path):
         offered = f"{path}/data/offered=o{uuid4().hex}"
-        _by_bucket(rows, buckets).write.options(**_PACKED).partitionBy(BUCKET).parquet(offered)
+        with shuffles_released(spark):
+            placed.write.options(**_PACKED).partitionBy(BUCKET).parquet(offered)
         full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
         rows = spark.read.schema(full).parquet(offered)
         touched = rows.select(BUCKET).distinct()
@@ -253,7 +281,7 @@ def write_buckets(
         if sums:
             changes = [sums.read(spark, path, schema), sums.of(existing, -1)]
     else:
-        merged = _by_bucket(rows, buckets)
+        merged = placed
     entries, found = fill_parts(
         merged,
         path,

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge import schemas
+from tidegauge.functions.values import bytes_to_mb
 from tidegauge.operators.snapshots import DAY, TS, ntz
 from tidegauge.operators.upsert import insert_conflicts, upsert
+from tidegauge.session import shuffles_released
 from tidegauge.sinks import parts, versions
 from tidegauge.sinks.versions import KeyViolation, Rules
 
@@ -142,6 +144,12 @@ def check_new(new: DataFrame, path: str, key: list[str], schema: T.StructType) -
         raise ValueError(f"duplicate keys for {path}, for example {[r.asDict() for r in clash]}")
 
 
+def step(rows: DataFrame, path: str) -> DataFrame:
+    """Rows written to a folder and read back, for a table between two shuffles; `versions.delete` it after use."""
+    versions.fill(rows, path, options={"compression": "zstd"})
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def insert_table(new: DataFrame, path: str, key: list[str], schema: T.StructType) -> None:
     """Append rows whose keys must all be new."""
     check_new(new, path, key, schema)
@@ -190,12 +198,16 @@ def append_history(
     A recount holds at each `every` from the time `since` to its own time, both included; all rows
     count their steps from a common start. It is stored with the last run that it holds for, so
     the newest runs need the newest folders only; readers carry it back to the earlier ones. All runs
-    that some recount holds for stand in the index. Returns the number of stored rows and their files.
+    that some recount holds for stand in the index. `files_size_mb` follows from `size_bytes` where it is not
+    given. Returns the number of stored rows and their files.
     """
     time = F.col(TS)
-    rows = recounts.withColumns(
+    # What follows from other columns is made behind the shuffle.
+    rows = recounts.hint("rebalance", TS).withColumns(
         {DAY: time.cast("date"), "run_id": F.date_format(time, run_ids)}
-    ).hint("rebalance", *SNAPSHOT_PARTITIONS)
+    )
+    if "files_size_mb" not in rows.columns:
+        rows = rows.withColumn("files_size_mb", bytes_to_mb("size_bytes"))
     order = [*SNAPSHOT_PARTITIONS, "study_id", "subject_id", "modality"]
     attempt = f"attempt={_HISTORY}{uuid4().hex}"
     written, found = parts.fill_attempt(
@@ -281,9 +293,10 @@ def publish_clustered(rows: DataFrame, path: str, key: list[str], buckets: int)
     spark = rows.sparkSession
     folder = versions.next_folder(spark, path)[1]
     clustered = rows.repartition(buckets, *key)
-    clustered.write.bucketBy(buckets, *key).sortBy(*key).option("path", folder).option(
-        "compression", "zstd"
-    ).format("parquet").saveAsTable(_clustered_name(folder))
+    with shuffles_released(spark):
+        clustered.write.bucketBy(buckets, *key).sortBy(*key).option("path", folder).option(
+            "compression", "zstd"
+        ).format("parquet").saveAsTable(_clustered_name(folder))
     layout = spark.createDataFrame([(folder, key, buckets)], _LAYOUT)
     publish(layout, f"{path}/layout")
 
