@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +88,20 @@ def test_discarded_tables_are_gone(spark):
     import os
 
     assert not os.path.exists(path)
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    """A table is read from its files: those of the shuffles that made it go, not only when the driver collects."""
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        found = kept.getAllFiles().mkString("\n").split("\n")
+        return {name.split("/shuffle_")[1].split("_")[0] for name in found if "/shuffle_" in name}
+
+    before = shuffles()
+    table = stored(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count(), "table")
+    until = time.monotonic() + 10
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert table.count() == 7
