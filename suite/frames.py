@@ -50,6 +50,9 @@ FILE_PATH = f"""concat_ws('/', '{ROOT}', CASE WHEN is_protected THEN 'PROTECTED'
     concat(upper(substr(network_id, 1, 1)), lower(substr(network_id, 2)), study_id),
     CASE WHEN is_raw THEN 'raw' ELSE 'processed' END, subject_id, modality, file_name)"""
 
+# File rows are shuffled in slices of so many, up to the second number of slices, each with its own scan.
+_SLICE_ROWS, _MOST_SLICES = 1_000_000, 8
+
 _schemas: dict[str, object] = {}
 
 
@@ -123,8 +126,12 @@ class Frames:
         )
 
     # --- files --------------------------------------------------------------
-    def file_rows(self) -> DataFrame:
-        """Files with the numbers that their key is made of.
+    def file_slices(self) -> int:
+        """In how many slices large steps over all files are made."""
+        return max(1, min(_MOST_SLICES, -(-self.table("lineitem").count() // _SLICE_ROWS)))
+
+    def file_rows(self, number: int = 0, slices: int = 1) -> DataFrame:
+        """Files with the numbers that their key is made of; all of them, or a slice by order.
 
         Orders meet their subject first, so the file rows are shuffled for one join only, with the few
         bytes that files need.
@@ -136,9 +143,15 @@ class Frames:
         subject = self.customers().join(
             self.table("region"), F.expr("n_regionkey = r_regionkey")
         )
+        placed, items = self.table("orders"), self.table("lineitem")
+        if slices > 1:
+            own = F.pmod(F.xxhash64(F.col("order").cast("bigint")), F.lit(slices)) == number
+            placed, items = (
+                rows.withColumn("order", F.col(key)).where(own).drop("order")
+                for rows, key in ((placed, "o_orderkey"), (items, "l_orderkey"))
+            )
         orders = (
-            self.table("orders")
-            .join(subject.hint("merge"), F.expr("o_custkey = c_custkey"))
+            placed.join(subject.hint("merge"), F.expr("o_custkey = c_custkey"))
             .selectExpr(
                 "o_orderkey",
                 "r_name AS network_id",
@@ -148,7 +161,7 @@ class Frames:
                 "o_orderstatus <> 'P' AS is_protected",
             )
         )
-        items = self.table("lineitem").selectExpr(
+        items = items.selectExpr(
             *FILE_NUMBERS,
             "l_linestatus = 'O' AS is_raw",
             "l_returnflag AS rf",
@@ -176,9 +189,9 @@ class Frames:
         keyed = rows.selectExpr("*", f"{FILE_KEY} AS k")
         return keyed.selectExpr("*", f"{FILE_NAME} AS file_name").selectExpr("*", f"{FILE_PATH} AS file_path")
 
-    def files(self) -> DataFrame:
-        """The file catalogue with path, name and size."""
-        return self.named(self.file_rows()).drop("rf", *FILE_NUMBERS)
+    def files(self, number: int = 0, slices: int = 1) -> DataFrame:
+        """The file catalogue with path, name and size; all of it, or a slice by order."""
+        return self.named(self.file_rows(number, slices)).drop("rf", *FILE_NUMBERS)
 
     def tags(self) -> dict[str, Column]:
         return tag_columns("file_name", "modality", "is_protected", "is_raw")
@@ -201,22 +214,27 @@ class Frames:
         )
 
     # --- snapshots ----------------------------------------------------------
-    def monthly_counts(self) -> DataFrame:
-        """Files of each subject by the month that they are from."""
+    def monthly_counts(self, number: int = 0, slices: int = 1) -> DataFrame:
+        """Files of each subject by the month that they are from; those of a slice of the files add up."""
         month = F.trunc(F.col("m_time").cast("date"), "month")
         counted = volume_statistics(
-            self.files().withColumn("month", month), self.tags(), [*STAT_KEYS, "month"]
+            self.files(number, slices).withColumn("month", month), self.tags(), [*STAT_KEYS, "month"]
         )
         return counted.drop("files_size_mb")
 
-    def monthly_statistics(self, counted: DataFrame) -> DataFrame:
+    def monthly_statistics(self, counted: DataFrame | None = None) -> DataFrame:
         """Full recounts per subject at the start of every month, from the second month on.
 
-        Files are counted once per month; running sums over the few monthly rows
+        Files are counted once per month (`counted`, of all slices); running sums over the few monthly rows
         of a group give the recounts. A group has no row before its first file. A recount
         holds from `since` until the month before the group's next files.
         """
         keys = STAT_KEYS
+        counted = self.monthly_counts() if counted is None else counted
+        # One shuffle for these sums and the running ones.
+        counted = counted.repartition(*keys).groupBy(*keys, "month").agg(
+            F.sum("files_count").alias("files_count"), F.sum("size_bytes").alias("size_bytes")
+        )
         last_file = self.table("lineitem").agg(F.max("l_shipdate")).scalar()
         last_month = F.trunc(last_file.cast("date"), "month")
         over = Window.partitionBy(*keys).orderBy("month")
@@ -251,12 +269,13 @@ class Frames:
         """The monthly recounts as the stored statistics, each stored once for the runs it holds for."""
         path = self.scratch("snapshots")
         if not tables.exists(self.spark, path):
-            # Written between its shuffles, so that the files of one only are on disk.
-            steps = self.scratch(f"months-{uuid4().hex[:12]}")
-            counted = tables.step(self.monthly_counts(), f"{steps}/counted")
-            recounts = tables.step(self.monthly_statistics(counted), f"{steps}/recounts")
+            # Written between its shuffles and in slices, so that the shuffle files of one slice only are on disk.
+            steps, n = self.scratch(f"months-{uuid4().hex[:12]}"), self.file_slices()
+            counted = tables.step((self.monthly_counts(i, n) for i in range(n)), f"{steps}/counted")
+            subjects = versions.slices_of(counted, n, "study_id", "subject_id")
+            recounts = tables.step(map(self.monthly_statistics, subjects), f"{steps}/recounts")
             versions.delete(self.spark, f"{steps}/counted")
-            tables.append_history(recounts, path, "1 month", "yyyyMMdd")
+            tables.append_history(recounts, path, "1 month", "yyyyMMdd", n)
             versions.delete(self.spark, steps)
         return path
 

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from tidegauge import schemas
 from tidegauge.operators import upsert
-from tidegauge.sinks import parts, tables
+from tidegauge.sinks import parts, tables, versions
 
 
 def networks(spark, *names):
@@ -365,6 +365,82 @@ def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
     assert len(shuffles()) <= 1
 
 
+def test_slices_are_shuffled_one_at_a_time(spark, tmp_path):
+    """A step, a history and a filled table are the same in slices, and no slice waits for the shuffles of another."""
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files():
+        names = kept.getAllFiles().mkString("\n").split("\n")
+        return {name.rsplit("/", 1)[-1] for name in names if "/shuffle_" in name}
+
+    rows = spark.range(1000).select("id", (F.col("id") % 70).alias("k"))
+    before, left = shuffle_files(), []
+
+    def summed():
+        for own in versions.slices_of(rows, 3, "k"):
+            own = own.groupBy("k").agg(F.sum("id").alias("n"))
+            yield own
+            deadline = time.time() + 10
+            while shuffle_files() - before and time.time() < deadline:
+                time.sleep(0.1)
+            left.append(len(shuffle_files() - before))
+
+    found = tables.step(summed(), f"{tmp_path}/step")
+    assert left == [0, 0, 0]
+    assert sorted(map(tuple, found.collect())) == [(k, sum(range(k, 1000, 70))) for k in range(70)]
+
+
+def test_a_table_filled_in_pieces_is_the_same(spark, tmp_path):
+    key, schema = ["k"], numbered(spark, [0], "x").schema
+    sums = parts.Sums(["v"])
+    pieces = [numbered(spark, range(i, 100, 3), f"v{i}") for i in range(3)]
+    whole, path = pieces[0].unionByName(pieces[1]).unionByName(pieces[2]), f"{tmp_path}/t"
+    for _ in range(2):  # a replaced table too
+        assert tables.upsert_buckets(pieces, path, key, schema, 8, True, sums=sums)["rows"] == 100
+        found = parts.read_parts(spark, path, schema, columns=["bucket"])
+        assert sorted(found.drop("bucket").collect()) == sorted(whole.collect())
+        assert found.where(parts.bucket_of(key, 8) != F.col("bucket")).count() == 0
+        assert sorted(map(tuple, sums.read(spark, path, schema).collect())) == [("v0", 34), ("v1", 33), ("v2", 33)]
+        assert sum(r["rows"] for r in parts.read_index(spark, path).collect()) == 100
+    # Pieces merged into the table; then some of which two have keys in common.
+    again = [numbered(spark, [i, 100 + i], "new") for i in range(2)]
+    tables.upsert_buckets(again, path, key, schema, 8, sums=sums)
+    assert tables.read_table(spark, path, schema).where("v = 'new'").count() == 4
+    named = {f.name for f in (tmp_path / "t/data").iterdir()}
+    for replace in (True, False):
+        with pytest.raises(tables.KeyViolation):
+            tables.upsert_buckets([*again, again[1]], path, key, schema, 8, replace, sums=sums)
+    assert tables.read_table(spark, path, schema).count() == 102
+    assert not [f for f in (tmp_path / "t/data").rglob("*.parquet") if f.relative_to(tmp_path / "t/data").parts[0] not in named]
+
+
+def test_frames_in_slices_are_the_same(spark, tmp_path, monkeypatch):
+    """Months of subjects whose orders fall in several slices add up; keys that are null or given twice count as before."""
+    from compare import DATA
+    from suite import frames
+
+    for name in ("lineitem", "orders", "customer", "nation", "region"):
+        given = spark.read.parquet(f"{DATA}/{name}.parquet")
+        if name in ("lineitem", "orders"):
+            number = "l_orderkey" if name == "lineitem" else "o_orderkey"
+            given = given.where(f"{number} % 5 = 0")
+            odd = given.limit(40).withColumn(number, F.lit(None).cast(given.schema[number].dataType))
+            given = given.unionByName(given.limit(20) if name == "orders" else odd)
+        given.write.parquet(f"{tmp_path}/in/{name}.parquet")
+    f = frames.Frames(spark, f"{tmp_path}/in")
+
+    def made(slices):
+        monkeypatch.setattr(frames.Frames, "file_slices", lambda self: slices)
+        monkeypatch.setattr(frames.Frames, "scratch", lambda self, name: f"{tmp_path}/{slices}/{name}")
+        history = f.spark.read.parquet(f"{f._snapshots_path()}/data")
+        return [
+            sorted(map(str, rows.collect()))
+            for rows in (f.snapshots(), f.runs().drop("folder"), history.drop("attempt"))
+        ]
+
+    assert made(1) == made(4) and len(made(1)[0]) > 1000
+
+
 def test_made_columns_are_not_shuffled(spark, tmp_path):
     """What follows from few columns is made behind the shuffle, and rows are merged the same."""
     path, key = f"{tmp_path}/t", ["k"]

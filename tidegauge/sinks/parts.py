@@ -12,7 +12,7 @@ One writer at a time: of two that finish at once, the second one fails.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -82,7 +82,7 @@ def folders_of(spark: SparkSession, path: str, attempt: str, by: list[str]) -> l
 
 
 def fill_parts(
-    rows: DataFrame,
+    rows: DataFrame | Iterable[DataFrame],
     path: str,
     by: list[str],
     rules: Rules | None = None,
@@ -111,11 +111,11 @@ def fill_parts(
         F.lit(None).cast("string").alias("sums"),
         *[F.max(name).alias(name) for name in notes or {}],
     )
-    return rows.sparkSession.createDataFrame(entries.toArrow(), entries.schema), found
+    return written.sparkSession.createDataFrame(entries.toArrow(), entries.schema), found
 
 
 def fill_attempt(
-    rows: DataFrame,
+    rows: DataFrame | Iterable[DataFrame],
     path: str,
     attempt: str,
     by: list[str],
@@ -124,11 +124,9 @@ def fill_attempt(
     totals: Mapping[str, Column] | None = None,
     options: Mapping[str, str] | None = None,
 ) -> tuple[DataFrame, dict[str, int]]:
-    """Write rows into new folders below that of an attempt; returns the rows as stored and the totals."""
-    folder = f"{path}/data/{attempt}"
-    found = versions.fill(rows, folder, rules, by, order_by, totals, options)
-    schema = T.StructType([f for f in rows.schema.fields])
-    return rows.sparkSession.read.schema(schema).parquet(folder), found
+    """Write rows, or slices of them, into new folders below that of an attempt; returns the rows as stored
+    and the totals. No two slices may hold rows of one part together that `rules` compare."""
+    return versions.fill_all(rows, f"{path}/data/{attempt}", rules, by, order_by, totals, options)
 
 
 def publish_index(
@@ -179,6 +177,32 @@ def _by_bucket(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.repartitionById(buckets, BUCKET)
 
 
+def _placed_in_slices(
+    pieces: Sequence[DataFrame],
+    folder: str,
+    key: list[str],
+    schema: T.StructType,
+    buckets: int,
+    made: Callable[[DataFrame], DataFrame] | None,
+) -> Iterator[DataFrame]:
+    """As `_placed`, for rows that come in pieces: as many slices, each with all rows of its buckets.
+
+    The pieces are written by slice first; what a slice was made of goes when the next one is asked for.
+    """
+    spark, slices, of = pieces[0].sparkSession, len(pieces), "_slice"
+    names = pieces[0].columns if made else schema.names
+    for piece in pieces:
+        rows = (made(piece) if made else piece).withColumn(BUCKET, bucket_of(key, buckets))
+        rows = rows.select(*names, BUCKET, F.pmod(BUCKET, F.lit(slices)).alias(of))
+        with shuffles_released(spark):
+            rows.write.mode("append").options(**_PACKED).partitionBy(of).parquet(folder)
+    for number in range(slices):
+        held = spark.read.schema(rows.schema).parquet(folder).where(F.col(of) == number).drop(of)
+        whole = _by_bucket(held, buckets)
+        yield (made(whole) if made else whole).select(*schema.names, BUCKET)
+        versions.delete(spark, f"{folder}/{of}={number}")
+
+
 def bucket_count(spark: SparkSession, path: str, otherwise: int) -> int:
     """The number of buckets is kept from the first write on."""
     if not exists(spark, path):
@@ -197,15 +221,16 @@ class Sums:
         counted = rows.groupBy(*self.columns).agg(F.count(F.lit(1)).alias("files"))
         return counted.withColumn("files", F.col("files") * sign)
 
-    def write(self, parts: list[DataFrame], path: str) -> str:
-        """Add up counts and changes; groups without rows go."""
+    def write(self, parts: list[DataFrame], path: str, slices: int = 1) -> str:
+        """Add up counts and changes, in slices by group; groups without rows go."""
         whole = parts[0]
         for part in parts[1:]:
             whole = whole.unionByName(part)
-        summed = whole.groupBy(*self.columns).agg(F.sum("files").alias("files"))
         name = f"s{uuid4().hex}"
-        with shuffles_released(summed.sparkSession):
-            summed.where("files > 0").write.parquet(f"{path}/sums/{name}")
+        for own in versions.slices_of(whole, slices, *self.columns):
+            summed = own.groupBy(*self.columns).agg(F.sum("files").alias("files"))
+            with shuffles_released(summed.sparkSession):
+                summed.where("files > 0").write.mode("append").parquet(f"{path}/sums/{name}")
         return name
 
     def read(self, spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -231,7 +256,7 @@ def _check_parents(parents: Mapping[tuple[str, ...], DataFrame], counts: DataFra
 
 
 def write_buckets(
-    new: DataFrame,
+    new: DataFrame | Sequence[DataFrame],
     path: str,
     key: list[str],
     schema: T.StructType,
@@ -254,15 +279,19 @@ def write_buckets(
 
     Columns that follow from those of `new` can be left to `made`, which adds them and changes no other: they
     tell the bucket, and are made again behind the shuffle instead of being carried through it.
+
+    `new` may come in pieces. Then a new or replaced table is filled in as many slices of its buckets, and no more
+    than one piece or slice is shuffled at a time.
     """
-    spark = new.sparkSession
+    pieces = [new] if isinstance(new, DataFrame) else list(new)
+    spark = pieces[0].sparkSession
     buckets = buckets if replace else bucket_count(spark, path, buckets)
-    placed = _placed(new, key, schema, buckets, made)
-    changes, offered = [], None
+    changes, offered = [], f"{path}/data/offered=o{uuid4().hex}"
     if not replace and exists(spark, path):
-        offered = f"{path}/data/offered=o{uuid4().hex}"
-        with shuffles_released(spark):
-            placed.write.options(**_PACKED).partitionBy(BUCKET).parquet(offered)
+        for piece in pieces:
+            placed = _placed(piece, key, schema, buckets, made)
+            with shuffles_released(spark):
+                placed.write.mode("append").options(**_PACKED).partitionBy(BUCKET).parquet(offered)
         full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
         rows = spark.read.schema(full).parquet(offered)
         touched = rows.select(BUCKET).distinct()
@@ -280,25 +309,28 @@ def write_buckets(
         )
         if sums:
             changes = [sums.read(spark, path, schema), sums.of(existing, -1)]
+    elif len(pieces) > 1:
+        merged = _placed_in_slices(pieces, offered, key, schema, buckets, made)
     else:
-        merged = placed
-    entries, found = fill_parts(
-        merged,
-        path,
-        [BUCKET],
-        Rules(key, bound=[BUCKET]),
-        [BUCKET, *(order_by or [])],
-        totals,
-        {"buckets": F.lit(buckets)},
-        {**_PACKED, **(options or {})},
-        attempt := f"attempt=a{uuid4().hex}",
-    )
-    if offered:
+        merged = _placed(pieces[0], key, schema, buckets, made)
+    try:
+        entries, found = fill_parts(
+            merged,
+            path,
+            [BUCKET],
+            Rules(key, bound=[BUCKET]),
+            [BUCKET, *(order_by or [])],
+            totals,
+            {"buckets": F.lit(buckets)},
+            {**_PACKED, **(options or {})},
+            attempt := f"attempt=a{uuid4().hex}",
+        )
+    finally:
         versions.delete(spark, offered)
     kept = None
     if sums:
         written = read_parts(spark, path, schema, entries)
-        kept = sums.write([*changes, sums.of(written)], path)
+        kept = sums.write([*changes, sums.of(written)], path, len(pieces))
         if parents:
             try:
                 _check_parents(parents, spark.read.parquet(f"{path}/sums/{kept}"), path)

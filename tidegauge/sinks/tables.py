@@ -9,7 +9,7 @@ adds to the visible version: read it after the job.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, datetime
 from uuid import uuid4
 
@@ -122,7 +122,7 @@ def upsert_table(
 
 
 def upsert_buckets(
-    new: DataFrame,
+    new: DataFrame | Sequence[DataFrame],
     path: str,
     key: list[str],
     schema: T.StructType,
@@ -144,10 +144,10 @@ def check_new(new: DataFrame, path: str, key: list[str], schema: T.StructType) -
         raise ValueError(f"duplicate keys for {path}, for example {[r.asDict() for r in clash]}")
 
 
-def step(rows: DataFrame, path: str) -> DataFrame:
-    """Rows written to a folder and read back, for a table between two shuffles; `versions.delete` it after use."""
-    versions.fill(rows, path, options={"compression": "zstd"})
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+def step(rows: DataFrame | Iterable[DataFrame], path: str) -> DataFrame:
+    """Rows, or slices of them, written to a folder and read back, for a table between two shuffles;
+    `versions.delete` it after use."""
+    return versions.fill_all(rows, path, options={"compression": "zstd"})[0]
 
 
 def insert_table(new: DataFrame, path: str, key: list[str], schema: T.StructType) -> None:
@@ -191,7 +191,7 @@ def append_snapshots(stats: DataFrame, path: str, many_runs: bool = False) -> di
 
 
 def append_history(
-    recounts: DataFrame, path: str, every: str, run_ids: str = "yyyyMMdd'T'HHmmssSSSSSS"
+    recounts: DataFrame, path: str, every: str, run_ids: str = "yyyyMMdd'T'HHmmssSSSSSS", slices: int = 1
 ) -> dict[str, int]:
     """Add the snapshots of many runs at once, storing what stays from run to run only once.
 
@@ -199,15 +199,18 @@ def append_history(
     count their steps from a common start. It is stored with the last run that it holds for, so
     the newest runs need the newest folders only; readers carry it back to the earlier ones. All runs
     that some recount holds for stand in the index. `files_size_mb` follows from `size_bytes` where it is not
-    given. Returns the number of stored rows and their files.
+    given. The rows are shuffled in so many `slices` by subject, as the last run may hold most rows. Returns
+    the number of stored rows and their files.
     """
     time = F.col(TS)
     # What follows from other columns is made behind the shuffle.
-    rows = recounts.hint("rebalance", TS).withColumns(
-        {DAY: time.cast("date"), "run_id": F.date_format(time, run_ids)}
+    follows = {DAY: time.cast("date"), "run_id": F.date_format(time, run_ids)}
+    if "files_size_mb" not in recounts.columns:
+        follows["files_size_mb"] = bytes_to_mb("size_bytes")
+    rows = (
+        own.hint("rebalance", TS).withColumns(follows)
+        for own in versions.slices_of(recounts, slices, "study_id", "subject_id")
     )
-    if "files_size_mb" not in rows.columns:
-        rows = rows.withColumn("files_size_mb", bytes_to_mb("size_bytes"))
     order = [*SNAPSHOT_PARTITIONS, "study_id", "subject_id", "modality"]
     attempt = f"attempt={_HISTORY}{uuid4().hex}"
     written, found = parts.fill_attempt(
