@@ -290,8 +290,9 @@ class Frames:
         """Path of the catalogue in buckets of the path, with tags as columns and counts beside it."""
         path = self.scratch("catalog")
         if not tables.exists(self.spark, path):
+            n = self.file_slices()
             tables.upsert_buckets(
-                self.file_rows(),
+                [self.file_rows(i, n) for i in range(n)],
                 path,
                 schemas.PRIMARY_KEYS["file_catalog"],
                 schemas.CATALOG_WIDE,
