@@ -51,7 +51,7 @@ FILE_PATH = f"""concat_ws('/', '{ROOT}', CASE WHEN is_protected THEN 'PROTECTED'
     CASE WHEN is_raw THEN 'raw' ELSE 'processed' END, subject_id, modality, file_name)"""
 
 # File rows are shuffled in slices of so many, up to the second number of slices, each with its own scan.
-_SLICE_ROWS, _MOST_SLICES = 1_000_000, 8
+_SLICE_ROWS, _MOST_SLICES = 1_000_000, 16
 
 _schemas: dict[str, object] = {}
 
@@ -269,13 +269,12 @@ class Frames:
         """The monthly recounts as the stored statistics, each stored once for the runs it holds for."""
         path = self.scratch("snapshots")
         if not tables.exists(self.spark, path):
-            # Written between its shuffles and in slices, so that the shuffle files of one slice only are on disk.
+            # In slices of files, then of subjects, so that the shuffles of one slice only are on disk; the counts of a
+            # slice of subjects go as soon as its recounts are stored.
             steps, n = self.scratch(f"months-{uuid4().hex[:12]}"), self.file_slices()
-            counted = tables.step((self.monthly_counts(i, n) for i in range(n)), f"{steps}/counted")
-            subjects = versions.slices_of(counted, n, "study_id", "subject_id")
-            recounts = tables.step(map(self.monthly_statistics, subjects), f"{steps}/recounts")
-            versions.delete(self.spark, f"{steps}/counted")
-            tables.append_history(recounts, path, "1 month", "yyyyMMdd", n)
+            counted = (self.monthly_counts(i, n) for i in range(n))
+            subjects = versions.dealt_anew(counted, f"{steps}/counted", n, "study_id", "subject_id")
+            tables.append_history(map(self.monthly_statistics, subjects), path, "1 month", "yyyyMMdd")
             versions.delete(self.spark, steps)
         return path
 

@@ -487,3 +487,39 @@ def test_history_makes_the_size_in_mb(spark, tmp_path):
     )
     tables.append_history(rows, str(tmp_path), "1 month", "yyyyMMdd")
     assert [r["files_size_mb"] for r in tables.read_snapshots(spark, str(tmp_path)).collect()] == [1.5]
+
+
+def test_sizes_in_mb_that_follow_are_not_stored(spark, tmp_path):
+    """A history stores what cannot be made of its other columns, and gives a size in MB that it was given."""
+    month = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame(
+        [("A", "S1", True, True, "mri", 3, 3 << 19, month, month), ("A", "S2", True, True, "mri", 1, None, month, month)],
+        "study_id string, subject_id string, is_raw boolean, is_protected boolean, modality string, "
+        "files_count bigint, size_bytes bigint, since timestamp_ntz, statistics_timestamp timestamp_ntz",
+    )
+    for name, given, want in (
+        ("follows", rows, [("S1", 1.5), ("S2", None)]),
+        ("slices", (rows.where(f"subject_id = '{s}'") for s in ("S1", "S2")), [("S1", 1.5), ("S2", None)]),
+        ("given", rows.withColumn("files_size_mb", F.lit(7.0)), [("S1", 7.0), ("S2", 7.0)]),
+    ):
+        tables.append_history(given, f"{tmp_path}/{name}", "1 month", "yyyyMMdd")
+        stored = spark.read.parquet(f"{tmp_path}/{name}/data").columns
+        assert ("files_size_mb" in stored) == (name == "given")
+        found = tables.read_snapshots(spark, f"{tmp_path}/{name}").select("subject_id", "files_size_mb").collect()
+        assert sorted(map(tuple, found)) == want
+
+
+def test_counts_of_a_slice_go_before_the_next(spark, tmp_path):
+    """Pieces dealt anew by subject: each row comes once, equal keys in one slice, and what was read is deleted."""
+    from tidegauge.sinks import versions
+
+    pieces = [spark.range(i, 300, 3).selectExpr("id % 40 AS k", "id", "if(id % 7 = 0, null, id) AS v") for i in range(3)]
+    folder, seen, held = f"{tmp_path}/dealt", [], []
+    for own in versions.dealt_anew((p for p in pieces), folder, 4, "k"):
+        held.append(len(list((tmp_path / "dealt").glob("_slice=*"))))
+        seen.append([tuple(r) for r in own.collect()])
+    assert held == [4, 3, 2, 1] and not list((tmp_path / "dealt").glob("_slice=*"))
+    assert sorted(r[1] for rows in seen for r in rows) == list(range(300))
+    assert sum(len({r[0] for r in rows}) for rows in seen) == 40
+    nothing = versions.dealt_anew([pieces[0].where("false")], f"{tmp_path}/none", 2, "k")
+    assert [own.count() for own in nothing] == [0, 0]

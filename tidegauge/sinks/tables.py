@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, datetime
+from itertools import chain
 from uuid import uuid4
 
 import pyarrow as pa
@@ -29,8 +30,9 @@ from tidegauge.sinks.versions import KeyViolation, Rules
 __all__ = ["KeyViolation", "Rules"]
 
 SNAPSHOT_PARTITIONS = ["snapshot_date", "run_id"]
-# Attempts with this mark hold a history, whose rows hold for several runs.
-_HISTORY = "h"
+# Attempts with this mark hold a history, whose rows hold for several runs; where the second one follows,
+# `files_size_mb` is not stored but made of `size_bytes`.
+_HISTORY, _NO_MB = "h", "s"
 RUNS = parts.index_schema("snapshot_date date, run_id string", f"{TS} timestamp_ntz")
 BUCKETS = parts.index_schema("bucket int", "buckets int")
 # Counts kept beside the catalogue.
@@ -191,7 +193,7 @@ def append_snapshots(stats: DataFrame, path: str, many_runs: bool = False) -> di
 
 
 def append_history(
-    recounts: DataFrame, path: str, every: str, run_ids: str = "yyyyMMdd'T'HHmmssSSSSSS", slices: int = 1
+    recounts: DataFrame | Iterable[DataFrame], path: str, every: str, run_ids: str = "yyyyMMdd'T'HHmmssSSSSSS"
 ) -> dict[str, int]:
     """Add the snapshots of many runs at once, storing what stays from run to run only once.
 
@@ -199,20 +201,18 @@ def append_history(
     count their steps from a common start. It is stored with the last run that it holds for, so
     the newest runs need the newest folders only; readers carry it back to the earlier ones. All runs
     that some recount holds for stand in the index. `files_size_mb` follows from `size_bytes` where it is not
-    given. The rows are shuffled in so many `slices` by subject, as the last run may hold most rows. Returns
-    the number of stored rows and their files.
+    given, and is then made by the readers. The last run may hold most rows: `recounts` may come in slices of
+    the same columns, of which one is shuffled at a time. Returns the number of stored rows and their files.
     """
     time = F.col(TS)
     # What follows from other columns is made behind the shuffle.
     follows = {DAY: time.cast("date"), "run_id": F.date_format(time, run_ids)}
-    if "files_size_mb" not in recounts.columns:
-        follows["files_size_mb"] = bytes_to_mb("size_bytes")
-    rows = (
-        own.hint("rebalance", TS).withColumns(follows)
-        for own in versions.slices_of(recounts, slices, "study_id", "subject_id")
-    )
+    slices = iter([recounts] if isinstance(recounts, DataFrame) else recounts)
+    first = next(slices)
+    rows = (own.hint("rebalance", TS).withColumns(follows) for own in chain([first], slices))
     order = [*SNAPSHOT_PARTITIONS, "study_id", "subject_id", "modality"]
-    attempt = f"attempt={_HISTORY}{uuid4().hex}"
+    mark = _HISTORY if "files_size_mb" in first.columns else _HISTORY + _NO_MB
+    attempt = f"attempt={mark}{uuid4().hex}"
     written, found = parts.fill_attempt(
         rows,
         path,
@@ -273,6 +273,8 @@ def _read_history(spark: SparkSession, path: str, attempt: str, held: pa.Table)
     start = f"{attempt}/{DAY}={first}"
     folders = [f for f in parts.folders_of(spark, path, attempt, SNAPSHOT_PARTITIONS) if f >= start]
     stored = parts.read_folders(spark, path, schema, folders).where(F.col(DAY) >= F.lit(first))
+    if attempt.startswith(f"attempt={_HISTORY}{_NO_MB}"):
+        stored = stored.withColumn("files_size_mb", bytes_to_mb("size_bytes"))
     stored = stored.withColumnRenamed(TS, "_last").drop(*SNAPSHOT_PARTITIONS)
     # One short row a run, which Spark broadcasts.
     own = T.StructType([wanted[name] for name in (TS, *SNAPSHOT_PARTITIONS)])
