@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +121,49 @@ def test_ranges_keep_every_member_and_leave_most_out():
     assert wanted <= pairs and looked < 0.35 * exact.size
     lists = bucket.sorted_list(3)
     assert (np.diff(lists[1]) >= 0).all()
+
+
+def test_products_stand_in_where_ranges_leave_most_members(monkeypatch):
+    rng = np.random.default_rng(7)
+    ids, labels = np.arange(2000), rng.integers(0, 6, 2000)
+
+    def found(rows, own, best=60):
+        anchors = negatives.Anchors(ids[:30], labels[:30], rows[:30])
+        exact = rows[:30] @ rows.T
+        need = np.sort(exact, axis=1)[:, -best]
+        got = [
+            (int(a), int(bucket.ids[m]), int(score))
+            for bucket in negatives.buckets(rows, ids, labels)
+            for part in anchors.reaching(bucket, need, own)
+            for a, m, score in zip(*part, strict=True)
+        ]
+        wanted = {(a, m, int(exact[a, m])) for a, m in np.argwhere(exact >= need[:, None]).tolist()}
+        if own:
+            wanted = {(a, m, score) for a, m, score in wanted if labels[a] == labels[m]}
+            assert all(labels[a] == labels[m] for a, m, _ in got)
+        assert wanted <= set(got) and len(got) == len(set(got))
+        return len(got), len(wanted)
+
+    looked = []
+    members = negatives.Anchors.members
+    monkeypatch.setattr(negatives.Anchors, "members", lambda *args: looked.append(1) or members(*args))
+    unit = rng.normal(size=(2000, 64))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    # Near random directions: nothing is looked up, and nothing else comes back. Large components need doubles.
+    for scale in (256, 1e6):
+        for own in (False, True):
+            n, wanted = found(np.floor(scale * unit), own)
+            assert n == wanted and not looked
+    # Around few centres, ranges leave little.
+    near = rng.normal(size=(200, 8))[rng.integers(0, 200, 2000)] + 0.001 * rng.normal(size=(2000, 8))
+    near /= np.linalg.norm(near, axis=1)[:, None]
+    found(np.floor(1e5 * near), True, 5)
+    assert looked
+
+
+def test_first_rows_of_a_task_come_a_few_at_a_time():
+    rows = [{"vec_id": i, "embedding": [float(i)], "label": 0} for i in range(1000)]
+    batches = [pa.RecordBatch.from_pylist(rows[i : i + 500]) for i in (0, 500)]
+    sizes = [len(b.ids) for b in negatives._buckets_of(batches, 1)]
+    assert sizes[0] <= negatives.FEWEST and sum(sizes) == 1000
+    assert {i for b in negatives._buckets_of(batches, 1) for i in b.ids.tolist()} == set(range(1000))

@@ -6,7 +6,8 @@ buckets that would need more than 1 are skipped. Otherwise the cosine bounds eac
 member of length one: with angle a between the anchor and an axis, the member's angle to that axis
 is within arccos of the least cosine of a. For the coordinates in which the anchor is largest,
 the bucket's sorted lists turn such a range of values into a run of members; those in every
-run are compared exactly.
+run are compared exactly. Where a sample of the anchors tells that the runs would hold much of a bucket,
+products of whole matrices give the exact scores of all its members for less than it takes to leave some out.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ BUCKET, NARROW, FEWEST = 1024, 0.9, 64
 # Bytes of the anchors that go to every task at once, and pairs compared at once.
 ANCHOR_BYTES = 8 << 20
 PAIRS = 1 << 16
+# Anchors that a matrix product takes at once, and those that tell how much of a bucket the ranges leave: from
+# this share on its members are not looked up.
+ROWS, SAMPLE, MUCH = 512, 64, 1 / 32
 _LEAST, _LARGEST = -(2**63), 2**63 - 1
 # Rounding of lengths and angles never drops a member: ranges are widened by this.
 _SLACK = 1e-6
@@ -72,6 +76,7 @@ class Bucket:
         self.rows, self.ids, self.labels = rows, ids, labels
         self.longest, self.shortest = lengths.max(), lengths.min()
         self.units = _units(rows, lengths)
+        self.by_label = np.argsort(labels, kind="stable")
         self._lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def sorted_list(self, axis: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,6 +109,8 @@ class Anchors:
         few = min(FOCUS, rows.shape[1])
         self.focus = np.argsort(-np.abs(self.units), axis=1, kind="stable")[:, :few]
         self.largest = np.abs(rows).max(initial=0)
+        self.longest = self.lengths.max(initial=0)
+        self._small: np.ndarray | None = None
 
     def least_cosine(self, need: np.ndarray, bucket: Bucket) -> np.ndarray:
         """The cosine that a member of the bucket has at least if its score reaches `need`."""
@@ -114,17 +121,12 @@ class Anchors:
         least = np.where(by > 0, least, np.where(need > 0, np.inf, -np.inf))
         return np.where(np.isnan(least), -np.inf, least - _SLACK * (1 + np.abs(least)))
 
-    def members(self, bucket: Bucket, need: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of anchor and member that lie in all ranges, some at a time."""
-        least = self.least_cosine(need, bucket)
-        alive = np.flatnonzero(least <= 1)
-        if not len(alive):
-            return
-        turn = np.arccos(np.clip(least[alive], -1, 1))
-        focus = self.focus[alive]
-        at = np.take_along_axis(self.units[alive], focus, axis=1)
+    def _ranges(self, bucket: Bucket, some: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For each focus of some anchors: its axis and value, the range of a member's value, and the run in the list."""
+        turn = np.arccos(np.clip(least, -1, 1))
+        focus = self.focus[some]
+        at = np.take_along_axis(self.units[some], focus, axis=1)
         angle = np.arccos(np.clip(at, -1, 1))
-        rest = np.sqrt(np.maximum(0, 1 - (at**2).sum(axis=1)))
         low = np.cos(np.minimum(np.pi, angle + turn[:, None])) - _SLACK
         high = np.cos(np.maximum(0, angle - turn[:, None])) + _SLACK
         start = np.zeros(focus.shape, np.int64)
@@ -134,6 +136,16 @@ class Anchors:
             values = bucket.sorted_list(axis)[1]
             start[here] = np.searchsorted(values, low[here], "left")
             end[here] = np.searchsorted(values, high[here], "right")
+        return focus, at, low, high, start, end
+
+    def members(self, bucket: Bucket, need: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of anchor and member that lie in all ranges, some at a time."""
+        least = self.least_cosine(need, bucket)
+        alive = np.flatnonzero(least <= 1)
+        if not len(alive):
+            return
+        focus, at, low, high, start, end = self._ranges(bucket, alive, least[alive])
+        rest = np.sqrt(np.maximum(0, 1 - (at**2).sum(axis=1)))
         if focus.shape[1]:
             # The shortest run gives the members; the others are looked at for these.
             best = np.argmin(end - start, axis=1)
@@ -190,6 +202,57 @@ class Anchors:
         ]
         return np.array([max(_LEAST, min(_LARGEST, x)) for x in found], np.int64)
 
+    def _leave_much(self, bucket: Bucket, alive: np.ndarray, least: np.ndarray) -> bool:
+        """Whether the shortest runs of a few anchors hold much of the bucket."""
+        some = alive[:: -(-len(alive) // SAMPLE)]
+        start, end = self._ranges(bucket, some, least[some])[4:]
+        shortest = (end - start).min(axis=1, initial=len(bucket.ids))
+        return shortest.sum() >= MUCH * len(some) * len(bucket.ids)
+
+    def _products(
+        self, bucket: Bucket, need: np.ndarray, alive: np.ndarray, own: bool
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        # All sums on the way stay below the product of the lengths, and whole numbers below 2^24 are exact in four bytes.
+        rows, cols = self.rows, bucket.rows
+        if max(1, self.longest) * max(1, bucket.longest) < 0.99 * 2**24:
+            if self._small is None:
+                self._small = rows.astype(np.float32)
+            rows, cols, need = self._small, cols.astype(np.float32), need.astype(np.float32)
+        pairs = [(alive, np.arange(len(bucket.ids)))]
+        if own:
+            mine = alive[np.argsort(self.labels[alive], kind="stable")]
+            shared = np.intersect1d(self.labels[mine], bucket.labels)
+            a, b = self.labels[mine], bucket.labels[bucket.by_label]
+            ends = [np.searchsorted(x, shared, side) for x in (a, b) for side in ("left", "right")]
+            pairs = [(mine[i:j], bucket.by_label[k:m]) for i, j, k, m in zip(*ends, strict=True)]
+        for mine, theirs in pairs:
+            members = cols[theirs].T
+            for at in range(0, len(mine), ROWS):
+                some = mine[at : at + ROWS]
+                whole = rows[some] @ members
+                hit = np.flatnonzero(whole >= need[some, None])
+                who, member = np.divmod(hit, len(theirs))
+                yield some[who], theirs[member], whole.ravel()[hit].astype(np.int64)
+
+    def reaching(
+        self, bucket: Bucket, need: np.ndarray, own: bool = False
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Anchor, member and score of all pairs that reach `need`, and maybe others, some at a time; with `own` at
+        least those whose labels are equal."""
+        least = self.least_cosine(need, bucket)
+        alive = np.flatnonzero(least <= 1)
+        if not len(alive):
+            return
+        exact = max(1, self.longest) * max(1, bucket.longest) < 0.99 * 2**53
+        if exact and self._leave_much(bucket, alive, least):
+            yield from self._products(bucket, need, alive, own)
+            return
+        for who, member in self.members(bucket, need):
+            if own:
+                equal = self.labels[who] == bucket.labels[member]
+                who, member = who[equal], member[equal]
+            yield who, member, self.scores(bucket, who, member)
+
 
 class Best:
     """The highest scores of each query so far; ties go to the smaller id."""
@@ -200,12 +263,18 @@ class Best:
         self.score = np.zeros(0, np.int64)
         self.id = np.zeros(0, np.int64)
         self.bar = np.full(queries, _LEAST)
+        self._new: list[tuple[np.ndarray, ...]] = []
 
     def add(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
-        if not len(query):
-            return
-        query, score = np.r_[self.query, query], np.r_[self.score, score]
-        ids = np.r_[self.id, ids]
+        """Rows are sorted once they are as many as those held, so that each is sorted a few times only."""
+        self._new.append((query, score, ids))
+        if sum(len(new[0]) for new in self._new) > max(PAIRS, len(self.query)):
+            self.settle()
+
+    def settle(self) -> None:
+        rows = zip((self.query, self.score, self.id), *self._new, strict=True)
+        query, score, ids = map(np.concatenate, rows)
+        self._new = []
         # The bit complement orders longs downwards without overflow.
         order = np.lexsort((ids, ~score, query))
         query, score, ids = query[order], score[order], ids[order]
@@ -216,6 +285,7 @@ class Best:
         self.bar[query[last]] = score[last]
 
     def batch(self) -> pa.RecordBatch:
+        self.settle()
         columns = {"query": self.query, "vec_id": self.id, "score": self.score}
         return pa.RecordBatch.from_pydict(columns)
 
@@ -228,10 +298,17 @@ _RESULT = (
 
 
 def _buckets_of(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[Bucket]:
+    """A task's first rows come a few at a time: until the best of them are known, all others would be kept."""
+    most = FEWEST
     for batch in batches:
-        rows = matrix(batch.column("embedding"), width)
-        ids = batch.column("vec_id").to_numpy()
-        yield from buckets(rows, ids, batch.column("label").to_numpy())
+        start = 0
+        while start < batch.num_rows:
+            some = batch.slice(start, most)
+            rows = matrix(some.column("embedding"), width)
+            ids = some.column("vec_id").to_numpy()
+            yield from buckets(rows, ids, some.column("label").to_numpy())
+            start += some.num_rows
+            most *= 2
 
 
 def _positives(anchors: Anchors, most: int):
@@ -241,13 +318,8 @@ def _positives(anchors: Anchors, most: int):
         best = Best(len(anchors.ids), most)
         for bucket in _buckets_of(batches, anchors.rows.shape[1]):
             need = np.where(best.bar == _LEAST, -np.inf, best.bar)
-            for who, member in anchors.members(bucket, need):
-                own = (anchors.labels[who] == bucket.labels[member]) & (
-                    anchors.ids[who] != bucket.ids[member]
-                )
-                who, member = who[own], member[own]
-                score = anchors.scores(bucket, who, member)
-                fit = score >= best.bar[who]
+            for who, member, score in anchors.reaching(bucket, need, own=True):
+                fit = (anchors.ids[who] != bucket.ids[member]) & (score >= best.bar[who])
                 best.add(who[fit], score[fit], bucket.ids[member[fit]])
         yield best.batch()
 
@@ -268,10 +340,9 @@ def _negatives(anchors: Anchors, owner: np.ndarray, top: np.ndarray, bottom: np.
         for bucket in _buckets_of(batches, anchors.rows.shape[1]):
             need = np.full(len(anchors.ids), np.inf)
             np.minimum.at(need, owner, np.maximum(best.bar, bottom))
-            for who, member in anchors.members(bucket, need):
+            for who, member, score in anchors.reaching(bucket, need):
                 other = anchors.labels[who] != bucket.labels[member]
-                who, member = who[other], member[other]
-                score = anchors.scores(bucket, who, member)
+                who, member, score = who[other], member[other], score[other]
                 for k in range(count.max(initial=0)):
                     has = count[who] > k
                     query, value, row = first[who[has]] + k, score[has], member[has]
