@@ -523,3 +523,44 @@ def test_counts_of_a_slice_go_before_the_next(spark, tmp_path):
     assert sum(len({r[0] for r in rows}) for rows in seen) == 40
     nothing = versions.dealt_anew([pieces[0].where("false")], f"{tmp_path}/none", 2, "k")
     assert [own.count() for own in nothing] == [0, 0]
+
+
+def _numbered(spark, keys, value):
+    return spark.createDataFrame([(k, value) for k in keys], "k int, v string")
+
+
+def test_merges_in_pieces_equal_whole_ones(spark, tmp_path):
+    schema = _numbered(spark, [1], "a").schema
+
+    def filled(name, cut):
+        path = str(tmp_path / name)
+        tables.upsert_buckets(cut(_numbered(spark, range(60), "old")), path, ["k"], schema, 8, replace=True)
+        found = tables.upsert_buckets(cut(_numbered(spark, range(40, 70), "new")), path, ["k"], schema, 8)
+        assert tables.upsert_buckets(cut(_numbered(spark, range(0), "no")), path, ["k"], schema, 8) == {"rows": 0}
+        assert [p.name for p in (tmp_path / name / "data").iterdir() if p.name.startswith("offered")] == []
+        parts = tables.read_slices(spark, path, schema, 3)
+        buckets = [{r[0] for r in p.select(F.pmod(F.xxhash64("k"), F.lit(8))).collect()} for p in parts]
+        assert not (buckets[0] & buckets[1] or buckets[0] & buckets[2] or buckets[1] & buckets[2])
+        return found, sorted(map(tuple, tables.read_table(spark, path, schema).collect())), sum(p.count() for p in parts)
+
+    whole = filled("whole", lambda rows: rows)
+    assert whole[1] == [(k, "old" if k < 40 else "new") for k in range(70)] and whole[2] == 70
+    assert filled("pieces", lambda rows: [rows.where(f"k % 3 = {i}") for i in range(3)]) == whole
+
+
+@pytest.mark.parametrize("replace", [False, True])
+def test_refused_pieces_are_counted_and_not_kept(spark, tmp_path, monkeypatch, replace):
+    path, schema = str(tmp_path / "t"), _numbered(spark, [1], "a").schema
+    tables.upsert_buckets(_numbered(spark, range(50), "old"), path, ["k"], schema, 8, replace=True)
+    written, fill = [], versions.fill
+    monkeypatch.setattr(versions, "fill", lambda *args, **more: written.append(1) or fill(*args, **more))
+    twice = _numbered(spark, [*range(40), *range(40)], "new")
+    pieces = [twice.where(f"k % 4 = {i}") for i in range(4)]
+    with pytest.raises(tables.KeyViolation) as refused:
+        tables.upsert_buckets(pieces, path, ["k"], schema, 8, replace=replace)
+    # All slices are counted, the first is written, and its rows go.
+    assert refused.value.counts == {"k given again": 40} and len(written) == 1
+    named = {r["folder"].split("/")[0] for r in parts.read_index(spark, path).collect()}
+    for folder in (tmp_path / "t" / "data").iterdir():
+        assert folder.name in named or not list(folder.rglob("*.parquet"))
+    assert tables.read_table(spark, path, schema).where("v = 'old'").count() == 50
